@@ -85,7 +85,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     state = [*keys, "n", "rank", "lo", "hi", "below"]
     for _ in range(levels):
         counted = (
-            _inside(values, ranks, keys).withColumn("bucket", _bucket())
+            _inside(values, ranks, keys, few).withColumn("bucket", _bucket())
             .groupBy(*state, "bucket")
             .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("first"),
                  F.max("value").alias("last"))
@@ -100,7 +100,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
         )
     running = Window.partitionBy(*keys, "rank").orderBy("value")
     picked = (
-        _inside(values, ranks, keys)
+        _inside(values, ranks, keys, few)
         .groupBy(*keys, "n", "rank", "below", "value").agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("upto", F.col("below") + F.sum("rows").over(running))
         .filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("rows")))
