@@ -100,7 +100,7 @@ def run_week(spark: SparkSession, silver_root: str, gold_root: str, year: int, w
     }
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        write_weekly(df.drop("iso_year", "iso_week"), f"{gold_root}/{name}", (year, week))
+        write_weekly(df, f"{gold_root}/{name}", (year, week))
         return read_silver(spark, f"{gold_root}/{name}", [(year, week)])
 
     written = {name: store(name, df) for name, df in build.items()}

@@ -13,13 +13,16 @@ from opinara.session import cut_lineage
 
 
 def write_weekly(df: DataFrame, path: str, week: tuple[int, int] | None = None) -> None:
-    """Replace the weeks present in ``df`` and leave the others alone.
+    """Replace weeks of a partitioned table and leave the others alone.
 
-    ``week`` stamps the rows with one ISO week; otherwise ``iso_year`` and
-    ``iso_week`` must be there. Files are written by all tasks, not gathered in one.
+    With ``week`` the whole frame is that week, and an empty frame empties it. Without,
+    the weeks are those found in the columns ``iso_year`` and ``iso_week``. Files are
+    written by all tasks, not gathered in one.
     """
     if week is not None:
-        df = df.withColumns({"iso_year": F.lit(week[0]), "iso_week": F.lit(week[1])})
+        (df.drop("iso_year", "iso_week").write.mode("overwrite")
+         .parquet(f"{path}/iso_year={week[0]}/iso_week={week[1]}"))
+        return
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("iso_year", "iso_week").parquet(path))
 
