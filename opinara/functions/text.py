@@ -13,6 +13,7 @@ from opinara import vocab
 SPACE = r"\s\p{Z}\x0B\x1C-\x1F\x{85}"
 WORD = r"\p{L}\p{N}_"
 TOKEN = r"[A-Za-zÀ-ÿ0-9_]+"
+KEYWORD = r"[a-zA-ZÀ-ÿ0-9]+"
 
 # Fixed patterns of the cleaning profiles.
 URL_LOOSE = rf"http[^{SPACE}]+|www\.[^{SPACE}]+"
@@ -60,7 +61,7 @@ def clean_text(col: Column | str, profile: str = "nlp",
         plain = F.trim(_replace(F.lower(text), [
             (URL_STRICT, " "), (MENTION, " "), (rf"[^{WORD}{SPACE}']", " "), collapse,
         ]))
-        return F.array_join(remove_stop_words(F.split(plain, " "), stop_words), " ")
+        return F.array_join(remove_stop_words(F.split(plain, " "), stop_words, lowered=True), " ")
     raise ValueError(f"unknown profile {profile!r}")
 
 
@@ -70,16 +71,17 @@ def word_tokens(col: Column | str) -> Column:
 
 
 def keyword_tokens(col: Column | str) -> Column:
-    """Tokens for keyword statistics: URLs, tags, mentions and hashtags removed, then
-    everything but letters, digits and blanks; empty tokens dropped."""
-    plain = _replace(F.lower(_col(col)), [(KEYWORD_NOISE, " "), (r"[^a-zA-ZÀ-ÿ0-9]+", " ")])
-    return F.filter(F.split(plain, " "), lambda t: t != "")
+    """Tokens for keyword statistics: URLs, tags, mentions and hashtags removed, then the
+    runs of letters and digits that are left. No token is empty."""
+    plain = F.regexp_replace(F.lower(_col(col)), KEYWORD_NOISE, " ")
+    return F.regexp_extract_all(plain, F.lit(KEYWORD), F.lit(0))
 
 
-def remove_stop_words(tokens: Column, stop_words: Iterable[str] = vocab.STOP_WORDS) -> Column:
+def remove_stop_words(tokens: Column, stop_words: Iterable[str] = vocab.STOP_WORDS,
+                      lowered: bool = False) -> Column:
     """Keep the tokens that are not stop words, duplicates and order intact."""
     words = sorted(stop_words)
-    return F.filter(tokens, lambda t: ~F.lower(t).isin(words))
+    return F.filter(tokens, lambda t: ~(t if lowered else F.lower(t)).isin(words))
 
 
 def ngrams(tokens: Column, n: int = 2) -> Column:

@@ -329,7 +329,8 @@ def storytelling_summary(rows: DataFrame, k: int = 25, topics: int = 10, **terms
         [[F.col("sentiment")], [F.col("source_type"), F.col("event_date")], [F.col("source_type")]],
         "source_type", "event_date", "sentiment",
     ).agg(F.grouping_id().alias("g"), F.sum("n").alias("n"), F.sum("s").alias("s"))
-    records = cube.agg(F.sum("n")).scalar()
+    # a plain count, so that neither tags nor scores are computed for it
+    records = rows.agg(F.count(F.lit(1))).scalar()
     sets, total = sets.withColumn("total", records), F.col("total")
     avg = F.col("s") / F.col("n")
     day, source = period("event_date"), F.col("source_type")

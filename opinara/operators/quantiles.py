@@ -18,13 +18,10 @@ BUCKETS = 4096
 
 def long_values(df: DataFrame, cols: list[str], by: Iterable[str] = ()) -> DataFrame:
     """(by..., metric, value) rows, nulls left out."""
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in cols
-    ])
-    return (
-        df.select(*by, F.inline(pairs))
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    )
+    by = list(by)
+    numbers = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
+    return (numbers.unpivot(by, list(cols), "metric", "value")
+            .filter(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
 def _scale(value: Column) -> Column:
@@ -33,9 +30,15 @@ def _scale(value: Column) -> Column:
 
 
 def _bucket() -> Column:
-    span = _scale(F.col("hi")) - _scale(F.col("lo"))
-    place = F.try_divide(_scale(F.col("value")) - _scale(F.col("lo")), span) * BUCKETS
-    return F.least(F.coalesce(F.floor(place), F.lit(0)), F.lit(BUCKETS - 1)).cast("int")
+    """Bucket of a value inside its range, whose scaled start and step come with it."""
+    place = (_scale(F.col("value")) - F.col("start")) * F.col("step")
+    return F.least(F.floor(place), F.lit(BUCKETS - 1)).cast("int")
+
+
+def _with_steps(ranges: DataFrame) -> DataFrame:
+    start, end = _scale(F.col("lo")), _scale(F.col("hi"))
+    return ranges.withColumns({
+        "start": start, "step": F.when(end > start, BUCKETS / (end - start)).otherwise(0.0)})
 
 
 def _same_group(keys: list[str], left: str, right: str) -> Column:
@@ -46,10 +49,10 @@ def _same_group(keys: list[str], left: str, right: str) -> Column:
 
 
 def _inside(values: DataFrame, ranges: DataFrame, keys: list[str], few: bool) -> DataFrame:
-    """Rows that fall in a range of their group.
+    """Rows that fall in a range of their group; the ranges of a group are disjoint.
 
-    ``ranges`` has two rows per group and quantile. With ``few`` groups that bounds it
-    and it is broadcast; otherwise the join is planned from its size.
+    ``ranges`` has at most two rows per group and quantile. With ``few`` groups that
+    bounds it and it is broadcast; otherwise the join is planned from its size.
     """
     joined = values.alias("v").join(
         F.broadcast(ranges.alias("r")) if few else ranges.alias("r"),
@@ -58,6 +61,18 @@ def _inside(values: DataFrame, ranges: DataFrame, keys: list[str], few: bool) ->
     return joined.select("r.*", F.col("v.value").alias("value"))
 
 
+def _holding(counted: DataFrame, group: list[str], order: str) -> DataFrame:
+    """Buckets that hold a wanted rank, with the rows below them and those ranks."""
+    running = Window.partitionBy(*group).orderBy(order)
+    before = F.col("below") + F.sum("rows").over(running) - F.col("rows")
+    return (
+        counted.withColumn("below", before)
+        .withColumn("ranks", F.filter("ranks", lambda r: (r >= F.col("below"))
+                                      & (r < F.col("below") + F.col("rows"))))
+        .filter(F.size("ranks") > 0)
+    )
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     by: Iterable[str] = (), levels: int = 2,
                     few_groups: bool = False) -> DataFrame:
@@ -71,44 +86,33 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     few = few_groups or not by
     values = long_values(df, cols, by)
     wanted = F.array(*[F.lit(float(p)) for p in probs])
-
-    spans = values.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-    ranks = (
-        spans.withColumn("p", F.explode(wanted))
-        .withColumn("place", F.col("p") * (F.col("n") - 1))
-        .withColumn("rank", F.explode(F.array_distinct(F.array(
-            F.floor("place").cast("bigint"), F.ceil("place").cast("bigint")))))
-        .select(*keys, "n", "rank", "lo", "hi", F.lit(0).cast("bigint").alias("below"))
-        .distinct()
-    )
-    state = [*keys, "n", "rank", "lo", "hi", "below"]
+    last = F.col("n") - 1
+
+    ranges = values.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
+    ).withColumns({
+        "below": F.lit(0).cast("bigint"),
+        "ranks": F.array_distinct(F.concat(
+            F.transform(wanted, lambda p: F.floor(p * last)),
+            F.transform(wanted, lambda p: F.ceil(p * last)))),
+    })
+    state = [*keys, "n", "lo", "hi", "below", "ranks"]
     for _ in range(levels):
         counted = (
-            _inside(values, ranks, keys, few).withColumn("bucket", _bucket())
+            _inside(values, _with_steps(ranges), keys, few).withColumn("bucket", _bucket())
             .groupBy(*state, "bucket")
             .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("first"),
-                 F.max("value").alias("last"))
-        )
-        running = Window.partitionBy(*keys, "rank").orderBy("bucket")
-        ranks = (
-            counted.withColumn("before", F.col("below") + F.sum("rows").over(running) - F.col("rows"))
-            .filter((F.col("rank") >= F.col("before"))
-                    & (F.col("rank") < F.col("before") + F.col("rows")))
-            .select(*keys, "n", "rank", F.col("first").alias("lo"), F.col("last").alias("hi"),
-                    F.col("before").alias("below"))
+                 F.max("value").alias("final"))
         )
-    running = Window.partitionBy(*keys, "rank").orderBy("value")
-    picked = (
-        _inside(values, ranks, keys, few)
-        .groupBy(*keys, "n", "rank", "below", "value").agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("upto", F.col("below") + F.sum("rows").over(running))
-        .filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("rows")))
-        .select(*keys, "n", "rank", "value")
-    )
+        ranges = _holding(counted, [*keys, "lo"], "bucket").select(
+            *keys, "n", F.col("first").alias("lo"), F.col("final").alias("hi"), "below", "ranks")
+    counted = (_inside(values, ranges, keys, few).groupBy(*state, "value")
+               .agg(F.count(F.lit(1)).alias("rows")))
+    found = _holding(counted, [*keys, "lo"], "value").select(
+        *keys, "n", "value", F.explode("ranks").alias("rank"))
     return (
-        picked.withColumn("p", F.explode(wanted))
-        .withColumn("place", F.col("p") * (F.col("n") - 1))
+        found.withColumn("p", F.explode(wanted))
+        .withColumn("place", F.col("p") * last)
         .filter((F.col("rank") == F.floor("place")) | (F.col("rank") == F.ceil("place")))
         .groupBy(*keys, "p", "n", "place")
         .agg(F.min_by("value", "rank").alias("low"), F.max_by("value", "rank").alias("high"))

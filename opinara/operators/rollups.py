@@ -169,7 +169,7 @@ def term_counts(df: DataFrame, text: str = "text", by: str = "source_type",
     Keywords and n-grams come from one pass over the texts. Only single words are
     held to ``min_chars``; n-grams are built before that filter.
     """
-    tokens = remove_stop_words(keyword_tokens(text), stop_words)
+    tokens = remove_stop_words(keyword_tokens(text), stop_words, lowered=True)
     carried = [score] if score else []
     rows = df.filter(F.col(text).isNotNull()).select(
         F.col(by).alias("source_type"), *carried, tokens.alias("_tokens"))

@@ -19,9 +19,9 @@ def words(values) -> str:
     return "(" + ", ".join(lit(v) for v in values) + ")"
 
 
-def add(name: str, sql: str, d: str = "", i: str = "") -> None:
+def add(name: str, sql: str, d: str = "", i: str = "", digits: int = 6) -> None:
     """Register a statement; ``d`` names its doubles, ``i`` its whole numbers."""
-    replaced = [f"round({c}::DOUBLE, 6) + 0 AS {c}" for c in d.split()]
+    replaced = [f"round({c}::DOUBLE, {digits}) + 0 AS {c}" for c in d.split()]
     replaced += [f"{c}::BIGINT AS {c}" for c in i.split()]
     head = f"SELECT * REPLACE ({', '.join(replaced)})" if replaced else "SELECT *"
     ORACLES[name] = f"{head} FROM ({sql.strip()}) AS q"
@@ -789,7 +789,7 @@ _NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 add("describe_numeric", " UNION ALL ".join(f"""SELECT {lit(c)} AS metric, count({c}) AS count, avg({c}) AS mean,
   stddev_samp({c}) AS std, min({c}) AS min, max({c}) AS max, quantile_cont({c}, 0.25) AS q1,
   quantile_cont({c}, 0.5) AS median, quantile_cont({c}, 0.75) AS q3 FROM lineitem""" for c in _NUM),
-    d="mean std min max q1 median q3")
+    d="mean std min max q1 median q3", digits=4)
 _QS = {
     "rows": "count(*)", "columns": "max(5)",
     "duplicate_rows": "count(*) - (SELECT count(*) FROM (SELECT DISTINCT source, text, lang, n_chars, quality FROM lb))",
@@ -828,7 +828,7 @@ ENG = "en AS (SELECT l_quantity, l_extendedprice, CASE WHEN l_returnflag <> 'R'
 add("engagement_summary", f"WITH {ENG} " + " UNION ALL ".join(f"""SELECT {lit(c)} AS metric,
   1 - count({c})::DOUBLE / count(*) AS missing_ratio, avg({c}) AS mean, avg(ln(1 + {c})) AS mean_log1p,
   quantile_cont({c}, 0.5) AS median, quantile_cont({c}, 0.95) AS p95, quantile_cont({c}, 0.99) AS p99 FROM en"""
-  for c in ("l_quantity", "l_extendedprice", "l_tax")), d="missing_ratio mean mean_log1p median p95 p99")
+  for c in ("l_quantity", "l_extendedprice", "l_tax")), d="missing_ratio mean mean_log1p median p95 p99", digits=4)
 add("crosstab", "SELECT lang, " + ", ".join(
     f"count(*) FILTER (source = 'src{i}') AS src{i}" for i in range(20)) + " FROM documents GROUP BY lang")
 add("null_structure", f"""WITH {LABELLED}, m AS (SELECT 'tweet' AS record_type, text, quality AS parsed, doc_id,

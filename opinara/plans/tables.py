@@ -49,11 +49,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    return spread_small(table(spark, sf_dir, "documents"))
+    return spread_small(table(spark, sf_dir, "documents"), "doc_id")
 
 
 def conversations(spark, sf_dir) -> DataFrame:
-    return spread_small(table(spark, sf_dir, "conversations"))
+    return spread_small(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+
+
+def lineitem(spark, sf_dir) -> DataFrame:
+    return spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
 
 
 def labelled(spark, sf_dir) -> DataFrame:

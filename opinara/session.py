@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,14 +42,19 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="opinara-checkpoint-"))
     return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once, so later readers do not recompute it."""
+    """Write ``df`` once to the shared folder and read it back.
+
+    What follows starts from files: it is not recomputed when it is used twice, and a
+    lost executor costs no more than its own tasks. Parquet keeps column pruning.
+    """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(spark)}/opinara/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -21,15 +21,17 @@ def normalize_timestamps(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in plain}) if plain else df
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread a table that fits fewer input splits than there are cores.
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table over the cores when it is too small to have a split for each.
 
-    A small file has one row group and would keep one core busy. Tables with enough
-    splits, which is every large one, are returned untouched.
+    A small file has one row group and would keep one core busy with all of its texts.
+    Judged by the file sizes the planner knows; larger tables are returned untouched.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores \
-        and df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return df.repartition(cores, *keys) if size < cores * split else df
 
 
 def read_snapshots(spark: SparkSession, path: str | list[str], source: str,
