@@ -106,16 +106,14 @@ def compound_sentiment_from_table(df: DataFrame, row_id: str, text: str,
                                   lexicon: DataFrame) -> DataFrame:
     """Compound score with the lexicon ``(word, weight)`` held in a table of any size.
 
-    Tokens are counted per row before the join and weights summed map-side, so one
-    small (id, sum) row per text crosses the second shuffle. No broadcast is forced:
-    the runtime size of the lexicon decides the join.
+    The weights of a text are summed map-side, so one (id, sum) row per text crosses
+    the shuffle. No broadcast is forced: the size of the lexicon decides the join, and
+    a shuffle join on words leaves frequent words to the adaptive skew split.
     """
     words = lexicon.groupBy("word").agg(F.max("weight").cast("double").alias("weight"))
     hits = (
-        df.select(row_id, F.explode(word_tokens(text)).alias("word"))
-        .groupBy(row_id, "word").agg(F.count(F.lit(1)).alias("n"))
-        .join(words, "word")
-        .groupBy(row_id).agg(F.sum(F.col("n") * F.col("weight")).alias("_total"))
+        df.select(row_id, F.explode(word_tokens(text)).alias("word")).join(words, "word")
+        .groupBy(row_id).agg(F.sum("weight").alias("_total"))
     )
     joined = df.join(hits, row_id, "left")
     return score_columns(joined, normalized(F.coalesce("_total", F.lit(0.0)))).drop("_total")

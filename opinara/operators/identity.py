@@ -13,11 +13,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def _total_order(df: DataFrame, order: Iterable[Column]) -> list[Column]:
-    """The wanted order, made total by a digest of the row: equal rows excepted, no tie
-    is left for the shuffle to decide."""
-    digest = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]),
-                              {"ignoreNullFields": "false"}), 256)
-    return [*order, digest]
+    """The wanted order with a hash of the row behind it, so that no tie is left for the
+    shuffle to decide."""
+    return [*order, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
 
 
 def keep_one(df: DataFrame, keys: list[str | Column], order: list[Column]) -> DataFrame:
@@ -142,20 +140,21 @@ def snapshot_rank(df: DataFrame, key: str, order: list[Column], bucket: Column,
                   newest_first: bool = True, name: str = "snapshot_rank") -> DataFrame:
     """Rank every capture of an id.
 
-    ``bucket`` must rise with the leading order column (a truncated timestamp). Rows
+    ``bucket`` is a truncated timestamp that rises with the leading order column. Rows
     are ranked inside (id, bucket) and shifted by the number of rows in the id's
     earlier buckets, which is counted map-side, so the history of one hot id is
-    spread over as many tasks as it has buckets.
+    spread over as many tasks as it has buckets: choose the grain so that a bucket of
+    the hottest id fits a task. Undated rows rank last. Rows without an id are left out.
     """
-    tagged = df.withColumn("_bucket", bucket)
+    # a value instead of null, so that the join below reuses the window's partitioning
+    undated = F.lit("0001-01-01" if newest_first else "9999-12-31").cast("timestamp")
+    tagged = df.filter(F.col(key).isNotNull()).withColumn("_bucket", F.coalesce(bucket, undated))
     sizes = tagged.groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    first = F.col("_bucket").desc_nulls_last() if newest_first else F.col("_bucket").asc_nulls_last()
+    first = F.col("_bucket").desc() if newest_first else F.col("_bucket").asc()
     before = F.sum("_rows").over(Window.partitionBy(key).orderBy(first)) - F.col("_rows")
-    offsets = sizes.select(F.col(key).alias("_key"), F.col("_bucket").alias("_b"),
-                           before.alias("_before"))
+    offsets = sizes.select(key, "_bucket", before.alias("_before"))
     inner = Window.partitionBy(key, "_bucket").orderBy(*order)
     ranked = tagged.withColumn("_rn", F.row_number().over(inner))
-    joined = ranked.join(
-        offsets, F.col(key).eqNullSafe(F.col("_key")) & F.col("_bucket").eqNullSafe(F.col("_b")))
+    joined = ranked.join(offsets, [key, "_bucket"])
     return (joined.withColumn(name, (F.col("_before") + F.col("_rn")).cast("bigint"))
-            .drop("_bucket", "_rn", "_key", "_b", "_before"))
+            .select(*df.columns, name))

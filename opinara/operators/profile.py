@@ -209,13 +209,13 @@ def rows_per_file(df: DataFrame, present: list[str] = ()) -> DataFrame:
 
 def entity_mix(df: DataFrame, entity: str, text: str, date: str) -> DataFrame:
     """Records, share, text coverage and date range per entity."""
-    from opinara.operators.rollups import with_share
+    from opinara.operators.rollups import row_total, with_share
     counts = df.groupBy(F.coalesce(F.col(entity), F.lit("Unknown")).alias("entity")).agg(
         F.count(F.lit(1)).alias("records"),
         F.avg((F.length(F.coalesce(F.col(text), F.lit(""))) > 0).cast("double")).alias("text_coverage"),
         F.min(date).alias("first_date"), F.max(date).alias("last_date"),
         F.count(date).alias("dated"))
-    return with_share(counts, "records", "share_pct")
+    return with_share(counts, "records", row_total(df), "share_pct")
 
 
 def snapshot_multiplicity(df: DataFrame, key: str) -> DataFrame:
@@ -223,7 +223,8 @@ def snapshot_multiplicity(df: DataFrame, key: str) -> DataFrame:
     from opinara.operators.rollups import with_share
     captures = df.groupBy(key).agg(F.count(F.lit(1)).alias("captures"))
     dist = captures.groupBy("captures").agg(F.count(F.lit(1)).alias("ids"))
-    return with_share(dist, "ids", "share_pct")
+    ids = df.agg(F.count_distinct(F.struct(key))).scalar()
+    return with_share(dist, "ids", ids, "share_pct")
 
 
 def multiplicity_summary(df: DataFrame, key: str) -> DataFrame:

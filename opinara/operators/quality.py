@@ -85,10 +85,10 @@ def text_stats(df: DataFrame, length: Column, by: list[str] | None = None) -> Da
 
 
 def language_distribution(df: DataFrame, lang: str = "lang") -> DataFrame:
-    from opinara.operators.rollups import with_share
+    from opinara.operators.rollups import row_total, with_share
     counts = df.groupBy(F.coalesce(F.col(lang), F.lit("unknown")).alias("lang")).agg(
         F.count(F.lit(1)).alias("language_count"))
-    return with_share(counts, "language_count", "language_pct")
+    return with_share(counts, "language_count", row_total(df), "language_pct")
 
 
 def outlier_rate(df: DataFrame, cols: list[str], method: str = "approx") -> DataFrame:
@@ -320,7 +320,7 @@ def storytelling_summary(rows: DataFrame, k: int = 25, topics: int = 10, **terms
     keyword-sentiment, bigram and topic sections rankings of one term count, so the
     texts are read twice in all.
     """
-    from opinara.operators.rollups import term_counts
+    from opinara.operators.rollups import row_total, term_counts
     from pyspark.sql import Window
 
     cube = rows.groupBy("source_type", "event_date", "sentiment").agg(
@@ -329,8 +329,7 @@ def storytelling_summary(rows: DataFrame, k: int = 25, topics: int = 10, **terms
         [[F.col("sentiment")], [F.col("source_type"), F.col("event_date")], [F.col("source_type")]],
         "source_type", "event_date", "sentiment",
     ).agg(F.grouping_id().alias("g"), F.sum("n").alias("n"), F.sum("s").alias("s"))
-    # a plain count, so that neither tags nor scores are computed for it
-    records = rows.agg(F.count(F.lit(1))).scalar()
+    records = row_total(rows)
     sets, total = sets.withColumn("total", records), F.col("total")
     avg = F.col("s") / F.col("n")
     day, source = period("event_date"), F.col("source_type")

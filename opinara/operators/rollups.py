@@ -126,11 +126,16 @@ def representative_comments(rows: DataFrame, min_chars: int = 20, cut: int = 300
         best("positive").alias("best_comment"), best("negative").alias("worst_comment"))
 
 
-def with_share(df: DataFrame, count: str, name: str = "share", scale: float = 100.0) -> DataFrame:
-    """Share of the total, the total being one scalar over the aggregated frame."""
-    total = df.agg(F.sum(count)).scalar()
-    return df.withColumn(name, F.coalesce(F.try_divide(F.col(count).cast("double") * scale, total),
-                                          F.lit(0.0)))
+def row_total(rows: DataFrame) -> Column:
+    """Number of rows as a scalar. No column is read for it, nothing is computed."""
+    return rows.agg(F.count(F.lit(1))).scalar()
+
+
+def with_share(counts: DataFrame, count: str, total: Column, name: str = "share",
+               scale: float = 100.0) -> DataFrame:
+    """Share of a total that is known apart from the counts."""
+    share = F.try_divide(F.col(count).cast("double") * scale, total)
+    return counts.withColumn(name, F.coalesce(share, F.lit(0.0)))
 
 
 def sentiment_distribution(df: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -139,7 +144,7 @@ def sentiment_distribution(df: DataFrame, by: list[str] | None = None) -> DataFr
     counts = df.groupBy(*by, "sentiment").agg(
         F.count(F.lit(1)).alias("sentiment_count"), F.avg("sentiment_score").alias("avg_sentiment"))
     if not by:
-        return with_share(counts, "sentiment_count", "sentiment_pct")
+        return with_share(counts, "sentiment_count", row_total(df), "sentiment_pct")
     # at most three labels per period
     total = F.sum("sentiment_count").over(Window.partitionBy(*by))
     return counts.withColumn(
@@ -225,7 +230,7 @@ def topic_terms(df: DataFrame, k: int = 10, **terms) -> DataFrame:
 
 def kpi_share(df: DataFrame) -> DataFrame:
     counts = df.groupBy("sentiment").agg(F.count(F.lit(1)).alias("n"))
-    return with_share(counts, "n", "percentage", 1.0).select("sentiment", "percentage")
+    return with_share(counts, "n", row_total(df), "percentage", 1.0).select("sentiment", "percentage")
 
 
 def kpi_score(df: DataFrame) -> DataFrame:

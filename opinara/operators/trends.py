@@ -10,7 +10,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from opinara.operators.rollups import sentiment_measures, with_share
+from opinara.operators.rollups import row_total, sentiment_measures, with_share
 
 
 def volume_trend(df: DataFrame, by: str, date_col: str, cumulative: bool = False) -> DataFrame:
@@ -103,7 +103,8 @@ def top_k(df: DataFrame, order: list[Column], k: int, by: list[str] | None = Non
 
 def peak_days(df: DataFrame, date_col: str, k: int = 10) -> DataFrame:
     """Busiest days and the share of all records they hold."""
-    daily = df.filter(F.col(date_col).isNotNull()).groupBy(
-        F.col(date_col).cast("date").alias("period")).agg(F.count(F.lit(1)).alias("n_records"))
-    return with_share(daily, "n_records", "share_pct").orderBy(
+    dated = df.filter(F.col(date_col).isNotNull())
+    daily = dated.groupBy(F.col(date_col).cast("date").alias("period")).agg(
+        F.count(F.lit(1)).alias("n_records"))
+    return with_share(daily, "n_records", row_total(dated), "share_pct").orderBy(
         F.col("n_records").desc(), "period").limit(k)

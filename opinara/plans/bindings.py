@@ -16,8 +16,10 @@ from opinara.operators import (
     filters, identity, profile, quality, rollups, shape, story, trends,
 )
 from opinara.plans import tables as t
-from opinara.session import cut_lineage
+from opinara.session import cut_lineage, scratch_path
 from opinara.sources import readers
+from opinara.sources.writers import upsert_weekly
+from opinara.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -520,13 +522,17 @@ def _(spark, sf):
 
 @query("story_row")
 def _(spark, sf):
-    # as in a weekly run: the roll-ups are written, the story is told from them
-    tweets, news = t.tweets(spark, sf), t.news(spark, sf)
+    # as in a weekly run: rows are tagged, scored and written once, the roll-ups read them
+    # back, the story reads the written roll-ups
+    cols = ["brand", "product", "topic", "sentiment", "sentiment_score"]
+    posts = cut_lineage(t.tweets(spark, sf).select(*cols, "total_engagement", "text"))
+    replies = cut_lineage(t.news(spark, sf).select(*cols, F.col("comment_text").alias("text")))
+    quotes = posts.select(*cols, "text").unionByName(replies)
     return story.story_row(*map(cut_lineage, (
-        rollups.present(rollups.brand_analytics(tweets, news)),
-        rollups.present(rollups.topic_analytics(tweets, news)),
-        rollups.present(rollups.product_analytics(tweets, news)),
-        rollups.representative_comments(t.comments(spark, sf)),
+        rollups.present(rollups.brand_analytics(posts, replies)),
+        rollups.present(rollups.topic_analytics(posts, replies)),
+        rollups.present(rollups.product_analytics(posts, replies)),
+        rollups.representative_comments(quotes),
     ))).drop("brand_sentiment_snapshot", "representative_comments")
 
 
@@ -1179,3 +1185,45 @@ def _(spark, sf):
 @query("cleaning_report")
 def _(spark, sf):
     return profile.cleaning_report(t.documents(spark, sf), "text", ["text"], "lang")
+
+
+# ---- streams: each takes all files that are there, stops, and its output is read back ----
+
+def _event_stream(spark, sf) -> DataFrame:
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    return jobs.stream_files(spark, sf, schema, "events.parquet")
+
+
+@query("stream_volume")
+def _(spark, sf):
+    out = scratch_path(spark, "stream")
+    trend = jobs.stream_trend(_event_stream(spark, sf), "ts", "event_type", score="value")
+    jobs.write_trend(trend, f"{out}/trend", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/trend")
+
+
+@query("stream_dedup")
+def _(spark, sf):
+    out = scratch_path(spark, "stream")
+    rows = _event_stream(spark, sf).select("user_id", "event_type", "ts")
+    unique = jobs.stream_dedup(rows, ["user_id", "event_type"], "ts", "2 days")
+    jobs.run_available(unique, f"{out}/checkpoint", jobs.land_batches(f"{out}/rows"))
+    return spark.read.parquet(f"{out}/rows").select("user_id", "event_type")
+
+
+@query("stream_upsert")
+def _(spark, sf):
+    out = scratch_path(spark, "stream")
+    rows = _event_stream(spark, sf).select("user_id", "event_id", "value", F.col("ts").cast("timestamp").alias("ts"))
+    jobs.run_available(rows, f"{out}/checkpoint", lambda batch, _: upsert_weekly(
+        batch, f"{out}/silver", ["user_id"], ["ts", "event_id"], date_col="ts"))
+    return spark.read.parquet(f"{out}/silver").select("user_id", "iso_year", "iso_week", "event_id", "value")
+
+
+@query("stream_alerts")
+def _(spark, sf):
+    out = scratch_path(spark, "stream")
+    daily = cut_lineage(trends.daily_sentiment(t.branded_days(spark, sf)))
+    days = jobs.stream_files(spark, daily.inputFiles()[0].rsplit("/", 1)[0], daily.schema)
+    jobs.stream_alerts(days, out, f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/alerts")

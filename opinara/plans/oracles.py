@@ -858,3 +858,16 @@ _CR = {
 add("cleaning_report", """WITH g AS (SELECT text, count(*) AS n, min((lang = 'en')::INT) AS tl FROM documents
   WHERE trim(text) <> '' GROUP BY text) """ + " UNION ALL ".join(
     f"SELECT {lit(k)} AS metric, ({v})::DOUBLE AS value" for k, v in _CR.items()), d="value")
+
+# ---- streams ------------------------------------------------------------------------------------
+
+add("stream_volume", """SELECT ts::DATE AS period, event_type, count(*) AS n_records, sum(value) AS score_sum,
+  avg(value) AS avg_score FROM events GROUP BY 1, 2""", d="score_sum avg_score")
+add("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+add("stream_upsert", """SELECT user_id, isoyear(ts) AS iso_year, weekofyear(ts) AS iso_week,
+  arg_max(event_id, struct_pack(ts := ts, e := event_id)) AS event_id,
+  arg_max(value, struct_pack(ts := ts, e := event_id)) AS value FROM events GROUP BY 1, 2, 3""",
+    d="value", i="iso_year iso_week")
+add("stream_alerts", f"""WITH {TEXT_DAYS}, {alerts(False)} SELECT * FROM sa ORDER BY CASE severity
+  WHEN 'critical' THEN 0 WHEN 'warning' THEN 1 ELSE 2 END, date, brand, source, type LIMIT 10""",
+    d="prev_pct curr_pct delta")

@@ -48,6 +48,11 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A fresh path below the shared folder."""
+    return f"{shared_dir(spark)}/opinara/{kind}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -55,6 +60,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     lost executor costs no more than its own tasks. Parquet keeps column pruning.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/opinara/{uuid.uuid4().hex}"
+    path = scratch_path(spark, "table")
     df.write.parquet(path)
     return spark.read.parquet(path)

@@ -28,6 +28,13 @@ def run_available(df: DataFrame, checkpoint: str, each: Callable[[DataFrame, int
     return query
 
 
+def land_batches(path: str) -> Callable[[DataFrame, int], None]:
+    """Sink for ``run_available``: one partition per batch, so a repeated batch replaces itself."""
+    def land(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    return land
+
+
 def stream_files(spark: SparkSession, path: str, schema, pattern: str = "*.parquet",
                  file_format: str = "parquet", per_batch: int | None = None, **options) -> DataFrame:
     reader = spark.readStream.format(file_format).schema(schema).option("pathGlobFilter", pattern)
@@ -93,9 +100,7 @@ def stream_alerts(trend: DataFrame, path: str, checkpoint: str, threshold: float
     spark = trend.sparkSession
 
     def detect(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch")
-         .parquet(f"{path}/trend"))
+        land_batches(f"{path}/trend")(batch, batch_id)
         days = spark.read.parquet(f"{path}/trend").drop("batch")
         ordered_alerts(sentiment_alerts(days, threshold), k).write.mode("overwrite").parquet(
             f"{path}/alerts")

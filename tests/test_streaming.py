@@ -51,7 +51,7 @@ def test_dedup_stream_keeps_one_row_per_key(spark, tmp_path):
     source = jobs.stream_files(spark, folder, spark.read.parquet(folder).schema, per_batch=1)
     out = str(tmp_path / "out")
     jobs.run_available(jobs.stream_dedup(source, ["id"], "ts", "1 hour"), str(tmp_path / "c"),
-                       lambda batch, _: batch.write.mode("append").parquet(out))
+                       jobs.land_batches(out))
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
 
 
