@@ -8,17 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from opinara import vocab
 from opinara.functions import dates, nested, sentiment, taxonomy, text
 from opinara.operators import (
     filters, identity, profile, quality, rollups, shape, story, trends,
 )
-from opinara.plans import tables as t
+from opinara.plans import tables as t, weekly
 from opinara.session import cut_lineage, scratch_path
 from opinara.sources import readers
-from opinara.sources.writers import upsert_weekly
+from opinara.sources.writers import upsert_weekly, write_csv, write_snapshot, write_weekly
 from opinara.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1187,6 +1188,130 @@ def _(spark, sf):
     return profile.cleaning_report(t.documents(spark, sf), "text", ["text"], "lang")
 
 
+# ---- written and read back ------------------------------------------------------------
+
+def _as_snapshots(spark, sf) -> DataFrame:
+    """Every document as a tweet snapshot of its own."""
+    stamp = F.unix_millis(t._day("doc_id").cast("timestamp")).cast("string")
+    author = F.struct(F.col("source").alias("userName"), F.col("doc_id").alias("followers"))
+    return t.documents(spark, sf).select(
+        F.concat(F.lit("s"), F.col("doc_id").cast("string")).alias("_id"), stamp.alias("date"),
+        F.array(F.struct(F.col("doc_id").cast("string").alias("id"), "text", "lang",
+                         F.col("n_chars").alias("likeCount"), author.alias("author"))).alias("tweets"),
+        F.to_timestamp(t._day("doc_id")).alias("createdAt"))
+
+
+@query("snapshot_json")
+def _(spark, sf):
+    root = scratch_path(spark, "bronze")
+    landed = write_snapshot(_as_snapshots(spark, sf), root, "twitter", "tweets")
+    rows = readers.silver_tweets(readers.read_snapshots(spark, landed, "twitter", lines=True))
+    return rows.select("id", "text_cleaned", "text_length", "author_userName", "author_followers",
+                       "likeCount", dates.safe_date("snapshot_date").alias("day"))
+
+
+@query("latest_file")
+def _(spark, sf):
+    """Two landings of different tables; the one with the greater name is read."""
+    root = scratch_path(spark, "bronze")
+    for day, name in ((1, "labels"), (2, "documents")):
+        t.table(spark, sf, name).select("doc_id").write.parquet(f"{root}/twitter_tweets_2024010{day}")
+    names = readers.list_files(spark, root, "*.parquet").select(
+        F.regexp_extract("path", "(twitter_tweets_[0-9]+)", 1).alias("name"), "path")
+    newest = names.agg(F.max("name")).first()[0]
+    return spark.read.parquet(f"{root}/{newest}")
+
+
+def _weekly_orders(spark, sf) -> str:
+    path = f"{scratch_path(spark, 'silver')}/orders"
+    rows = dates.with_iso_week(t.table(spark, sf, "orders"), "o_orderdate").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "iso_year", "iso_week")
+    write_weekly(rows, path)
+    return path
+
+
+@query("read_silver_weeks")
+def _(spark, sf):
+    return readers.read_silver(spark, _weekly_orders(spark, sf), [(1995, 1), (1996, 52)])
+
+
+@query("write_weekly_replaces")
+def _(spark, sf):
+    path = _weekly_orders(spark, sf)
+    one_week = readers.read_silver(spark, path, [(1995, 10)])
+    write_weekly(one_week.withColumn("o_totalprice", F.lit(0.0)).drop("iso_year", "iso_week"),
+                 f"{path}-new", (1995, 10))
+    write_weekly(readers.read_silver(spark, f"{path}-new"), path)
+    return readers.read_silver(spark, path).groupBy("iso_year", "iso_week").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total"))
+
+
+@query("read_latest_artifact")
+def _(spark, sf):
+    root, name = _weekly_orders(spark, sf).rsplit("/", 1)
+    return readers.read_latest_artifact(spark, root, name)
+
+
+@query("csv_round_trip")
+def _(spark, sf):
+    path = scratch_path(spark, "csv")
+    rows = t.documents(spark, sf).select("doc_id", "text", F.split("source", "c").alias("parts"))
+    write_csv(rows, path)
+    return readers.read_csv(spark, path, "doc_id bigint, text string, parts string")
+
+
+@query("read_silver_merged")
+def _(spark, sf):
+    root = scratch_path(spark, "silver")
+    docs, turns = t.table(spark, sf, "documents"), t.table(spark, sf, "conversations")
+    docs.select(F.col("doc_id").cast("string").alias("id"), "lang", F.col("n_chars").cast("string")
+                .alias("likeCount"), F.lit(1).alias("unknown")).write.parquet(f"{root}/tweets_2024_W01.parquet")
+    docs.select(F.concat(F.lit("b"), F.col("doc_id").cast("string")).alias("id"), F.col("n_chars")
+                .alias("viewCount")).write.parquet(f"{root}/tweets_2024_W02.parquet")
+    turns.select(F.col("conv_id").cast("string").alias("newsLink"), F.split("text", "\n").alias("comments")) \
+        .write.parquet(f"{root}/noticias_2024_W01.parquet")
+    rows = readers.read_silver_merged(spark, root)
+    return rows.select("id", "lang", "likeCount", "viewCount", "newsLink", "comments", "source_type")
+
+
+@query("select_by_pattern")
+def _(spark, sf):
+    return shape.select_by_pattern(t.table(spark, sf, "orders"), ["price", "priority"], keep=["o_orderkey"])
+
+
+@query("user_scorer")
+def _(spark, sf):
+    """A caller's own scorer, as an Arrow UDF over batches of texts."""
+    @F.pandas_udf("double")
+    def vowels(texts: pd.Series) -> pd.Series:
+        return (texts.str.count("[aeiou]") / texts.str.len().clip(lower=1) - 0.4).round(6)
+
+    return sentiment.compound_sentiment(t.documents(spark, sf), "text", scorer=vowels).select(
+        "doc_id", "sentiment_score", "sentiment")
+
+
+@query("weekly_brands")
+def _(spark, sf):
+    """The whole weekly run over both tables: Silver upsert, governance, roll-ups, story."""
+    root = scratch_path(spark, "lake")
+    stamp = lambda key: F.unix_millis(t._day(key).cast("timestamp")).cast("string")
+    posts = t.documents(spark, sf).select(
+        F.col("doc_id").cast("string").alias("id"), "text", "lang", F.col("source").alias("author_userName"),
+        F.col("doc_id").alias("author_followers"), F.col("n_chars").alias("likeCount"),
+        stamp("doc_id").alias("snapshot_date"), t._day("doc_id").alias("event_date"))
+    articles = t.conversations(spark, sf).select(
+        F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("newsLink"),
+        F.split("text", "\n").alias("comments"), stamp("conv_id").alias("snapshot_date"),
+        t._day("conv_id").alias("event_date"))
+    upsert_weekly(posts, f"{root}/silver/tweets", ["id"], ["snapshot_date"], date_col="event_date")
+    upsert_weekly(articles, f"{root}/silver/news", ["newsLink"], ["snapshot_date"], date_col="event_date")
+    tables = weekly.run_week(
+        spark, f"{root}/silver", f"{root}/gold", 2024, 3,
+        {"brand": t.TEST_BRANDS, "product": t.TEST_PRODUCTS, "topic": t.TEST_TOPICS},
+        lambda c: sentiment.lexicon_score(c, t.TEST_POSITIVE, t.TEST_NEGATIVE))
+    return tables["brand_analytics"]
+
+
 # ---- streams: each takes all files that are there, stops, and its output is read back ----
 
 def _event_stream(spark, sf) -> DataFrame:
@@ -1227,3 +1352,15 @@ def _(spark, sf):
     days = jobs.stream_files(spark, daily.inputFiles()[0].rsplit("/", 1)[0], daily.schema)
     jobs.stream_alerts(days, out, f"{out}/checkpoint")
     return spark.read.parquet(f"{out}/alerts")
+
+
+@query("stream_refresh_weeks")
+def _(spark, sf):
+    """Weeks that new rows arrive for are rebuilt from Silver."""
+    out, silver = scratch_path(spark, "stream"), _weekly_orders(spark, sf)
+    arrivals = readers.read_silver(spark, silver).filter("iso_year = 1995").select("iso_year", "iso_week")
+    arrivals.write.parquet(f"{out}/arrivals")
+    rows = jobs.stream_files(spark, f"{out}/arrivals", arrivals.schema)
+    jobs.refresh_weeks(rows, f"{out}/gold", f"{out}/checkpoint", lambda df: df.groupBy(
+        "iso_year", "iso_week").agg(F.count(F.lit(1)).alias("n")), silver)
+    return readers.read_silver(spark, f"{out}/gold")

@@ -859,6 +859,44 @@ add("cleaning_report", """WITH g AS (SELECT text, count(*) AS n, min((lang = 'en
   WHERE trim(text) <> '' GROUP BY text) """ + " UNION ALL ".join(
     f"SELECT {lit(k)} AS metric, ({v})::DOUBLE AS value" for k, v in _CR.items()), d="value")
 
+# ---- written and read back --------------------------------------------------------------------
+
+add("snapshot_json", f"""SELECT doc_id::VARCHAR AS id, {clean('text', 'nlp')} AS text_cleaned,
+  length({clean('text', 'nlp')}) AS text_length, source AS author_userName, doc_id AS author_followers,
+  n_chars AS likeCount, {day('doc_id')} AS day FROM documents""", i="text_length")
+add("latest_file", "SELECT doc_id FROM documents")
+WEEKLY = """wo AS (SELECT o_orderkey, o_custkey, o_totalprice, isoyear(o_orderdate) AS iso_year,
+  weekofyear(o_orderdate) AS iso_week FROM orders)"""
+add("read_silver_weeks", f"""WITH {WEEKLY} SELECT * FROM wo WHERE (iso_year = 1995 AND iso_week = 1)
+  OR (iso_year = 1996 AND iso_week = 52)""", d="o_totalprice", i="iso_year iso_week")
+add("write_weekly_replaces", f"""WITH {WEEKLY} SELECT iso_year, iso_week, count(*) AS n,
+  sum(CASE WHEN iso_year = 1995 AND iso_week = 10 THEN 0.0 ELSE o_totalprice END) AS total FROM wo GROUP BY 1, 2""",
+    d="total", i="iso_year iso_week")
+add("read_latest_artifact", f"""WITH {WEEKLY} SELECT * FROM wo WHERE iso_year * 100 + iso_week =
+  (SELECT max(iso_year * 100 + iso_week) FROM wo)""", d="o_totalprice", i="iso_year iso_week")
+add("csv_round_trip", """SELECT doc_id, text, to_json(string_split(source, 'c'))::VARCHAR AS parts FROM documents""")
+add("read_silver_merged", """SELECT doc_id::VARCHAR AS id, lang, n_chars AS likeCount, NULL::BIGINT AS viewCount,
+    NULL::VARCHAR AS newsLink, NULL::VARCHAR AS comments, 'tweets' AS source_type FROM documents
+  UNION ALL SELECT 'b' || doc_id, NULL, NULL, n_chars, NULL, NULL, 'tweets' FROM documents
+  UNION ALL SELECT NULL, NULL, NULL, NULL, conv_id::VARCHAR, to_json(string_split(text, chr(10)))::VARCHAR, 'news'
+    FROM conversations""")
+add("select_by_pattern", "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders", d="o_totalprice")
+add("user_scorer", f"""WITH s AS (SELECT doc_id, round(len(regexp_extract_all(text, '[aeiou]'))::DOUBLE
+    / greatest(length(text), 1) - 0.4, 6) + 0 AS sentiment_score FROM documents)
+  SELECT doc_id, sentiment_score, {label('sentiment_score')} AS sentiment FROM s""", d="sentiment_score")
+add("weekly_brands", f"""WITH wt AS (SELECT 't' AS k, {clean('text', 'nlp')} AS x, n_chars AS e, {day('doc_id')} AS dd FROM documents),
+  wc AS (SELECT 'n' AS k, unnest(string_split(text, chr(10))) AS y, {day('conv_id')} AS dd FROM conversations),
+  wa AS (SELECT k, x, e FROM wt WHERE isoyear(dd) = 2024 AND weekofyear(dd) = 3
+    UNION ALL SELECT k, {clean('y', 'nlp')}, NULL FROM wc WHERE isoyear(dd) = 2024 AND weekofyear(dd) = 3),
+  ws AS (SELECT *, {first('x', t.TEST_BRANDS)} AS brand, {per_token('x')} AS sentiment_score FROM wa),
+  wl AS (SELECT *, {label('sentiment_score')} AS sentiment FROM ws),
+  wb AS (SELECT brand, count(*) FILTER (k = 't') AS mentions_twitter, count(*) FILTER (k = 'n') AS mentions_news,
+    count(*) AS total_mentions, coalesce(sum(e), 0)::BIGINT AS total_engagement, {PCTS}
+    FROM wl WHERE brand IS NOT NULL GROUP BY brand)
+  SELECT * REPLACE (round(positive_pct, 1) AS positive_pct, round(negative_pct, 1) AS negative_pct,
+    round(neutral_pct, 1) AS neutral_pct, round(avg_score, 4) AS avg_score), 2024 AS iso_year, 3 AS iso_week FROM wb""",
+    d=PCT_COLS, i="iso_year iso_week")
+
 # ---- streams ------------------------------------------------------------------------------------
 
 add("stream_volume", """SELECT ts::DATE AS period, event_type, count(*) AS n_records, sum(value) AS score_sum,
@@ -871,3 +909,5 @@ add("stream_upsert", """SELECT user_id, isoyear(ts) AS iso_year, weekofyear(ts)
 add("stream_alerts", f"""WITH {TEXT_DAYS}, {alerts(False)} SELECT * FROM sa ORDER BY CASE severity
   WHEN 'critical' THEN 0 WHEN 'warning' THEN 1 ELSE 2 END, date, brand, source, type LIMIT 10""",
     d="prev_pct curr_pct delta")
+add("stream_refresh_weeks", f"""WITH {WEEKLY} SELECT iso_year, iso_week, count(*) AS n FROM wo WHERE iso_year = 1995
+  GROUP BY 1, 2""", i="iso_year iso_week")

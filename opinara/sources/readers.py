@@ -35,11 +35,15 @@ def spread_small(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def read_snapshots(spark: SparkSession, path: str | list[str], source: str,
-                   schema: StructType | None = None) -> DataFrame:
-    """Bronze JSON documents, one object or a list of objects per file."""
+                   schema: StructType | None = None, lines: bool = False) -> DataFrame:
+    """Bronze JSON documents with the file they came from.
+
+    A file holds one object or a list of objects; with ``lines`` it holds one object
+    per line, as ``write_snapshot`` lands them, and can be split.
+    """
     return (spark.read.schema(schema or schemas.SNAPSHOTS[source])
-            .option("multiLine", True).json(path).withColumns({
-                "source_file": F.col("_metadata.file_name")}))
+            .option("multiLine", not lines).json(path)
+            .withColumn("source_file", F.col("_metadata.file_name")))
 
 
 def list_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
@@ -133,10 +137,10 @@ FAMILY_COLUMNS = {
 
 
 def read_silver_merged(spark: SparkSession, path: str) -> DataFrame:
-    """All Silver files below a folder as one table with lineage.
+    """All Silver files and tables of a folder as one table with lineage.
 
-    Each family of files is read with its schemas merged, cut to its known columns
-    and coerced; the families are united by name.
+    Each family, told by its name, is read with its schemas merged, cut to its known
+    columns and coerced; the families are united by name.
     """
     parts = []
     for family, columns in FAMILY_COLUMNS.items():
@@ -162,9 +166,11 @@ def _read_family(spark: SparkSession, path: str, family: str) -> DataFrame | Non
     from pyspark.errors import AnalysisException
     try:
         return (spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
-                .option("pathGlobFilter", f"*{family}*.parquet").parquet(path))
-    except AnalysisException:  # no file of this family, so no schema
-        return None
+                .parquet(f"{path}/*{family}*"))
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":  # nothing of this family
+            return None
+        raise
 
 
 def latest_week(df: DataFrame) -> tuple[int, int] | None:
