@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
@@ -161,3 +162,9 @@ def quote(col: Column | str, n: int = 260) -> Column:
     return F.when(value.isNull() | junk, F.lit(None).cast("string")).when(
         F.length(value) > n, F.concat(F.lit('"'), F.left(value, F.lit(n)), F.lit('..."'))
     ).otherwise(F.concat(F.lit('"'), value, F.lit('"')))
+
+
+def fill(template: str, **values: Column) -> Column:
+    """A sentence template with its ``{name}`` places filled by columns."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[values[p] if i % 2 else F.lit(p) for i, p in enumerate(parts) if p])

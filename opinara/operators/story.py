@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from opinara import vocab
 from opinara.functions.nested import records_json
-from opinara.functions.text import capitalize, quote
+from opinara.functions.text import capitalize, fill, quote
 
 MOODS = ("Positive", "Neutral", "Negative")
 
@@ -65,32 +66,21 @@ def brand_narrative(brands: DataFrame) -> DataFrame:
     score = F.col("avg_score")
     tone = (F.when(score > 0.05, "mostly positive").when(score < -0.05, "mostly critical")
             .otherwise("mostly neutral"))
-    name = capitalize("brand")
-    return brands.select("brand", F.concat(
-        F.lit("During the current week, the brand "), name,
-        F.lit(" accumulated a total volume of "), F.format_number("total_mentions", 0),
-        F.lit(" mentions across the monitored channels. General consumer perception is "), tone,
-        F.lit(" with a net sentiment score of "), _signed(F.round(score, 4)),
-        F.lit(". Specifically, "), F.format_string("%.1f", F.round("positive_pct", 1)),
-        F.lit("% of discussions were positive, while "),
-        F.format_string("%.1f", F.round("negative_pct", 1)),
-        F.lit("% showed negative consumer feedback. A detailed breakdown of the products and "
-              "discussion categories driving this behavior is displayed below."),
-    ).alias("narrative"))
+    pct = lambda c: F.format_string("%.1f", F.round(c, 1))
+    return brands.select("brand", fill(
+        vocab.BRAND_NARRATIVE, brand=capitalize("brand"), tone=tone,
+        mentions=F.format_number("total_mentions", 0), score=_signed(F.round(score, 4)),
+        positive=pct("positive_pct"), negative=pct("negative_pct")).alias("narrative"))
 
 
 def alert_sentences(alerts: DataFrame) -> DataFrame:
     """One line of text per alert."""
-    spike = F.col("type") == "negative_spike"
     pct = lambda c: F.format_string("%.1f", F.col(c))
-    return alerts.withColumn("sentence", F.concat(
-        F.lit("["), F.upper("severity"), F.lit("] "),
-        F.when(spike, "Negative Spike").otherwise("Positive Recovery"), F.lit(" — "),
-        capitalize("brand"), F.lit(": "),
-        F.when(spike, "Negative sentiment jumped from ")
-        .otherwise("Positive sentiment recovered from "),
-        pct("prev_pct"), F.lit("% to "), pct("curr_pct"), F.lit("% (+"), pct("delta"),
-        F.lit(" pp)")))
+    said = {name: fill(template, severity=F.upper("severity"), brand=capitalize("brand"),
+                       previous=pct("prev_pct"), current=pct("curr_pct"), delta=pct("delta"))
+            for name, template in (("spike", vocab.SPIKE_SENTENCE), ("recovery", vocab.RECOVERY_SENTENCE))}
+    return alerts.withColumn("sentence", F.when(
+        F.col("type") == "negative_spike", said["spike"]).otherwise(said["recovery"]))
 
 
 def comment_quotes(comments: DataFrame, n: int = 260) -> DataFrame:
@@ -124,10 +114,8 @@ def story_row(brands: DataFrame, topics: DataFrame, products: DataFrame,
         F.max("total_mentions").alias("top_mentions"),
         _leader(brands, "brand", "positive_pct").alias("best_brand"),
         _leader(brands, "brand", "negative_pct").alias("worst_brand"))
-    summary = F.concat(
-        capitalize("top_brand"), F.lit(" fue la marca más mencionada durante la semana con "),
-        F.col("top_mentions").cast("string"),
-        F.lit(" referencias entre redes sociales y comentarios de noticias."))
+    summary = fill(vocab.EXECUTIVE_SUMMARY, brand=capitalize("top_brand"),
+                   mentions=F.col("top_mentions").cast("string"))
     snapshot = records_json(
         brands, ["brand", "total_mentions", "positive_pct", "negative_pct", "neutral_pct", "avg_score"],
         [-F.col("total_mentions"), F.col("brand")], "v")

@@ -32,11 +32,18 @@ def enrich(df: DataFrame, text: str, taxonomies=TAXONOMIES, scorer=default_score
     return score_columns(tag(df, text, taxonomies), scorer(F.col(text)))
 
 
+def _of_week(silver: DataFrame, year: int, week: int) -> DataFrame:
+    """Rows of one ISO week, dated by their event date or else by their snapshot."""
+    day = F.col("event_date").cast("date") if "event_date" in silver.columns \
+        else safe_date("snapshot_date")
+    return filter_week(silver.withColumn("date_day", day), "date_day", year, week)
+
+
 def governance_tweets(silver: DataFrame, year: int, week: int, taxonomies=TAXONOMIES,
                       scorer=default_scorer, phrases=vocab.EXPERIENCE_PHRASES) -> DataFrame:
-    """Enriched tweets of one ISO week, dated by their snapshot."""
+    """Enriched tweets of one ISO week."""
     text = "text_cleaned" if "text_cleaned" in silver.columns else "text"
-    rows = filter_week(silver.withColumn("date_day", safe_date("snapshot_date")), "date_day", year, week)
+    rows = _of_week(silver, year, week)
     parts = [c for c in vocab.ENGAGEMENT_PARTS if c in silver.columns]
     rows = rows.withColumns({
         "tweet_id": F.col("id"), "week": F.lit(week), "total_engagement": total_engagement(parts),
@@ -50,7 +57,7 @@ def governance_tweets(silver: DataFrame, year: int, week: int, taxonomies=TAXONO
 def governance_news(silver: DataFrame, year: int, week: int, taxonomies=TAXONOMIES,
                     scorer=default_scorer, clean: bool = True) -> DataFrame:
     """Enriched comments of one ISO week, one row per comment."""
-    rows = filter_week(silver.withColumn("date_day", safe_date("snapshot_date")), "date_day", year, week)
+    rows = _of_week(silver, year, week)
     keep = ["newsLink", "date_day"]
     if dict(silver.dtypes)["comments"] == "string":
         rows = explode_json_array(rows, "comments", "comment_text", keep)
@@ -63,7 +70,7 @@ def governance_news(silver: DataFrame, year: int, week: int, taxonomies=TAXONOMI
 
 
 def gold_tables(tweets: DataFrame, news: DataFrame) -> dict[str, DataFrame]:
-    """Every weekly artifact as a lazy frame over the two governance tables."""
+    """The roll-ups as lazy frames over the two governance tables."""
     comments = tweets.select("brand", "text", "sentiment", "sentiment_score").unionByName(
         news.select("brand", F.col("comment_text").alias("text"), "sentiment", "sentiment_score"))
     brands = rollups.present(rollups.brand_analytics(tweets, news))
@@ -73,15 +80,23 @@ def gold_tables(tweets: DataFrame, news: DataFrame) -> dict[str, DataFrame]:
     dated = tweets.select("date_day", "brand", "sentiment", "sentiment_score",
                           F.lit("Twitter").alias("source")).unionByName(
         news.select("date_day", "brand", "sentiment", "sentiment_score", F.lit("News").alias("source")))
-    trend = rollups.present(daily_sentiment(dated))
     return {
         "brand_analytics": brands, "topic_analytics": topics, "product_analytics": products,
         "top_influencers": rollups.top_influencers(tweets),
         "representative_comments": quotes,
-        "daily_sentiment": trend,
-        "sentiment_alerts": ordered_alerts(sentiment_alerts(trend)),
-        "governance_kpis": kpi_table(dashboard_metrics(tweets, news)),
-        "governance_bands": kpi_bands(dashboard_metrics(tweets, news)),
+        "daily_sentiment": rollups.present(daily_sentiment(dated)),
+        "governance_metrics": dashboard_metrics(tweets, news),
+    }
+
+
+def reports(gold: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """What is told from the roll-ups."""
+    return {
+        "sentiment_alerts": ordered_alerts(sentiment_alerts(gold["daily_sentiment"])),
+        "governance_kpis": kpi_table(gold["governance_metrics"]),
+        "governance_bands": kpi_bands(gold["governance_metrics"]),
+        "storytelling": story.story_row(gold["brand_analytics"], gold["topic_analytics"],
+                                        gold["product_analytics"], gold["representative_comments"]),
     }
 
 
@@ -89,26 +104,26 @@ def run_week(spark: SparkSession, silver_root: str, gold_root: str, year: int, w
              taxonomies=TAXONOMIES, scorer=default_scorer) -> dict[str, DataFrame]:
     """Build and write all artifacts of one week; returns the written tables.
 
-    The enriched rows are written first and read back, so texts are tagged and scored
-    once however many roll-ups follow. The story reads the written roll-ups.
+    Only the week's partitions of Silver are read. The enriched rows are written first
+    and read back, so texts are tagged and scored once however many roll-ups follow; the
+    reports read the written roll-ups.
     """
-    build = {
-        "governance_tweets": governance_tweets(
-            read_silver(spark, f"{silver_root}/tweets"), year, week, taxonomies, scorer),
-        "governance_news": governance_news(
-            read_silver(spark, f"{silver_root}/news"), year, week, taxonomies, scorer),
+    silver = {name: read_silver(spark, f"{silver_root}/{name}", [(year, week)])
+              for name in ("tweets", "news")}
+    enriched = {
+        "governance_tweets": governance_tweets(silver["tweets"], year, week, taxonomies, scorer),
+        "governance_news": governance_news(silver["news"], year, week, taxonomies, scorer),
     }
 
     def store(name: str, df: DataFrame) -> DataFrame:
         write_weekly(df, f"{gold_root}/{name}", (year, week))
         return read_silver(spark, f"{gold_root}/{name}", [(year, week)])
 
-    written = {name: store(name, df) for name, df in build.items()}
+    written = {name: store(name, df) for name, df in enriched.items()}
     for name, df in gold_tables(written["governance_tweets"], written["governance_news"]).items():
         written[name] = store(name, df)
-    row = story.story_row(written["brand_analytics"], written["topic_analytics"],
-                          written["product_analytics"], written["representative_comments"])
-    written["storytelling"] = store("storytelling", row.withColumn("week", F.lit(week)))
+    for name, df in reports(written).items():
+        written[name] = store(name, df)
     return written
 
 

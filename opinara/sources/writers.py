@@ -16,14 +16,16 @@ def write_weekly(df: DataFrame, path: str, week: tuple[int, int] | None = None)
     """Replace weeks of a partitioned table and leave the others alone.
 
     With ``week`` the whole frame is that week, and an empty frame empties it. Without,
-    the weeks are those found in the columns ``iso_year`` and ``iso_week``. Files are
-    written by all tasks, not gathered in one.
+    the weeks are those found in the columns ``iso_year`` and ``iso_week``; rows are
+    rebalanced by week first, so that a task does not open a file for every week and a
+    week that holds most of the rows is still written by many tasks.
     """
     if week is not None:
         (df.drop("iso_year", "iso_week").write.mode("overwrite")
          .parquet(f"{path}/iso_year={week[0]}/iso_week={week[1]}"))
         return
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.hint("rebalance", F.col("iso_year"), F.col("iso_week"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("iso_year", "iso_week").parquet(path))
 
 
@@ -76,6 +78,7 @@ def upsert_weekly(new: DataFrame, path: str, keys: list[str], order: list[str],
     elif date_col is not None:
         new = with_iso_week(new, date_col)
     if _exists(new, path):
+        # as many rows as the calendar has weeks in the batch
         touched = new.select("iso_year", "iso_week").distinct()
         existing = new.sparkSession.read.parquet(path).join(
             F.broadcast(touched), ["iso_year", "iso_week"], "left_semi")

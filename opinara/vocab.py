@@ -190,3 +190,24 @@ REQUIRED_FIELDS = {
 # Engagement counters of a tweet.
 ENGAGEMENT_PARTS = ["likeCount", "replyCount", "retweetCount", "quoteCount"]
 OUTLIER_METRICS = ["retweetCount", "replyCount", "likeCount", "quoteCount", "viewCount"]
+
+# Sentence templates of the story; {…} is filled per row.
+EXECUTIVE_SUMMARY = (
+    "{brand} fue la marca más mencionada durante la semana con {mentions} referencias entre "
+    "redes sociales y comentarios de noticias."
+)
+BRAND_NARRATIVE = (
+    "During the current week, the brand {brand} accumulated a total volume of {mentions} mentions "
+    "across the monitored channels. General consumer perception is {tone} with a net sentiment "
+    "score of {score}. Specifically, {positive}% of discussions were positive, while {negative}% "
+    "showed negative consumer feedback. A detailed breakdown of the products and discussion "
+    "categories driving this behavior is displayed below."
+)
+SPIKE_SENTENCE = (
+    "[{severity}] Negative Spike — {brand}: Negative sentiment jumped from {previous}% to "
+    "{current}% (+{delta} pp)"
+)
+RECOVERY_SENTENCE = (
+    "[{severity}] Positive Recovery — {brand}: Positive sentiment recovered from {previous}% to "
+    "{current}% (+{delta} pp)"
+)

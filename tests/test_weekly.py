@@ -53,7 +53,7 @@ def test_brand_table(week):
 
 def test_story(week):
     row = week[0]["storytelling"].first()
-    assert row.top_brand == "samsung" and row.week == 22
+    assert row.top_brand == "samsung" and row.iso_week == 22
     assert {r["brand"] for r in json.loads(row.brand_sentiment_snapshot)} == {"apple", "google", "samsung"}
 
 
