@@ -69,9 +69,3 @@ def tag(df: DataFrame, text: str, taxonomies: Mapping[str, Taxonomy],
         name: first_match_lowered(F.col("_lowered"), taxonomy, match=match)
         for name, taxonomy in taxonomies.items()
     }).drop("_lowered")
-
-
-def taxonomy_table(spark, taxonomy: Taxonomy) -> DataFrame:
-    """The taxonomy as rows ``(ord, key, keyword)``, for taxonomies kept in tables."""
-    rows = [(i, key, kw) for i, (key, kws) in enumerate(taxonomy.items()) for kw in kws]
-    return spark.createDataFrame(rows, "ord int, key string, keyword string")

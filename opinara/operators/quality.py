@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from opinara import vocab
 from opinara.functions.dates import period
 from opinara.functions.nested import parse_comments
-from opinara.functions.text import SPACE
 from opinara.operators.quantiles import long_values, quantile_columns
 
 LONG_SCHEMA = ["section", "source_type", "metric_name", "metric_label", "period",

@@ -111,18 +111,19 @@ def top_influencers(df: DataFrame, k: int = 20, author: str = "author_userName",
 def representative_comments(rows: DataFrame, min_chars: int = 20, cut: int = 300) -> DataFrame:
     """Per brand the most strongly positive and negative text; equal strength goes by text.
 
-    Kept as a running minimum per brand, so no group is sorted or gathered.
+    Kept as a running minimum per brand, so no group is gathered. The texts are cut
+    before the grouping: the smallest text has the smallest beginning.
     """
-    kept = rows.filter(F.col("brand").isNotNull() & (F.length("text") > min_chars))
-    strength = -F.abs("sentiment_score")
+    charged = F.col("sentiment").isin("positive", "negative")
+    quotes = rows.filter(F.col("brand").isNotNull() & (F.length("text") > min_chars)).select(
+        "brand", "sentiment", F.when(charged, F.struct(
+            (-F.abs("sentiment_score")).alias("order"),
+            F.left("text", F.lit(cut)).alias("text"))).alias("quote"))
 
     def best(label: str) -> Column:
-        # the smallest text has the smallest beginning, so the cut can come first
-        key = F.when(F.col("sentiment") == label,
-                     F.struct(strength, F.left("text", F.lit(cut)).alias("text")))
-        return F.min(key)["text"]
+        return F.min(F.when(F.col("sentiment") == label, F.col("quote")))["text"]
 
-    return kept.groupBy("brand").agg(
+    return quotes.groupBy("brand").agg(
         best("positive").alias("best_comment"), best("negative").alias("worst_comment"))
 
 

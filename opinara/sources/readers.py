@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
 from opinara import schemas
-from opinara.functions.dates import event_timestamp
 from opinara.functions.nested import explode_children, flatten
 from opinara.functions.taxonomy import match_first
 from opinara.functions.text import clean_text, text_length
@@ -199,7 +198,3 @@ def validate_read(df: DataFrame) -> DataFrame:
     return files.withColumns({
         "columns_read": F.lit(len(df.columns)).cast("bigint"),
         "rows_total": files.agg(F.sum("rows_read")).scalar()})
-
-
-def parse_created(df: DataFrame, col: str = "createdAt") -> DataFrame:
-    return df.withColumn(col, event_timestamp(col))
