@@ -26,20 +26,25 @@ def lexicon_score(col: Column | str, positive: Iterable[str] = vocab.POSITIVE_WO
     ``polarity``:  (positive - negative) / (positive + negative) over distinct
                    blank-separated words.
     """
-    pos, neg = sorted(set(positive)), sorted(set(negative))
+    pos, neg = set(positive), set(negative)
     text = F.coalesce(_col(col), F.lit(""))
 
-    def hits(tokens: Column, words: list[str]) -> Column:
-        return F.size(F.filter(tokens, lambda t: t.isin(words))).cast("double")
+    def only(tokens: Column, words: set[str]) -> Column:
+        return F.filter(tokens, lambda t: t.isin(sorted(words)))
+
+    def ratio(net: Column, whole: Column) -> Column:
+        return F.coalesce(F.try_divide(net.cast("double"), whole), F.lit(0.0))
 
     if mode == "per_token":
-        return bind(word_tokens(text), lambda ts: F.coalesce(
-            F.try_divide(hits(ts, pos) - hits(ts, neg), F.size(ts)), F.lit(0.0)))
+        # a word on both lists counts for neither; the rest is told apart among the hits
+        up, down = pos - neg, neg - pos
+        net = lambda hits: 2 * F.size(only(hits, up)) - F.size(hits)
+        return bind(word_tokens(text), lambda ts: ratio(bind(only(ts, up | down), net), F.size(ts)))
     if mode == "polarity":
-        words = F.array_distinct(F.split(F.lower(text), f"[{SPACE}]+"))
-        return bind(words, lambda ws: bind(
-            F.array(hits(ws, pos), hits(ws, neg)),
-            lambda n: F.coalesce(F.try_divide(n[0] - n[1], n[0] + n[1]), F.lit(0.0))))
+        words = F.split(F.lower(text), f"[{SPACE}]+")
+        seen = lambda hits, which: F.size(only(hits, which))
+        return bind(F.array_distinct(only(words, pos | neg)), lambda hits: ratio(
+            seen(hits, pos) - seen(hits, neg), seen(hits, pos) + seen(hits, neg)))
     raise ValueError(f"unknown mode {mode!r}")
 
 
@@ -55,8 +60,8 @@ def sentiment_label(score: Column | str, positive: float = 0.05, negative: float
 def weight_sum(tokens: Column, weights: Mapping[str, float]) -> Column:
     """Sum of the weights of all tokens.
 
-    Words are grouped by weight, so a token costs one hash lookup per distinct
-    weight however many words the lexicon has.
+    One hash lookup drops the tokens without a weight. Words are grouped by weight, so
+    each of the others costs a lookup per distinct weight, however long the lexicon.
     """
     classes: dict[float, list[str]] = defaultdict(list)
     for word, weight in weights.items():
@@ -68,7 +73,8 @@ def weight_sum(tokens: Column, weights: Mapping[str, float]) -> Column:
             chosen = F.when(token.isin(sorted(words)), F.lit(weight)).otherwise(chosen)
         return chosen
 
-    return F.aggregate(tokens, F.lit(0.0), lambda total, t: total + weight_of(t))
+    weighted = F.filter(tokens, lambda t: t.isin(sorted(weights)))
+    return F.aggregate(weighted, F.lit(0.0), lambda total, t: total + weight_of(t))
 
 
 def normalized(total: Column, alpha: float = 15.0) -> Column:

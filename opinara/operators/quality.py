@@ -97,9 +97,9 @@ def outlier_rate(df: DataFrame, cols: list[str], method: str = "approx") -> Data
     """
     values = long_values(df, cols)
     if method == "approx":
-        quartiles = values.groupBy("metric").agg(
-            F.percentile_approx("value", 0.25).alias("q1"),
-            F.percentile_approx("value", 0.75).alias("q3"))
+        quartiles = values.groupBy("metric").agg(  # one sketch for both
+            F.percentile_approx("value", [0.25, 0.75]).alias("q")
+        ).select("metric", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
     elif method == "exact":
         quartiles = quantile_columns(df, cols, {"q1": 0.25, "q3": 0.75}).drop("n")
     else:

@@ -61,13 +61,20 @@ def _inside(values: DataFrame, ranges: DataFrame, keys: list[str], few: bool) ->
     return joined.select("r.*", F.col("v.value").alias("value"))
 
 
-def _holding(counted: DataFrame, group: list[str], order: str) -> DataFrame:
+def _ranks(probs: Column) -> Column:
+    """Ranks next to each wanted place among ``n`` rows."""
+    last = F.col("n") - 1
+    return F.array_distinct(F.concat(F.transform(probs, lambda p: F.floor(p * last)),
+                                     F.transform(probs, lambda p: F.ceil(p * last))))
+
+
+def _holding(counted: DataFrame, group: list[str], order: str, probs: Column) -> DataFrame:
     """Buckets that hold a wanted rank, with the rows below them and those ranks."""
     running = Window.partitionBy(*group).orderBy(order)
     before = F.col("below") + F.sum("rows").over(running) - F.col("rows")
     return (
         counted.withColumn("below", before)
-        .withColumn("ranks", F.filter("ranks", lambda r: (r >= F.col("below"))
+        .withColumn("ranks", F.filter(_ranks(probs), lambda r: (r >= F.col("below"))
                                       & (r < F.col("below") + F.col("rows"))))
         .filter(F.size("ranks") > 0)
     )
@@ -86,33 +93,26 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     few = few_groups or not by
     values = long_values(df, cols, by)
     wanted = F.array(*[F.lit(float(p)) for p in probs])
-    last = F.col("n") - 1
+
+    def count(inside: DataFrame, place: str) -> DataFrame:
+        # a range is told by its lower end; what else belongs to it comes along as a maximum
+        return inside.groupBy(*keys, "lo", place).agg(
+            F.count(F.lit(1)).alias("rows"), F.max("n").alias("n"), F.max("below").alias("below"),
+            F.min("value").alias("first"), F.max("value").alias("final"))
 
     ranges = values.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
-    ).withColumns({
-        "below": F.lit(0).cast("bigint"),
-        "ranks": F.array_distinct(F.concat(
-            F.transform(wanted, lambda p: F.floor(p * last)),
-            F.transform(wanted, lambda p: F.ceil(p * last)))),
-    })
-    state = [*keys, "n", "lo", "hi", "below", "ranks"]
+    ).withColumn("below", F.lit(0).cast("bigint"))
     for _ in range(levels):
-        counted = (
-            _inside(values, _with_steps(ranges), keys, few).withColumn("bucket", _bucket())
-            .groupBy(*state, "bucket")
-            .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("first"),
-                 F.max("value").alias("final"))
-        )
-        ranges = _holding(counted, [*keys, "lo"], "bucket").select(
-            *keys, "n", F.col("first").alias("lo"), F.col("final").alias("hi"), "below", "ranks")
-    counted = (_inside(values, ranges, keys, few).groupBy(*state, "value")
-               .agg(F.count(F.lit(1)).alias("rows")))
-    found = _holding(counted, [*keys, "lo"], "value").select(
-        *keys, "n", "value", F.explode("ranks").alias("rank"))
+        inside = _inside(values, _with_steps(ranges), keys, few).withColumn("bucket", _bucket())
+        ranges = _holding(count(inside, "bucket"), [*keys, "lo"], "bucket", wanted).select(
+            *keys, "n", F.col("first").alias("lo"), F.col("final").alias("hi"), "below")
+    counted = count(_inside(values, ranges, keys, few).withColumn("exact", F.col("value")), "exact")
+    found = _holding(counted, [*keys, "lo"], "exact", wanted).select(
+        *keys, "n", F.col("exact").alias("value"), F.explode("ranks").alias("rank"))
+    place = F.col("p") * (F.col("n") - 1)
     return (
-        found.withColumn("p", F.explode(wanted))
-        .withColumn("place", F.col("p") * last)
+        found.withColumn("p", F.explode(wanted)).withColumn("place", place)
         .filter((F.col("rank") == F.floor("place")) | (F.col("rank") == F.ceil("place")))
         .groupBy(*keys, "p", "n", "place")
         .agg(F.min_by("value", "rank").alias("low"), F.max_by("value", "rank").alias("high"))

@@ -24,13 +24,16 @@ def spread_small(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a table over the cores when it is too small to have a split for each.
 
     A small file has one row group and would keep one core busy with all of its texts.
-    Judged by the file sizes the planner knows; larger tables are returned untouched.
+    Judged by the sizes the planner knows and the number of files; other tables, which is
+    every large one, are returned untouched.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    return df.repartition(cores, *keys) if size < cores * split else df
+    if size >= cores * split or len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores, *keys)
 
 
 def read_snapshots(spark: SparkSession, path: str | list[str], source: str,
