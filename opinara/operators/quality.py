@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from opinara import vocab
 from opinara.functions.dates import period
 from opinara.functions.nested import parse_comments
-from opinara.operators.quantiles import long_values, quantile_columns
+from opinara.operators.quantiles import numbered_values, quantile_columns
 
 LONG_SCHEMA = ["section", "source_type", "metric_name", "metric_label", "period",
                "metric_value", "metric_pct", "sample_size", "notes"]
@@ -95,24 +95,28 @@ def outlier_rate(df: DataFrame, cols: list[str], method: str = "approx") -> Data
 
     ``approx`` takes quartiles from a sketch (observed values), ``exact`` interpolates.
     """
-    values = long_values(df, cols)
+    values = numbered_values(df, cols, [])
+    names = F.array(*[F.lit(c) for c in cols])
     if method == "approx":
-        quartiles = values.groupBy("metric").agg(  # one sketch for both
+        quartiles = values.groupBy("_m").agg(  # one sketch for both
             F.percentile_approx("value", [0.25, 0.75]).alias("q")
-        ).select("metric", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
+        ).select("_m", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
     elif method == "exact":
-        quartiles = quantile_columns(df, cols, {"q1": 0.25, "q3": 0.75}).drop("n")
+        quartiles = quantile_columns(df, cols, {"q1": 0.25, "q3": 0.75}).withColumn(
+            "_m", F.array_position(names, F.col("metric")) - 1)
     else:
         raise ValueError(f"unknown method {method!r}")
     iqr = F.col("q3") - F.col("q1")
-    bounds = quartiles.select("metric", (F.col("q1") - 1.5 * iqr).alias("lower"),
+    bounds = quartiles.select("_m", (F.col("q1") - 1.5 * iqr).alias("lower"),
                               (F.col("q3") + 1.5 * iqr).alias("upper"))
     # one row per metric, however large the data
-    judged = values.join(F.broadcast(bounds), "metric")
+    judged = values.join(F.broadcast(bounds), "_m")
     outside = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
-    return judged.groupBy("metric", "lower", "upper").agg(
-        F.count_if(outside).alias("outliers"), F.count(F.lit(1)).alias("sample_size")
-    ).withColumn("outlier_rate", pct(F.col("outliers"), F.col("sample_size")))
+    counted = judged.groupBy("_m", "lower", "upper").agg(
+        F.count_if(outside).alias("outliers"), F.count(F.lit(1)).alias("sample_size"))
+    return counted.select(
+        F.get(names, F.col("_m").cast("int")).alias("metric"), "lower", "upper", "outliers",
+        "sample_size", pct(F.col("outliers"), F.col("sample_size")).alias("outlier_rate"))
 
 
 def critical_null_rate(tables: list[tuple[DataFrame, list[str]]],

@@ -24,6 +24,13 @@ def long_values(df: DataFrame, cols: list[str], by: Iterable[str] = ()) -> DataF
             .filter(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
+def numbered_values(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
+    """The same with ``_m``, the metric's number, for its name: a whole number joins faster."""
+    pairs = [x for i, c in enumerate(cols) for x in (F.lit(i).cast("bigint"), F.col(c).cast("double"))]
+    return (df.select(*by, F.stack(F.lit(len(cols)), *pairs).alias("_m", "value"))
+            .filter(F.col("value").isNotNull() & ~F.isnan("value")))
+
+
 def _scale(value: Column) -> Column:
     """Monotone, and even on heavy tails."""
     return F.signum(value) * F.log1p(F.abs(value))
@@ -42,9 +49,10 @@ def _with_steps(ranges: DataFrame) -> DataFrame:
 
 
 def _same_group(keys: list[str], left: str, right: str) -> Column:
-    condition = F.lit(True)
+    condition = F.col(f"{left}._m") == F.col(f"{right}._m")  # never null
     for key in keys:
-        condition = condition & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
+        if key != "_m":
+            condition = condition & F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}"))
     return condition
 
 
@@ -89,9 +97,10 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     tag, a taxonomy key).
     """
     by = list(by)
-    keys = [*by, "metric"]
+    keys = [*by, "_m"]
     few = few_groups or not by
-    values = long_values(df, cols, by)
+    values = numbered_values(df, cols, by)
+    names = F.array(*[F.lit(c) for c in cols])
     wanted = F.array(*[F.lit(float(p)) for p in probs])
 
     def count(inside: DataFrame, place: str) -> DataFrame:
@@ -116,7 +125,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
         .filter((F.col("rank") == F.floor("place")) | (F.col("rank") == F.ceil("place")))
         .groupBy(*keys, "p", "n", "place")
         .agg(F.min_by("value", "rank").alias("low"), F.max_by("value", "rank").alias("high"))
-        .select(*keys, "p",
+        .select(*by, F.get(names, F.col("_m").cast("int")).alias("metric"), "p",
                 (F.col("low") + (F.col("high") - F.col("low"))
                  * (F.col("place") - F.floor("place"))).alias("value"), "n")
     )
