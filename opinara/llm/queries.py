@@ -2,8 +2,24 @@
 
 from __future__ import annotations
 
+from opinara.llm.chat import conversation_digests, format_conversations
+from opinara.llm.decontaminate import overlaps
 from opinara.llm.exact_dedup import exact_duplicates
+from opinara.llm.mixing import mix
 from opinara.llm.token_counts import count_tokens
+from opinara.session import cut_lineage
+
+#: A conversation whose texts look like a template's control strings.
+CONTROL_ROWS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op1_mixing(spark, sf_dir):
+    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op3_decontamination(spark, sf_dir):
+    return overlaps(spark.read.parquet(f"{sf_dir}/documents.parquet"),
+                    spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def op4_exact_dedup(spark, sf_dir):
@@ -14,7 +30,14 @@ def op6_token_counts(spark, sf_dir):
     return count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op6_token_counts)}
+def op10_chat_formatting(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame(CONTROL_ROWS, "conv_id long, turn long, role string, text string")
+    return conversation_digests(cut_lineage(format_conversations(rows.unionByName(added))))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op3_decontamination, op4_exact_dedup, op6_token_counts,
+                                    op10_chat_formatting)}
 
 ORACLES = {
     "op4_exact_dedup": r"""
