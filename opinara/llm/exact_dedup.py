@@ -59,9 +59,11 @@ class DigestIndex:
         # one number orders by length, then by id downwards: the aggregation stays a hash one
         rank = (F.col("chars").cast("decimal(19,0)") * F.lit("10000000000000000000").cast("decimal(20,0)")
                 - F.coalesce("doc_id", F.lit(2**63 - 1)).cast("decimal(19,0)"))
-        batch = rows.groupBy("digest").agg(
+        # written first: the optimizer would move the anti-join below the aggregation and
+        # shuffle every row of a hot digest
+        batch = cut_lineage(rows.groupBy("digest").agg(
             F.max_by("doc_id", rank).alias("keep_id"), F.max("chars").alias("chars"),
-            F.count(F.lit(1)).alias("rows"))
+            F.count(F.lit(1)).alias("rows")))
         fresh = batch.join(self.known().hint("merge"), "digest", "left_anti")
         (fresh.select("digest", "keep_id", "chars", "rows").repartition(self.buckets, "digest")
          .write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest")
