@@ -28,22 +28,31 @@ def words(text: Column) -> Column:
     return F.transform(F.filter(split, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def seeds(hashes: Column, mask: tuple[int, ...]) -> Column:
+def seeds(hashes: Column, number: int, mask: tuple[int, ...]) -> Column:
     """One hash per position at which the whole mask fits, in order."""
     last = F.size(hashes) - mask[-1]
     return F.when(last >= 1, F.transform(
         F.sequence(F.lit(1), last),
-        lambda i: F.xxhash64(F.lit(str(mask)), *[F.element_at(hashes, i + o) for o in mask]))
+        lambda i: F.xxhash64(F.lit(number), *[F.element_at(hashes, i + o) for o in mask]))
     ).otherwise(F.array().cast("array<bigint>"))
 
 
 def _seed_rows(rows: DataFrame, masks: list[tuple[int, ...]], place: str) -> DataFrame:
-    """``rows`` (with ``hashes``) times their seeds: ``seed`` and its word position ``place``."""
-    lists = rows.withColumns({f"_m{k}": seeds(F.col("hashes"), m) for k, m in enumerate(masks)})
-    zipped = F.arrays_zip(*[f"_m{k}" for k in range(len(masks))])
-    out = lists.select(*rows.columns, F.posexplode(zipped).alias(place, "_s"))
-    return out.select(*rows.columns, place, F.explode(F.array(*[f"_s._m{k}" for k in range(len(masks))]))
-                      .alias("seed")).filter(F.col("seed").isNotNull())
+    """``rows`` (with ``hashes``) times their seeds: ``seed`` and its word position ``place``.
+
+    All masks' seeds are one array and one generator, so that the generator and the join above
+    it run in one generated stage and ``hashes`` is passed on, not copied per position.
+    """
+    n = F.size("hashes")
+    # outer: for the inner generator the optimizer adds a filter that computes the lists again
+    listed = rows.withColumn("_all", F.concat(*[seeds(F.col("hashes"), k, m) for k, m in enumerate(masks)]))
+    place_at, begun = F.col("_at"), F.lit(0)
+    where = F.lit(None).cast("int")
+    for mask in masks:  # the last mask that has begun at this place of the array
+        where = F.when(place_at >= begun, place_at - begun).otherwise(where)
+        begun = begun + F.greatest(n - mask[-1], F.lit(0))
+    return listed.select(*rows.columns, F.posexplode_outer("_all").alias("_at", "seed")).select(
+        *rows.columns, "seed", where.alias(place)).filter(F.col("seed").isNotNull())
 
 
 def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -92,17 +101,23 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     doc_seeds = _seed_rows(docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("hashes")),
                            masks, "doc_at")
     hits = doc_seeds.join(item_seeds, "seed").withColumn("start", F.col("doc_at") - F.col("item_at"))
-    # the part of the item that lies over the document
+    # the part of the item that lies over the document; one row per alignment, and the
+    # comparison above that aggregation, where the optimizer cannot move it into the join
     first = F.greatest(F.lit(0), -F.col("start"))
     n = F.least(F.size("item"), F.size("hashes") - F.col("start")) - first
-    laid = hits.select("doc_id", "item_id", "start", F.size("item").alias("size"), n.alias("n_words"),
-                       _same(F.slice("hashes", F.col("start") + first + 1, n),
-                             F.slice("item", first + 1, n)).alias("same"))
+    laid = hits.select("doc_id", "item_id", "start", F.size("item").alias("size"),
+                       F.slice("hashes", F.col("start") + first + 1, n).alias("over"),
+                       F.slice("item", first + 1, n).alias("under")).groupBy(
+        "doc_id", "item_id", "start").agg(*[F.first(c).alias(c) for c in ("size", "over", "under")])
+    compared = laid.select("doc_id", "item_id", "start", "size", F.size("over").alias("n_words"),
+                           _same(F.col("over"), F.col("under")).alias("same"))
+    n_same = _sum(F.col("same"))
     window = F.least(F.col("size"), F.lit(WINDOW))
-    best = F.when(F.col("n_words") >= window, F.array_max(F.transform(
-        F.sequence(F.lit(1), F.col("n_words") - window + 1), lambda i: _sum(F.slice("same", i, window)))))
     need = F.when(F.col("size") >= WINDOW, WINDOW - SUBSTITUTIONS).otherwise(F.col("size"))
-    found = laid.withColumns({"n_same": _sum(F.col("same")), "best_window": best}).filter(
+    # most chance hits share no more than their seed: windows are looked at only beyond that
+    best = F.when((F.col("n_words") >= window) & (n_same >= need), F.array_max(F.transform(
+        F.sequence(F.lit(1), F.col("n_words") - window + 1), lambda i: _sum(F.slice("same", i, window)))))
+    found = compared.withColumns({"n_same": n_same, "best_window": best}).filter(
         F.col("best_window") >= need)
     by = F.struct("n_same", "best_window", -F.col("start"), "n_words")
     return found.groupBy("doc_id", "item_id").agg(F.max(by).alias("m")).select(
