@@ -7,6 +7,7 @@ from opinara.llm.decontaminate import overlaps
 from opinara.llm.exact_dedup import exact_duplicates
 from opinara.llm.mixing import mix
 from opinara.llm.token_counts import count_tokens
+from opinara.llm.token_files import tokenized
 from opinara.session import cut_lineage
 
 #: A conversation whose texts look like a template's control strings.
@@ -17,6 +18,10 @@ def op1_mixing(spark, sf_dir):
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op2_token_files(spark, sf_dir):
+    return tokenized(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op3_decontamination(spark, sf_dir):
     return overlaps(spark.read.parquet(f"{sf_dir}/documents.parquet"),
                     spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -36,7 +41,7 @@ def op10_chat_formatting(spark, sf_dir):
     return conversation_digests(cut_lineage(format_conversations(rows.unionByName(added))))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_decontamination, op4_exact_dedup, op6_token_counts,
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_files, op3_decontamination, op4_exact_dedup, op6_token_counts,
                                     op10_chat_formatting)}
 
 ORACLES = {
