@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from opinara.llm.tokenization import by_bytes, encoder
+from opinara.llm.tokenization import encoder
 
 DEFAULT = "byte_bpe_50k.json"
 
@@ -34,9 +34,8 @@ def count_tokens(docs: DataFrame, tokenizer: str | None = None, limit: int = 512
         for batch in batches:
             texts = batch.column("text")
             n_tokens = np.zeros(len(batch), np.int64)
-            for start, part in by_bytes(texts):
-                ids = model.encode(part)
-                n_tokens[start:start + len(part)] = [len(x) // model.dtype.itemsize for x in ids]
+            for first, _, offsets in model.encode(texts):
+                n_tokens[first:first + len(offsets) - 1] = np.diff(offsets)
             n_bytes = pc.cast(pc.fill_null(pc.binary_length(texts), 0), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), n_bytes, pa.array(n_tokens), pa.array(n_tokens > limit)],

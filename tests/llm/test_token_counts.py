@@ -1,4 +1,7 @@
+import random
+
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -17,15 +20,31 @@ def want(text: str) -> int:
 
 
 # letters, digits, marks, every kind of white space, a special string
-ALPHABET = st.sampled_from(list("aBé9'.!?ßs  \n\n\t\r\x0b\x0c\x1c\x1f\x85\xa0 　﻿中😀")
+ALPHABET = st.sampled_from(list("aBé9'.!?ßs  \n\n\t\r\x0b\x0c\x1c\x1f\x85\xa0\u2003\u3000\ufeff\u2019中😀")
                            + [" the", "'ll", "<|endoftext|>", "  ", " \n"])
 
 
-@settings(max_examples=400, deadline=None)
-@given(st.lists(ALPHABET, max_size=40).map("".join))
-def test_pieces_give_the_ids_of_the_whole(text):
-    assert ENCODER.encode([text])[0] == b"".join(
-        i.to_bytes(2, "little") for i in MODEL.encode(text, add_special_tokens=False).ids)
+def ids(text: str) -> list[int]:
+    return MODEL.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.lists(ALPHABET, max_size=25).map("".join), max_size=6))
+def test_words_give_the_ids_of_the_whole(texts):
+    got = [list(map(int, found[a:b])) for _, found, offsets in ENCODER.encode(pa.array(texts, pa.string()))
+           for a, b in zip(offsets, offsets[1:])]
+    assert got == [ids(t) for t in texts]
+
+
+def test_batches_and_long_texts(monkeypatch):
+    monkeypatch.setattr("opinara.llm.tokenization.BATCH_BYTES", 500)
+    monkeypatch.setattr("opinara.llm.tokenization.REMEMBERED", 40)
+    rnd = random.Random(2)
+    texts = [" ".join(rnd.choice(["the", "Été,", "don't", "x1.", "naïve!", "\n", "a\nb"]) for _ in range(n))
+             for n in (0, 3, 2000, 1, 40, 900, 5, 90)] + [None, "y" * 3000, " lead", "trail ", "a  b"]
+    got = [list(map(int, found[a:b])) for _, found, offsets in ENCODER.encode(pa.array(texts, pa.string()).slice(1))
+           for a, b in zip(offsets, offsets[1:])]
+    assert got == [ids(t or "") for t in texts[1:]]
 
 
 def test_long_texts_are_cut_without_loss():
