@@ -2,18 +2,38 @@
 
 from __future__ import annotations
 
+import functools
+import os
+
 from opinara.llm.chat import conversation_digests, format_conversations
 from opinara.llm.decontaminate import overlaps
 from opinara.llm.exact_dedup import exact_duplicates
+from opinara.llm.language import identify_languages
 from opinara.llm.mixing import mix
 from opinara.llm.token_counts import count_tokens
 from opinara.llm.token_files import tokenized
+from opinara.llm.toxicity import toxicity
 from opinara.session import cut_lineage
 
 #: A conversation whose texts look like a template's control strings.
 CONTROL_ROWS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def for_workers(query):
+    """Let Python workers find this package where the driver found it."""
+    @functools.wraps(query)
+    def run(spark, *args):
+        environment = spark.sparkContext.environment
+        paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+        if ROOT not in paths:
+            environment["PYTHONPATH"] = os.pathsep.join(p for p in [ROOT, *paths] if p)
+        return query(spark, *args)
+    return run
+
+
 def op1_mixing(spark, sf_dir):
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -35,14 +55,23 @@ def op6_token_counts(spark, sf_dir):
     return count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op8_toxicity(spark, sf_dir):
+    return toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"),
+                    spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op9_language(spark, sf_dir):
+    return identify_languages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op10_chat_formatting(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     added = spark.createDataFrame(CONTROL_ROWS, "conv_id long, turn long, role string, text string")
     return conversation_digests(cut_lineage(format_conversations(rows.unionByName(added))))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_token_files, op3_decontamination, op4_exact_dedup, op6_token_counts,
-                                    op10_chat_formatting)}
+QUERIES = {f.__name__: for_workers(f) for f in (op1_mixing, op2_token_files, op3_decontamination, op4_exact_dedup, op6_token_counts,
+                                    op8_toxicity, op9_language, op10_chat_formatting)}
 
 ORACLES = {
     "op4_exact_dedup": r"""
