@@ -8,6 +8,7 @@ import os
 from opinara.llm.chat import conversation_digests, format_conversations
 from opinara.llm.decontaminate import overlaps
 from opinara.llm.exact_dedup import exact_duplicates
+from opinara.llm.jaccard_join import jaccard_components
 from opinara.llm.language import identify_languages
 from opinara.llm.mixing import mix
 from opinara.llm.token_counts import count_tokens
@@ -51,6 +52,10 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op6_token_counts(spark, sf_dir):
     return count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -70,8 +75,8 @@ def op10_chat_formatting(spark, sf_dir):
     return conversation_digests(cut_lineage(format_conversations(rows.unionByName(added))))
 
 
-QUERIES = {f.__name__: for_workers(f) for f in (op1_mixing, op2_token_files, op3_decontamination, op4_exact_dedup, op6_token_counts,
-                                    op8_toxicity, op9_language, op10_chat_formatting)}
+QUERIES = {f.__name__: for_workers(f) for f in (op1_mixing, op2_token_files, op3_decontamination, op4_exact_dedup,
+                                                op5_jaccard_join, op6_token_counts,                                   op8_toxicity, op9_language, op10_chat_formatting)}
 
 ORACLES = {
     "op4_exact_dedup": r"""
