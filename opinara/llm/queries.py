@@ -8,6 +8,7 @@ import os
 from opinara.llm.chat import conversation_digests, format_conversations
 from opinara.llm.decontaminate import overlaps
 from opinara.llm.exact_dedup import exact_duplicates
+from opinara.llm.html_text import extract_text
 from opinara.llm.jaccard_join import jaccard_components
 from opinara.llm.language import identify_languages
 from opinara.llm.mixing import mix
@@ -60,6 +61,10 @@ def op6_token_counts(spark, sf_dir):
     return count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op7_html_text(spark, sf_dir):
+    return extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op8_toxicity(spark, sf_dir):
     return toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"),
                     spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -76,7 +81,7 @@ def op10_chat_formatting(spark, sf_dir):
 
 
 QUERIES = {f.__name__: for_workers(f) for f in (op1_mixing, op2_token_files, op3_decontamination, op4_exact_dedup,
-                                                op5_jaccard_join, op6_token_counts,                                   op8_toxicity, op9_language, op10_chat_formatting)}
+                                                op5_jaccard_join, op6_token_counts, op7_html_text,                                   op8_toxicity, op9_language, op10_chat_formatting)}
 
 ORACLES = {
     "op4_exact_dedup": r"""
