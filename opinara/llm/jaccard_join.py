@@ -318,3 +318,15 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     known = sets.select("doc_id", *key).join(classes, key, "left").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = made.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return known.unionByName(alone)
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
+                         text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each class, the one of the smallest id; all columns kept.
+
+    Documents without a shingle and rows with a null id stay, as do all rows of an id that
+    stays.
+    """
+    gone = jaccard_components(docs, words, percent, id_col, text_col).filter("doc_id <> component_id")
+    gone = gone.select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
