@@ -22,6 +22,8 @@ from opinara.session import cut_lineage
 MAX_TRAINING = 12_000
 #: Features of a category's model, documents a feature must occur in, folds.
 FEATURES, MIN_DOCS, FOLDS = 200, 5, 5
+#: Least log-likelihood ratio of a feature: one in 10,000 that tells nothing reaches it.
+MIN_RATIO = 7.6
 #: Bytes of the word beginnings that are features beside whole words.
 BEGINNINGS = (4, 5, 6)
 RIDGE, STEPS = 0.1, 25
@@ -170,7 +172,7 @@ def _choose_features(sample: DataFrame, n_categories: int) -> list[np.ndarray]:
         sure = F.lit(0.0)
         for seen, expected in cells:
             sure = sure + F.when((seen > 0) & (expected > 0), seen * F.ln(seen * n / expected)).otherwise(0.0)
-        top = counts.select("feature", F.round(sure, 6).alias("sure")).orderBy(F.desc("sure"), "feature").limit(FEATURES)
+        top = counts.select("feature", F.round(sure, 6).alias("sure")).filter(F.col("sure") >= MIN_RATIO).orderBy(F.desc("sure"), "feature").limit(FEATURES)
         chosen.append(np.sort(np.asarray(top.select("feature").toArrow()["feature"].combine_chunks(),
                                          np.int64).astype(np.uint64)))
     return chosen
