@@ -32,7 +32,7 @@ def event_timestamp(col: Column | str) -> Column:
     return (
         F.when(text.rlike(DIGITS), F.timestamp_millis(text.try_cast("bigint")))
         .otherwise(F.coalesce(
-            F.try_to_timestamp(F.substring(text, 5, 100), F.lit(POST_FORMAT)),
+            F.try_to_timestamp(F.substring(text, 5, 2**31 - 1), F.lit(POST_FORMAT)),
             text.try_cast("timestamp"),
         ))
     )

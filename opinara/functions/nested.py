@@ -71,25 +71,27 @@ def array_size(col: Column | str) -> Column:
 
 def expand_entities(df: DataFrame) -> DataFrame:
     """Snapshots as entity rows: tweets, news articles and their comments, each tagged
-    with ``record_type``. Snapshots that hold neither stay as one ``snapshot`` row."""
-    tweet_fields = "tweets" in df.columns
-    news_fields = "news" in df.columns
+    with ``record_type``. A snapshot whose lists are all missing or empty stays as one
+    ``snapshot`` row."""
+    lists = [c for c in ("tweets", "news") if c in df.columns]
     parents = [c for c in df.columns if c not in ("tweets", "news")]
+    if not lists:
+        return df.withColumn("record_type", F.lit("snapshot"))
     parts = []
-    if tweet_fields:
-        rows = df.filter(F.col("tweets").isNotNull()).select(
-            *parents, F.explode("tweets").alias("tweet"))
+    if "tweets" in lists:
+        rows = df.select(*parents, F.explode("tweets").alias("tweet"))
         parts.append(flatten(rows).withColumn("record_type", F.lit("tweet")))
-    if news_fields:
-        articles = df.filter(F.col("news").isNotNull()).select(
-            *parents, F.explode("news").alias("news"))
+    if "news" in lists:
+        articles = df.select(*parents, F.explode("news").alias("news"))
         parts.append(nested_to_json(flatten(articles)).withColumn("record_type", F.lit("news")))
         comments = articles.select(
             "*", F.explode_outer("news.comments").alias("comment_text")
         ).withColumn("news", F.col("news").dropFields("comments"))
         parts.append(flatten(comments).withColumn("record_type", F.lit("news_comment")))
-    if not parts:
-        return df.withColumn("record_type", F.lit("snapshot"))
+    empty = F.lit(True)
+    for c in lists:
+        empty = empty & (F.coalesce(F.size(c), F.lit(0)) < 1)
+    parts.append(flatten(df.filter(empty).select(*parents)).withColumn("record_type", F.lit("snapshot")))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part, allowMissingColumns=True)

@@ -108,17 +108,25 @@ def compound_sentiment(df: DataFrame, text: str, weights: Mapping[str, float] |
     return score_columns(df, score)
 
 
+#: Parts into which every word's tokens are dealt, so that a frequent word is no single key.
+WORD_PARTS = 32
+
+
 def compound_sentiment_from_table(df: DataFrame, row_id: str, text: str,
                                   lexicon: DataFrame) -> DataFrame:
     """Compound score with the lexicon ``(word, weight)`` held in a table of any size.
 
-    The weights of a text are summed map-side, so one (id, sum) row per text crosses
-    the shuffle. No broadcast is forced: the size of the lexicon decides the join, and
-    a shuffle join on words leaves frequent words to the adaptive skew split.
+    Words match whatever their case. Rows of one ``row_id`` are one text to the sum: give a
+    unique id. Every lexicon row is repeated per part and a token joins the part of its row,
+    so a word that is in every text spreads over the parts; the weights of a text are summed
+    map-side and one (id, sum) row per text and part crosses the shuffle.
     """
-    words = lexicon.groupBy("word").agg(F.max("weight").cast("double").alias("weight"))
+    words = lexicon.groupBy(F.lower("word").alias("word")).agg(F.max("weight").cast("double").alias("weight"))
+    words = words.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(WORD_PARTS - 1))))
+    part = F.pmod(F.xxhash64(row_id), F.lit(WORD_PARTS)).cast("int")
     hits = (
-        df.select(row_id, F.explode(word_tokens(text)).alias("word")).join(words, "word")
+        df.select(row_id, part.alias("_part"), F.explode(word_tokens(text)).alias("word"))
+        .join(words, ["word", "_part"])
         .groupBy(row_id).agg(F.sum("weight").alias("_total"))
     )
     joined = df.join(hits, row_id, "left")

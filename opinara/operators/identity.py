@@ -82,6 +82,7 @@ def enrich_latest(latest: DataFrame, detail: DataFrame, key: str, text: str,
     return latest.join(summary, key, "left")
 
 
+# Names an id may have, in order.
 ID_CANDIDATES = ["tweet_id", "tweetid", "tweet_id_str", "tweetid_str", "id"]
 
 

@@ -27,8 +27,8 @@ def column_audit(df: DataFrame, approx: bool = False) -> DataFrame:
         value = F.col(f"`{c}`")
         if approx:
             return F.approx_count_distinct(value)
-        if kinds[c] == "string":  # long texts are told apart by their digest
-            value = F.when(F.length(value) > 64, F.sha2(value, 256)).otherwise(value)
+        if kinds[c] == "string":  # texts are told apart by their digest
+            value = F.sha2(value, 256)
         return F.count_distinct(value)
 
     counts = df.agg(F.count(F.lit(1)).alias("_n"), *[
@@ -182,11 +182,10 @@ def engagement_summary(df: DataFrame, cols: list[str], log: bool = False) -> Dat
     return wide if log else wide.drop("mean_log1p")
 
 
-def crosstab(df: DataFrame, a: str, b: str, values: Iterable[str]) -> DataFrame:
-    """Counts of ``a`` against the named values of ``b``."""
-    value = F.coalesce(F.col(b), F.lit("Unknown"))
-    return df.groupBy(F.coalesce(F.col(a), F.lit("Unknown")).alias(a)).agg(
-        *[F.count_if(value == v).alias(str(v)) for v in values])
+def crosstab(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Counts of every value of ``a`` with every value of ``b`` as rows ``(a, b, n)``."""
+    named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("Unknown")).alias(c)
+    return df.groupBy(named(a), named(b)).agg(F.count(F.lit(1)).alias("n"))
 
 
 def null_structure(df: DataFrame, by: str, text: str, date: str, core: list[str]) -> DataFrame:
@@ -223,7 +222,7 @@ def snapshot_multiplicity(df: DataFrame, key: str) -> DataFrame:
     from opinara.operators.rollups import with_share
     captures = df.groupBy(key).agg(F.count(F.lit(1)).alias("captures"))
     dist = captures.groupBy("captures").agg(F.count(F.lit(1)).alias("ids"))
-    ids = df.agg(F.count_distinct(F.struct(key))).scalar()
+    ids = dist.agg(F.sum("ids")).scalar()
     return with_share(dist, "ids", ids, "share_pct")
 
 
@@ -246,29 +245,30 @@ def text_agreement(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def cleaning_report(raw: DataFrame, text: str, key: list[str], lang: str,
-                    target: str = "en") -> DataFrame:
+                    order: str, target: str = "en") -> DataFrame:
     """What cleaning did: rows in, rows without text, duplicates removed, rows kept,
     duplicate rate before and after, language share, mean characters and tokens.
 
-    Kept rows are counted per digest of the key, so the texts themselves never
-    cross the network.
+    Of copies the row of the greatest ``order`` stays, and its language counts. Rows are
+    counted per digest of the key, so the texts themselves never cross the network; the rate
+    after is measured over the rows that stay.
     """
     digest = F.sha2(F.to_json(F.struct(*key), {"ignoreNullFields": "false"}), 256)
     blank = F.trim(F.coalesce(F.col(text), F.lit(""))) == ""
     rows = raw.select(
-        blank.alias("blank"), digest.alias("digest"),
+        blank.alias("blank"), digest.alias("digest"), F.col(order).alias("order"),
         (F.col(lang) == target).cast("double").alias("target"),
         F.length(text).cast("double").alias("chars"), F.size(word_tokens(text)).cast("double").alias("tokens"))
     groups = rows.groupBy("digest", "blank").agg(
         F.count(F.lit(1)).alias("n"),
-        # copies share the text; of their languages the smallest flag stands for the group
-        F.min("target").alias("target"), F.max("chars").alias("chars"), F.max("tokens").alias("tokens"))
+        F.max_by("target", "order").alias("target"), F.max("chars").alias("chars"), F.max("tokens").alias("tokens"))
     kept = ~F.col("blank")
     total = groups.agg(
         F.sum("n").alias("rows_in"),
         F.coalesce(F.sum(F.when(F.col("blank"), F.col("n"))), F.lit(0)).alias("null_text_dropped"),
         F.coalesce(F.sum(F.when(kept, F.col("n") - 1)), F.lit(0)).alias("duplicates_removed"),
         F.count_if(kept).alias("valid_records"),
+        F.count_distinct(F.when(kept, F.col("digest"))).alias("distinct_kept"),
         F.avg(F.when(kept, F.col("target"))).alias("target_language_share"),
         F.avg(F.when(kept, F.col("chars"))).alias("avg_chars"),
         F.avg(F.when(kept, F.col("tokens"))).alias("avg_tokens"))
@@ -276,7 +276,7 @@ def cleaning_report(raw: DataFrame, text: str, key: list[str], lang: str,
     lines = {
         **{c: F.col(c) for c in ("rows_in", "null_text_dropped", "duplicates_removed", "valid_records")},
         "duplicate_rate_before": pct(F.col("duplicates_removed"), with_text),
-        "duplicate_rate_after": F.lit(0.0),
+        "duplicate_rate_after": pct(F.col("valid_records") - F.col("distinct_kept"), F.col("valid_records")),
         **{c: F.col(c) for c in ("target_language_share", "avg_chars", "avg_tokens")},
     }
     return total.select(F.inline(F.array(*[

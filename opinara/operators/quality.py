@@ -11,9 +11,7 @@ from opinara import vocab
 from opinara.functions.dates import period
 from opinara.functions.nested import parse_comments
 from opinara.operators.quantiles import numbered_values, quantile_columns
-
-LONG_SCHEMA = ["section", "source_type", "metric_name", "metric_label", "period",
-               "metric_value", "metric_pct", "sample_size", "notes"]
+from opinara.session import cut_lineage
 
 
 def pct(part: Column, whole: Column) -> Column:
@@ -40,7 +38,8 @@ def duplicate_rate(df: DataFrame, key: str | list[str], null_as_value: bool = Fa
     """
     cols = [key] if isinstance(key, str) else list(key)
     if null_as_value:
-        distinct = F.count_distinct(F.struct(*cols))
+        # the key's digest crosses the network, not the key: it may hold whole texts
+        distinct = F.count_distinct(F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256))
     else:
         distinct = F.count_distinct(*[F.col(c) for c in cols])
     totals = df.agg(F.count(F.lit(1)).alias("total_records"), distinct.alias("distinct_records"))
@@ -216,10 +215,10 @@ def dashboard_metrics(tweets: DataFrame, news: DataFrame, source: str = "all") -
 
 
 def length_box(df: DataFrame, by: str, length: str) -> DataFrame:
-    """Five-number summary of text lengths per source (a fixed set of tags)."""
+    """Five-number summary of text lengths per source."""
     return quantile_columns(df, [length], {
         "min_length": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max_length": 1.0,
-    }, by=[by], few_groups=True).drop("metric").withColumnRenamed("n", "sample_size")
+    }, by=[by]).drop("metric").withColumnRenamed("n", "sample_size")
 
 
 def _metric(section: str, source: Column, name: str, label: Column, value: Column,
@@ -320,19 +319,20 @@ def storytelling_summary(rows: DataFrame, k: int = 25, topics: int = 10, **terms
     ``(source_type, event_date, text, sentiment, sentiment_score)``.
 
     The four sentiment sections are grouping sets over one small cube, the keyword,
-    keyword-sentiment, bigram and topic sections rankings of one term count, so the
-    texts are read twice in all.
+    keyword-sentiment, bigram and topic sections rankings of one term count. The scored
+    rows are written first: texts are scanned and scored once.
     """
-    from opinara.operators.rollups import row_total, term_counts
+    from opinara.operators.rollups import term_counts
     from pyspark.sql import Window
 
-    cube = rows.groupBy("source_type", "event_date", "sentiment").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("sentiment_score").alias("s"))
+    rows = cut_lineage(rows.select("source_type", "event_date", "sentiment", "sentiment_score", "text"))
+    cube = cut_lineage(rows.groupBy("source_type", "event_date", "sentiment").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("sentiment_score").alias("s")))
     sets = cube.groupingSets(
         [[F.col("sentiment")], [F.col("source_type"), F.col("event_date")], [F.col("source_type")]],
         "source_type", "event_date", "sentiment",
     ).agg(F.grouping_id().alias("g"), F.sum("n").alias("n"), F.sum("s").alias("s"))
-    records = row_total(rows)
+    records = F.coalesce(cube.agg(F.sum("n")).scalar(), F.lit(0).cast("bigint"))
     sets, total = sets.withColumn("total", records), F.col("total")
     avg = F.col("s") / F.col("n")
     day, source = period("event_date"), F.col("source_type")

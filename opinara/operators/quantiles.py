@@ -3,8 +3,10 @@
 The built-in exact percentile keeps every distinct value of a group in one
 buffer. Here the wanted ranks are found by refinement: a histogram over the value
 range of each group is counted map-side, the bucket holding each rank becomes the
-next, narrower range, and only the rows inside the last range are looked at value
-by value. What crosses the network is bounded by buckets x groups x quantiles.
+next, narrower range, and only the rows inside the last ranges are looked at value
+by value. Ranges are refined until they hold few rows or one value, whatever the data: a
+pass narrows a range 4096-fold, so two passes do for most data and the width of a double
+bounds them. What crosses the network is bounded by buckets x groups x quantiles.
 """
 
 from __future__ import annotations
@@ -13,7 +15,11 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from opinara.session import cut_lineage
+
 BUCKETS = 4096
+#: Rows of a range whose values are ranked one by one.
+RANKED_ROWS = 20_000
 
 
 def long_values(df: DataFrame, cols: list[str], by: Iterable[str] = ()) -> DataFrame:
@@ -31,21 +37,17 @@ def numbered_values(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
             .filter(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
-def _scale(value: Column) -> Column:
-    """Monotone, and even on heavy tails."""
-    return F.signum(value) * F.log1p(F.abs(value))
-
-
-def _bucket() -> Column:
-    """Bucket of a value inside its range, whose scaled start and step come with it."""
-    place = (_scale(F.col("value")) - F.col("start")) * F.col("step")
-    return F.least(F.floor(place), F.lit(BUCKETS - 1)).cast("int")
-
+def _bucket(scaled: bool) -> Column:
+    """Bucket of a value in its range, ``lo`` to ``hi``: the ends fall in the first and last.
 
-def _with_steps(ranges: DataFrame) -> DataFrame:
-    start, end = _scale(F.col("lo")), _scale(F.col("hi"))
-    return ranges.withColumns({
-        "start": start, "step": F.when(end > start, BUCKETS / (end - start)).otherwise(0.0)})
+    ``scaled`` spreads the buckets by magnitude, for ranges over many of them; a range
+    that has come out of such a bucket is divided evenly.
+    """
+    scale = (lambda v: F.signum(v) * F.log1p(F.abs(v))) if scaled else (lambda v: v)
+    lo = scale(F.col("lo"))
+    place = (scale(F.col("value")) - lo) / (scale(F.col("hi")) - lo) * BUCKETS
+    return F.when(F.col("lo") == F.col("hi"), 0).otherwise(
+        F.least(F.floor(place), F.lit(BUCKETS - 1))).cast("int")
 
 
 def _same_group(keys: list[str], left: str, right: str) -> Column:
@@ -56,15 +58,14 @@ def _same_group(keys: list[str], left: str, right: str) -> Column:
     return condition
 
 
-def _inside(values: DataFrame, ranges: DataFrame, keys: list[str], few: bool) -> DataFrame:
+def _inside(values: DataFrame, ranges: DataFrame, keys: list[str]) -> DataFrame:
     """Rows that fall in a range of their group; the ranges of a group are disjoint.
 
-    ``ranges`` has at most two rows per group and quantile. With ``few`` groups that
-    bounds it and it is broadcast; otherwise the join is planned from its size.
+    There are at most two ranges per group and quantile; the join is planned from the size
+    they were written with.
     """
     joined = values.alias("v").join(
-        F.broadcast(ranges.alias("r")) if few else ranges.alias("r"),
-        _same_group(keys, "v", "r")
+        ranges.alias("r"), _same_group(keys, "v", "r")
         & (F.col("v.value") >= F.col("r.lo")) & (F.col("v.value") <= F.col("r.hi")))
     return joined.select("r.*", F.col("v.value").alias("value"))
 
@@ -88,18 +89,22 @@ def _holding(counted: DataFrame, group: list[str], order: str, probs: Column) ->
     )
 
 
+def _between(low: Column, high: Column, share: Column) -> Column:
+    """Linear interpolation; an infinite neighbour gives infinity, equal ones themselves."""
+    return (F.when((low == high) | (low == F.lit(float("-inf"))) & (high < F.lit(float("inf"))), low)
+            .otherwise(low + (high - low) * share))
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    by: Iterable[str] = (), levels: int = 2,
-                    few_groups: bool = False) -> DataFrame:
+                    by: Iterable[str] = ()) -> DataFrame:
     """Rows ``(by..., metric, p, value, n)``, interpolated linearly between ranks.
 
-    ``few_groups`` promises that ``by`` has a fixed, small set of values (a source
-    tag, a taxonomy key).
+    Infinite values count at their ends; nulls and NaN do not.
     """
     by = list(by)
     keys = [*by, "_m"]
-    few = few_groups or not by
     values = numbered_values(df, cols, by)
+    finite = F.abs(F.col("value")) < F.lit(float("inf"))
     names = F.array(*[F.lit(c) for c in cols])
     wanted = F.array(*[F.lit(float(p)) for p in probs])
 
@@ -109,33 +114,42 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
             F.count(F.lit(1)).alias("rows"), F.max("n").alias("n"), F.max("below").alias("below"),
             F.min("value").alias("first"), F.max("value").alias("final"))
 
-    ranges = values.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
-    ).withColumn("below", F.lit(0).cast("bigint"))
-    for _ in range(levels):
-        inside = _inside(values, _with_steps(ranges), keys, few).withColumn("bucket", _bucket())
-        ranges = _holding(count(inside, "bucket"), [*keys, "lo"], "bucket", wanted).select(
-            *keys, "n", F.col("first").alias("lo"), F.col("final").alias("hi"), "below")
-    counted = count(_inside(values, ranges, keys, few).withColumn("exact", F.col("value")), "exact")
+    groups = cut_lineage(values.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") == F.lit(float("-inf"))).alias("below"),
+        F.count_if(finite).alias("rows"), F.min(F.when(finite, F.col("value"))).alias("lo"),
+        F.max(F.when(finite, F.col("value"))).alias("hi")))
+    ranges, scaled = groups.filter("rows > 0").select(*keys, "n", "lo", "hi", "below"), True
+    values = values.filter(finite)
+    while True:
+        inside = _inside(values, ranges, keys).withColumn("bucket", _bucket(scaled))
+        ranges = cut_lineage(_holding(count(inside, "bucket"), [*keys, "lo"], "bucket", wanted).select(
+            *keys, "n", F.col("first").alias("lo"), F.col("final").alias("hi"), "below", "rows"))
+        widest, scaled = ranges.filter("lo < hi").agg(F.max("rows")).first()[0], False
+        ranges = ranges.drop("rows")
+        if (widest or 0) <= RANKED_ROWS:
+            break
+    counted = count(_inside(values, ranges, keys).withColumn("exact", F.col("value")), "exact")
     found = _holding(counted, [*keys, "lo"], "exact", wanted).select(
         *keys, "n", F.col("exact").alias("value"), F.explode("ranks").alias("rank"))
+    ends = groups.withColumn("rank", F.explode(_ranks(wanted))).filter(
+        (F.col("rank") < F.col("below")) | (F.col("rank") >= F.col("below") + F.col("rows"))).select(
+        *keys, "n", F.when(F.col("rank") < F.col("below"), float("-inf")).otherwise(float("inf")).alias("value"), "rank")
     place = F.col("p") * (F.col("n") - 1)
     return (
-        found.withColumn("p", F.explode(wanted)).withColumn("place", place)
+        found.unionByName(ends).withColumn("p", F.explode(wanted)).withColumn("place", place)
         .filter((F.col("rank") == F.floor("place")) | (F.col("rank") == F.ceil("place")))
         .groupBy(*keys, "p", "n", "place")
         .agg(F.min_by("value", "rank").alias("low"), F.max_by("value", "rank").alias("high"))
         .select(*by, F.get(names, F.col("_m").cast("int")).alias("metric"), "p",
-                (F.col("low") + (F.col("high") - F.col("low"))
-                 * (F.col("place") - F.floor("place"))).alias("value"), "n")
+                _between(F.col("low"), F.col("high"), F.col("place") - F.floor("place")).alias("value"), "n")
     )
 
 
 def quantile_columns(df: DataFrame, cols: list[str], names: dict[str, float],
-                     by: Iterable[str] = (), few_groups: bool = False) -> DataFrame:
+                     by: Iterable[str] = ()) -> DataFrame:
     """The same as one row per group and metric, a column per named quantile."""
     by = list(by)
-    long = exact_quantiles(df, cols, sorted(set(names.values())), by, few_groups=few_groups)
+    long = exact_quantiles(df, cols, sorted(set(names.values())), by)
     return long.groupBy(*by, "metric").agg(
         F.max("n").alias("n"),
         *[F.max(F.when(F.col("p") == F.lit(float(p)), F.col("value"))).alias(name)

@@ -111,20 +111,22 @@ def top_influencers(df: DataFrame, k: int = 20, author: str = "author_userName",
 def representative_comments(rows: DataFrame, min_chars: int = 20, cut: int = 300) -> DataFrame:
     """Per brand the most strongly positive and negative text; equal strength goes by text.
 
-    Kept as a running minimum per brand, so no group is gathered. The texts are cut
-    before the grouping: the smallest text has the smallest beginning.
+    The greatest strength per brand and label is a hash aggregation over numbers; only the
+    texts of that strength are compared, cut before: the smallest text has the smallest
+    beginning.
     """
-    charged = F.col("sentiment").isin("positive", "negative")
     quotes = rows.filter(F.col("brand").isNotNull() & (F.length("text") > min_chars)).select(
-        "brand", "sentiment", F.when(charged, F.struct(
-            (-F.abs("sentiment_score")).alias("order"),
-            F.left("text", F.lit(cut)).alias("text"))).alias("quote"))
+        "brand", "sentiment", F.abs("sentiment_score").alias("strength"), F.left("text", F.lit(cut)).alias("text"))
+    charged = quotes.filter(F.col("sentiment").isin("positive", "negative"))
+    most = charged.groupBy("brand", "sentiment").agg(F.max("strength").alias("strength"))
+    best = charged.join(most, ["brand", "sentiment", "strength"]).groupBy("brand", "sentiment").agg(
+        F.min("text").alias("text"))
 
-    def best(label: str) -> Column:
-        return F.min(F.when(F.col("sentiment") == label, F.col("quote")))["text"]
+    def quote(label: str) -> Column:
+        return F.max(F.when(F.col("sentiment") == label, F.col("text")))
 
-    return quotes.groupBy("brand").agg(
-        best("positive").alias("best_comment"), best("negative").alias("worst_comment"))
+    chosen = best.groupBy("brand").agg(quote("positive").alias("best_comment"), quote("negative").alias("worst_comment"))
+    return quotes.select("brand").distinct().join(chosen, "brand", "left")
 
 
 def row_total(rows: DataFrame) -> Column:

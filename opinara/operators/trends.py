@@ -48,6 +48,7 @@ def daily_trend_all(daily: DataFrame, weighted: bool = False) -> DataFrame:
         F.sum("mentions").alias("mentions"))
 
 
+# Order in which alerts are shown.
 SEVERITY_ORDER = {"critical": 0, "warning": 1, "info": 2}
 
 
@@ -85,7 +86,7 @@ def sentiment_alerts(trend: DataFrame, threshold: float = 15.0, critical: float
 
 
 def ordered_alerts(alerts: DataFrame, k: int = 10) -> DataFrame:
-    """Most severe first, then by date; ties by brand, source and type."""
+    """The ``k`` cards a reader sees: most severe first, then by date; ties by brand, source and type."""
     rank = F.lit(len(SEVERITY_ORDER))
     for severity, place in SEVERITY_ORDER.items():
         rank = F.when(F.col("severity") == severity, place).otherwise(rank)

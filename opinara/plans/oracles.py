@@ -191,11 +191,11 @@ add("explode_children", """WITH l AS (SELECT doc_id, lang, string_split(text, ch
   SELECT doc_id AS snapshot_id, lang AS snapshot_lang, i AS line_no, length(x[i + 1]) AS line_chars
   FROM l, unnest(range(len(x))) AS u(i)""", i="line_no line_chars")
 add("expand_entities", """SELECT 'tweet' AS record_type, doc_id AS snapshot, doc_id::VARCHAR AS tweet_id,
-    NULL::VARCHAR AS news_newsLink, length(text) AS tweet_chars, NULL::BIGINT AS comment_chars FROM documents
+    NULL::VARCHAR AS news_newsLink, text AS tweet_text, NULL::VARCHAR AS comment_text FROM documents
   UNION ALL SELECT 'news', conv_id, NULL, conv_id || '/' || turn, NULL, NULL FROM conversations
-  UNION ALL SELECT 'news_comment', conv_id, NULL, conv_id || '/' || turn, NULL, length(c)
-    FROM (SELECT *, unnest(string_split(text, chr(10))) AS c FROM conversations)""",
-    i="tweet_chars comment_chars")
+  UNION ALL SELECT 'news_comment', conv_id, NULL, conv_id || '/' || turn, NULL, c
+    FROM (SELECT *, unnest(string_split(text, chr(10))) AS c FROM conversations)
+  UNION ALL SELECT 'snapshot', doc_id, NULL, NULL, NULL, NULL FROM labels""")
 add("coerce_lenient", """SELECT doc_id, try_cast(source AS BIGINT) AS whole, substr(source, 4)::BIGINT AS suffix,
   (substr(source, 4) || '.5')::DOUBLE AS ratio, CASE WHEN lang = 'en' THEN true END AS flag FROM documents""",
     d="ratio")
@@ -285,8 +285,8 @@ def stats(length: str, source: str, by: str) -> str:
 
 STAT_INTS = "median_length min_length max_length sample_size"
 add("text_length_stats", stats("length(text)", "documents", "lang"), d="avg_length", i=STAT_INTS)
-add("text_coverage", f"""WITH h AS (SELECT lang, {clean("string_split(text, chr(10))[1]", 'full')} AS head FROM documents)
-  SELECT lang, count(*) FILTER (length(head) > 0) AS with_text, count(*) AS n FROM h GROUP BY lang""")
+add("text_coverage", f"""WITH h AS (SELECT lang, {clean('text', 'full')} AS cleaned FROM documents)
+  SELECT lang, count(*) FILTER (length(cleaned) > 0) AS with_text, count(*) AS n FROM h GROUP BY lang""")
 add("lexicon_sentiment", f"""WITH s AS (SELECT doc_id, {per_token('text')} AS sentiment_score FROM documents)
   SELECT doc_id, sentiment_score, abs(sentiment_score) AS sentiment_intensity,
   {label('sentiment_score')} AS sentiment FROM s""", d="sentiment_score sentiment_intensity")
@@ -829,8 +829,8 @@ add("engagement_summary", f"WITH {ENG} " + " UNION ALL ".join(f"""SELECT {lit(c)
   1 - count({c})::DOUBLE / count(*) AS missing_ratio, avg({c}) AS mean, avg(ln(1 + {c})) AS mean_log1p,
   quantile_cont({c}, 0.5) AS median, quantile_cont({c}, 0.95) AS p95, quantile_cont({c}, 0.99) AS p99 FROM en"""
   for c in ("l_quantity", "l_extendedprice", "l_tax")), d="missing_ratio mean mean_log1p median p95 p99", digits=4)
-add("crosstab", "SELECT lang, " + ", ".join(
-    f"count(*) FILTER (source = 'src{i}') AS src{i}" for i in range(20)) + " FROM documents GROUP BY lang")
+add("crosstab", """SELECT coalesce(lang, 'Unknown') AS lang, coalesce(source, 'Unknown') AS source, count(*) AS n
+  FROM documents GROUP BY 1, 2""")
 add("null_structure", f"""WITH {LABELLED}, m AS (SELECT 'tweet' AS record_type, text, quality AS parsed, doc_id,
     NULL::VARCHAR AS role FROM lb
   UNION ALL SELECT 'news_comment', text, CASE WHEN turn > 0 THEN turn END, NULL, role FROM conversations)
@@ -851,11 +851,11 @@ add("multiplicity_summary", f"""WITH {CAPTURES} SELECT count(*) AS ids, count(*)
 _CR = {
     "rows_in": "(SELECT count(*) FROM documents)", "null_text_dropped": "(SELECT count(*) FROM documents WHERE trim(text) = '')",
     "duplicates_removed": "(SELECT sum(n - 1) FROM g)", "valid_records": "(SELECT count(*) FROM g)",
-    "duplicate_rate_before": "(SELECT 100.0::DOUBLE * sum(n - 1) / sum(n) FROM g)", "duplicate_rate_after": "0",
+    "duplicate_rate_before": "(SELECT 100.0::DOUBLE * sum(n - 1) / sum(n) FROM g)", "duplicate_rate_after": "(SELECT 100.0::DOUBLE * (count(*) - count(DISTINCT text)) / count(*) FROM g)",
     "target_language_share": "(SELECT avg(tl) FROM g)", "avg_chars": "(SELECT avg(length(text)) FROM g)",
     "avg_tokens": f"(SELECT avg(len({tokens('text')})) FROM g)",
 }
-add("cleaning_report", """WITH g AS (SELECT text, count(*) AS n, min((lang = 'en')::INT) AS tl FROM documents
+add("cleaning_report", """WITH g AS (SELECT text, count(*) AS n, arg_max((lang = 'en')::INT, doc_id) AS tl FROM documents
   WHERE trim(text) <> '' GROUP BY text) """ + " UNION ALL ".join(
     f"SELECT {lit(k)} AS metric, ({v})::DOUBLE AS value" for k, v in _CR.items()), d="value")
 
@@ -864,7 +864,7 @@ add("cleaning_report", """WITH g AS (SELECT text, count(*) AS n, min((lang = 'en
 add("snapshot_json", f"""SELECT doc_id::VARCHAR AS id, {clean('text', 'nlp')} AS text_cleaned,
   length({clean('text', 'nlp')}) AS text_length, source AS author_userName, doc_id AS author_followers,
   n_chars AS likeCount, {day('doc_id')} AS day FROM documents""", i="text_length")
-add("latest_file", "SELECT doc_id FROM documents")
+add("latest_file", "SELECT doc_id, text FROM documents")
 WEEKLY = """wo AS (SELECT o_orderkey, o_custkey, o_totalprice, isoyear(o_orderdate) AS iso_year,
   weekofyear(o_orderdate) AS iso_week FROM orders)"""
 add("read_silver_weeks", f"""WITH {WEEKLY} SELECT * FROM wo WHERE (iso_year = 1995 AND iso_week = 1)
@@ -877,9 +877,12 @@ add("read_latest_artifact", f"""WITH {WEEKLY} SELECT * FROM wo WHERE iso_year *
 add("csv_round_trip", """SELECT doc_id, text, to_json(string_split(source, 'c'))::VARCHAR AS parts FROM documents""")
 add("read_silver_merged", """SELECT doc_id::VARCHAR AS id, lang, n_chars AS likeCount, NULL::BIGINT AS viewCount,
     NULL::VARCHAR AS newsLink, NULL::VARCHAR AS comments, 'tweets' AS source_type FROM documents
-  UNION ALL SELECT 'b' || doc_id, NULL, NULL, n_chars, NULL, NULL, 'tweets' FROM documents
+  UNION ALL SELECT 'b' || doc_id, NULL, doc_id, n_chars, NULL, NULL, 'tweets' FROM documents
   UNION ALL SELECT NULL, NULL, NULL, NULL, conv_id::VARCHAR, to_json(string_split(text, chr(10)))::VARCHAR, 'news'
     FROM conversations""")
+add("upsert_weekly_undated", """WITH d AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderdate END AS day,
+    CASE WHEN o_orderkey % 5 = 0 THEN 3 WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS round FROM orders)
+  SELECT o_orderkey, round, isoyear(day) AS iso_year, weekofyear(day) AS iso_week FROM d""", i="round iso_year iso_week")
 add("select_by_pattern", "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders", d="o_totalprice")
 add("user_scorer", f"""WITH s AS (SELECT doc_id, round(len(regexp_extract_all(text, '[aeiou]'))::DOUBLE
     / greatest(length(text), 1) - 0.4, 6) + 0 AS sentiment_score FROM documents)
@@ -899,15 +902,17 @@ add("weekly_brands", f"""WITH wt AS (SELECT 't' AS k, {clean('text', 'nlp')} AS
 
 # ---- streams ------------------------------------------------------------------------------------
 
+# days the watermark, two days behind the newest event, has closed
 add("stream_volume", """SELECT ts::DATE AS period, event_type, count(*) AS n_records, sum(value) AS score_sum,
-  avg(value) AS avg_score FROM events GROUP BY 1, 2""", d="score_sum avg_score")
+  avg(value) AS avg_score FROM events WHERE ts::DATE + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY
+  GROUP BY 1, 2""", d="score_sum avg_score")
 add("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 add("stream_upsert", """SELECT user_id, isoyear(ts) AS iso_year, weekofyear(ts) AS iso_week,
   arg_max(event_id, struct_pack(ts := ts, e := event_id)) AS event_id,
   arg_max(value, struct_pack(ts := ts, e := event_id)) AS value FROM events GROUP BY 1, 2, 3""",
     d="value", i="iso_year iso_week")
-add("stream_alerts", f"""WITH {TEXT_DAYS}, {alerts(False)} SELECT * FROM sa ORDER BY CASE severity
-  WHEN 'critical' THEN 0 WHEN 'warning' THEN 1 ELSE 2 END, date, brand, source, type LIMIT 10""",
-    d="prev_pct curr_pct delta")
+add("stream_silver", f"""SELECT doc_id::VARCHAR AS id, {clean('text', 'nlp')} AS text_cleaned, n_chars AS likeCount,
+  isoyear({day('doc_id')}) AS iso_year, weekofyear({day('doc_id')}) AS iso_week FROM documents""", i="iso_year iso_week")
+add("stream_alerts", f"""WITH {TEXT_DAYS}, {alerts(False)} SELECT * FROM sa""", d="prev_pct curr_pct delta")
 add("stream_refresh_weeks", f"""WITH {WEEKLY} SELECT iso_year, iso_week, count(*) AS n FROM wo WHERE iso_year = 1995
   GROUP BY 1, 2""", i="iso_year iso_week")

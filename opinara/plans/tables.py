@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opinara.functions.sentiment import lexicon_score, score_columns
 from opinara.functions.taxonomy import tag
-from opinara.sources.readers import normalize_timestamps, spread_small
+from opinara.sources.readers import normalize_timestamps
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -49,15 +49,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    return spread_small(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def conversations(spark, sf_dir) -> DataFrame:
-    return spread_small(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+    return table(spark, sf_dir, "conversations")
 
 
 def lineitem(spark, sf_dir) -> DataFrame:
-    return spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    return table(spark, sf_dir, "lineitem")
 
 
 def labelled(spark, sf_dir) -> DataFrame:

@@ -16,7 +16,7 @@ from opinara.operators.quality import (
     dashboard_metrics, governance_summary, kpi_bands, kpi_table, storytelling_summary,
 )
 from opinara.operators.shape import select_existing, total_engagement
-from opinara.operators.trends import daily_sentiment, ordered_alerts, sentiment_alerts
+from opinara.operators.trends import daily_sentiment, sentiment_alerts
 from opinara.sources.readers import read_silver
 from opinara.sources.writers import write_weekly
 
@@ -92,7 +92,7 @@ def gold_tables(tweets: DataFrame, news: DataFrame) -> dict[str, DataFrame]:
 def reports(gold: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """What is told from the roll-ups."""
     return {
-        "sentiment_alerts": ordered_alerts(sentiment_alerts(gold["daily_sentiment"])),
+        "sentiment_alerts": sentiment_alerts(gold["daily_sentiment"]),
         "governance_kpis": kpi_table(gold["governance_metrics"]),
         "governance_bands": kpi_bands(gold["governance_metrics"]),
         "storytelling": story.story_row(gold["brand_analytics"], gold["topic_analytics"],

@@ -20,22 +20,6 @@ def normalize_timestamps(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in plain}) if plain else df
 
 
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table over the cores when it is too small to have a split for each.
-
-    A small file has one row group and would keep one core busy with all of its texts.
-    Judged by the sizes the planner knows and the number of files; other tables, which is
-    every large one, are returned untouched.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    if size >= cores * split or len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def read_snapshots(spark: SparkSession, path: str | list[str], source: str,
                    schema: StructType | None = None, lines: bool = False) -> DataFrame:
     """Bronze JSON documents with the file they came from.
@@ -57,10 +41,12 @@ def list_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 
 
 def latest_by_name(spark: SparkSession, path: str, source: str, suffix: str = "json") -> str:
-    """Path of the newest snapshot file, the greatest by name. Only the listing is read,
-    and one row comes back."""
-    newest = list_files(spark, path, f"{source}_*.{suffix}").agg(
-        F.max_by("path", "name").alias("path")).first()["path"]
+    """Path of the newest snapshot, the greatest by name: a file, or a folder as
+    ``write_snapshot`` lands it. Only the listing is read, and one row comes back."""
+    place = rf"^(.*/({source}_[^/]*\.{suffix}))(?:/|$)"
+    newest = list_files(spark, path, "*").select(
+        F.regexp_extract("path", place, 1).alias("path"), F.regexp_extract("path", place, 2).alias("name")
+    ).filter("name <> ''").agg(F.max_by("path", "name").alias("path")).first()["path"]
     if newest is None:
         raise FileNotFoundError(f"no {source}_*.{suffix} below {path}")
     return newest
@@ -146,16 +132,14 @@ def read_silver_merged(spark: SparkSession, path: str) -> DataFrame:
     """
     parts = []
     for family, columns in FAMILY_COLUMNS.items():
-        df = _read_family(spark, path, family)
-        if df is None:
-            continue
-        known = {c: kind for c, kind in columns.items() if c in df.columns}
-        arrays = [c for c, kind in df.dtypes if c in known and kind.startswith("array")]
-        df = df.withColumns({c: F.to_json(c) for c in arrays}) if arrays else df
-        df = df.withColumn("source_file", F.col("_metadata.file_name")).select(
-            *known, "source_file")
-        parts.append(coerce(df, known).withColumn(
-            "source_type", F.lit("tweets" if family == "tweets" else "news")))
+        for df in _read_family(spark, path, family):
+            known = {c: kind for c, kind in columns.items() if c in df.columns}
+            arrays = [c for c, kind in df.dtypes if c in known and kind.startswith("array")]
+            df = df.withColumns({c: F.to_json(c) for c in arrays}) if arrays else df
+            df = df.withColumn("source_file", F.col("_metadata.file_name")).select(
+                *known, "source_file")
+            parts.append(coerce(df, known).withColumn(
+                "source_type", F.lit("tweets" if family == "tweets" else "news")))
     if not parts:
         raise FileNotFoundError(f"no Silver files below {path}")
     result = parts[0]
@@ -164,15 +148,24 @@ def read_silver_merged(spark: SparkSession, path: str) -> DataFrame:
     return result
 
 
-def _read_family(spark: SparkSession, path: str, family: str) -> DataFrame | None:
+def _read_family(spark: SparkSession, path: str, family: str) -> list[DataFrame]:
+    """The family's files with merged schemas; where the types of a column conflict, each
+    file or table by itself, to be coerced and united after that."""
     from pyspark.errors import AnalysisException
+    options = {"recursiveFileLookup": True, "mergeSchema": True}
     try:
-        return (spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
-                .parquet(f"{path}/*{family}*"))
+        return [spark.read.options(**options).parquet(f"{path}/*{family}*")]
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":  # nothing of this family
-            return None
+            return []
         raise
+    except Exception as error:  # comes with another class from each kind of session
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    # names of the entries of one folder, not of their rows
+    names = list_files(spark, path, "*").select(F.regexp_extract(
+        "path", rf"/([^/]*{family}[^/]*)(?:/|$)", 1).alias("name")).distinct().filter("name <> ''").collect()
+    return [spark.read.options(**options).parquet(f"{path}/{r['name']}") for r in sorted(names)]
 
 
 def latest_week(df: DataFrame) -> tuple[int, int] | None:
@@ -189,9 +182,10 @@ def read_latest_artifact(spark: SparkSession, root: str, name: str) -> DataFrame
         (F.col("iso_year") == week[0]) & (F.col("iso_week") == week[1]))
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """CSV with a header and a given schema. Texts may span lines."""
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, lines: bool = False) -> DataFrame:
+    """CSV with a header and a given schema. Texts may span lines unless ``lines`` promises
+    one row per line: a file whose rows span lines cannot be split and is one task."""
+    return (spark.read.schema(schema).option("header", True).option("multiLine", not lines)
             .option("escape", '"').csv(path))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DateType, StructType, TimestampType
 
 from opinara.functions.dates import with_iso_week
@@ -59,17 +59,35 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
      .option("quoteAll", True).csv(path))
 
 
-def _exists(df: DataFrame, path: str) -> bool:
-    spark = df.sparkSession
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A weekly table, None where nothing has been written yet."""
+    from pyspark.errors import AnalysisException
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    # a table of undated rows alone has weeks of no type
+    untyped = [c for c, kind in table.dtypes if c in ("iso_year", "iso_week") and kind != "int"]
+    return table.withColumns({c: F.col(c).cast("int") for c in untyped}) if untyped else table
+
+
+def of_weeks(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of ``table`` in the weeks of ``rows``. Undated rows are a week of their own.
+
+    As many weeks are broadcast as the calendar has in ``rows``.
+    """
+    weeks = rows.select(F.col("iso_year").alias("_year"), F.col("iso_week").alias("_week")).distinct()
+    return table.join(F.broadcast(weeks), F.col("iso_year").eqNullSafe(F.col("_year"))
+                      & F.col("iso_week").eqNullSafe(F.col("_week")), "left_semi")
 
 
 def upsert_weekly(new: DataFrame, path: str, keys: list[str], order: list[str],
                   date_col: str | None = None, week: tuple[int, int] | None = None) -> None:
     """Merge a batch into its weeks of a partitioned table; per key the last row stays.
 
-    Only the weeks the batch touches are read and replaced. The merged rows are
+    Only the weeks the batch touches are read and replaced; undated rows are a week. The merged rows are
     written to the shared folder before the weeks they were read from are replaced,
     so a lost executor cannot make Spark read a half-replaced table.
     """
@@ -77,12 +95,7 @@ def upsert_weekly(new: DataFrame, path: str, keys: list[str], order: list[str],
         new = new.withColumns({"iso_year": F.lit(week[0]), "iso_week": F.lit(week[1])})
     elif date_col is not None:
         new = with_iso_week(new, date_col)
-    if _exists(new, path):
-        # as many rows as the calendar has weeks in the batch
-        touched = new.select("iso_year", "iso_week").distinct()
-        existing = new.sparkSession.read.parquet(path).join(
-            F.broadcast(touched), ["iso_year", "iso_week"], "left_semi")
-    else:
-        existing = new.limit(0)
+    stored = stored_table(new.sparkSession, path)
+    existing = new.limit(0) if stored is None else of_weeks(stored, new)
     merged = upsert(new, existing, [*keys, "iso_year", "iso_week"], order)
     write_weekly(cut_lineage(merged), path)

@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from opinara import schemas
-from opinara.operators.trends import ordered_alerts, sentiment_alerts
+from opinara.operators.identity import latest_per_key
+from opinara.operators.trends import sentiment_alerts
+from opinara.session import cut_lineage
 from opinara.sources.readers import silver_news, silver_tweets
-from opinara.sources.writers import upsert_weekly, write_weekly
+from opinara.sources.writers import stored_table, of_weeks, upsert_weekly, write_weekly
 
 SILVER = {"twitter": silver_tweets, "webscraping": silver_news}
 
@@ -47,10 +49,14 @@ def stream_files(spark: SparkSession, path: str, schema, pattern: str = "*.parqu
 
 def stream_silver(spark: SparkSession, source: str, bronze: str, silver: str, checkpoint: str,
                   keys: list[str], date: Callable[[DataFrame], Column],
-                  per_batch: int | None = None) -> StreamingQuery:
-    """Bronze snapshots to the weekly Silver table, new files only, last row per key."""
-    snapshots = stream_files(spark, bronze, schemas.SNAPSHOTS[source], f"{source}_*.json", "json",
-                             per_batch, multiLine="true")
+                  per_batch: int | None = None, lines: bool = False) -> StreamingQuery:
+    """Bronze snapshots to the weekly Silver table, new files only, last row per key.
+
+    A file named ``source_*.json`` holds one document or a list; with ``lines`` the folders
+    that ``write_snapshot`` lands are read, one document per line.
+    """
+    snapshots = stream_files(spark, bronze, schemas.SNAPSHOTS[source], "*.json" if lines else f"{source}_*.json",
+                             "json", per_batch, multiLine=str(not lines).lower())
     rows = SILVER[source](snapshots)
 
     def merge(batch: DataFrame, _: int) -> None:
@@ -84,39 +90,40 @@ def stream_trend(df: DataFrame, ts: str, by: str, width: str = "1 day", slide: s
 
 
 def write_trend(trend: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the whole (aggregated, hence small) trend table up to date."""
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-    return run_available(trend, checkpoint, replace, mode="complete")
+    """Land each period when the watermark has closed it; state holds the open ones only."""
+    return run_available(trend, checkpoint, land_batches(path))
 
 
-def stream_alerts(trend: DataFrame, path: str, checkpoint: str, threshold: float = 15.0,
-                  k: int = 10) -> StreamingQuery:
-    """Alerts over a streamed daily sentiment trend.
+def stream_alerts(trend: DataFrame, path: str, checkpoint: str, threshold: float = 15.0) -> StreamingQuery:
+    """All alerts over a streamed daily sentiment trend, below ``path/alerts``.
 
-    Each batch of closed days lands in its own partition, so a repeated batch replaces
-    itself; alerts are recomputed from the days so far, one row per day and group.
+    A batch of closed days is compared with the last day of each group before it, which the
+    batch before has left behind: one row per group, however long the history. Days and
+    alerts land per batch, so a repeated batch replaces itself.
     """
     spark = trend.sparkSession
 
     def detect(batch: DataFrame, batch_id: int) -> None:
-        land_batches(f"{path}/trend")(batch, batch_id)
-        days = spark.read.parquet(f"{path}/trend").drop("batch")
-        ordered_alerts(sentiment_alerts(days, threshold), k).write.mode("overwrite").parquet(
-            f"{path}/alerts")
+        batch = cut_lineage(batch)
+        before = stored_table(spark, f"{path}/last/batch={batch_id - 1}") if batch_id else None
+        days = batch if before is None else batch.unionByName(before)
+        first = batch.groupBy("brand", "source").agg(F.min("date_day").alias("first"))
+        alerts = sentiment_alerts(days, threshold).join(first, ["brand", "source"]).filter(
+            F.col("date") >= F.col("first")).drop("first")
+        alerts.write.mode("overwrite").parquet(f"{path}/alerts/batch={batch_id}")
+        latest_per_key(days, ["brand", "source"], [F.col("date_day").desc()], total=True).write.mode(
+            "overwrite").parquet(f"{path}/last/batch={batch_id}")
 
     return run_available(trend, checkpoint, detect)
 
 
 def refresh_weeks(rows: DataFrame, path: str, checkpoint: str,
                   build: Callable[[DataFrame], DataFrame], silver: str) -> StreamingQuery:
-    """Rebuild the Gold weeks a batch touches from Silver, and only those."""
+    """Rebuild the Gold weeks a batch touches from Silver, and only those; undated rows
+    are a week."""
     spark = rows.sparkSession
 
     def refresh(batch: DataFrame, _: int) -> None:
-        weeks = batch.select("iso_year", "iso_week").distinct()
-        source = spark.read.parquet(silver).join(
-            F.broadcast(weeks), ["iso_year", "iso_week"], "left_semi")
-        write_weekly(build(source), path)
+        write_weekly(build(of_weeks(spark.read.parquet(silver), batch)), path)
 
     return run_available(rows, checkpoint, refresh)

@@ -144,7 +144,7 @@ SPANISH_ACCENTS = "áéíóúñ"
 
 # Placeholder texts and the quoted-reply prefix seen in comments.
 NOISE_TEXTS = ["deleted"]
-QUOTED_REPLY_PREFIX = r"^[^,\n]{1,60}, \d+ (?:minutes?|hours?|days?) ago"
+QUOTED_REPLY_PREFIX = r"^[^,\n]+, \d+ (?:minutes?|hours?|days?) ago"
 
 # Columns the two governance tables are expected to have.
 GOVERNANCE_TWEETS_COLUMNS = [
