@@ -360,3 +360,19 @@ def test_narrative_can_be_critical(spark):
     said = story.brand_narrative(brands).first().narrative
     assert "Sony accumulated a total volume of 1,500 mentions" in said
     assert "mostly critical with a net sentiment score of -0.2000" in said
+
+
+def test_exact_quantiles_with_infinity_a_dense_cluster_and_far_outliers(spark):
+    inf = float("inf")
+    dense = [1e6 + i * 1e-7 for i in range(30000)]
+    data = {"a": [-inf, -inf, *dense, inf], "b": [*dense, 1e300, -1e300], "c": [inf, inf], "d": [5.0] * 9 + [float("nan")],
+            "e": [-inf, 3.0, inf]}
+    rows = [(g, v) for g, values in data.items() for v in values]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    probs = [0.0, 0.25, 0.5, 0.999, 1.0]
+    got = {(r.g, r.p): r.value for r in quantiles.exact_quantiles(df, ["v"], probs, ["g"]).collect()}
+    want = {r.g: r.q for r in df.filter(~F.isnan("v")).groupBy("g").agg(
+        F.expr("percentile(v, array(0.0, 0.25, 0.5, 0.999, 1.0))").alias("q")).collect()}
+    for g in data:
+        for p, w in zip(probs, want[g]):
+            assert got[(g, p)] == w or abs(got[(g, p)] - w) <= 1e-9 * abs(w), (g, p, got[(g, p)], w)

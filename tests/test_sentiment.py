@@ -82,3 +82,10 @@ def test_experience(one):
 def test_taxonomy_sizes():
     assert (len(vocab.BRANDS), len(vocab.PRODUCTS), len(vocab.TOPICS)) == (33, 14, 14)
     assert (len(vocab.POSITIVE_WORDS_BILINGUAL), len(vocab.NEGATIVE_WORDS_BILINGUAL)) == (21, 20)
+
+
+def test_table_lexicon_matches_whatever_the_case(spark):
+    rows = spark.createDataFrame([("1", "Good GOOD day"), ("2", "none")], "id string, text string")
+    lexicon = spark.createDataFrame([("Good", 2.0)], "word string, weight double")
+    got = {r.id: r.sentiment_score for r in s.compound_sentiment_from_table(rows, "id", "text", lexicon).collect()}
+    assert got["1"] > 0 and got["2"] == 0

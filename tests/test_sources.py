@@ -171,3 +171,21 @@ def test_schemas_keep_ids_as_text():
 def test_stamp(spark):
     df = with_iso_week(spark.sql("select date'2026-05-28' d"), "d").first()
     assert (df.iso_year, df.iso_week) == (2026, 22)
+
+
+def test_upsert_keeps_undated_rows_of_earlier_batches(spark, tmp_path):
+    from opinara.sources.writers import upsert_weekly
+    path, kinds = str(tmp_path / "weekly"), "id string, v int, day date"
+    for batch in ([("a", 1, None)], [("c", 2, None)], [("a", 3, None), ("d", 4, dt.date(2026, 5, 28))], [("e", 5, dt.date(2026, 5, 29))]):
+        upsert_weekly(spark.createDataFrame(batch, kinds), path, ["id"], ["v"], date_col="day")
+    got = {(r.id, r.v, r.iso_week) for r in spark.read.parquet(path).collect()}
+    assert got == {("a", 3, None), ("c", 2, None), ("d", 4, 22), ("e", 5, 22)}
+
+
+def test_latest_by_name_finds_files_and_folders(spark, tmp_path):
+    (tmp_path / "twitter_a_20260101.json").write_text("{}")
+    spark.range(1).write.json(str(tmp_path / "twitter_a_20260102.json"))
+    (tmp_path / "webscraping_20270101.json").write_text("{}")
+    assert readers.latest_by_name(spark, str(tmp_path), "twitter").endswith("twitter_a_20260102.json")
+    with pytest.raises(FileNotFoundError):
+        readers.latest_by_name(spark, str(tmp_path), "absent")

@@ -83,3 +83,14 @@ def test_refresh_touches_only_the_weeks_of_the_batch(spark, tmp_path):
     stream = jobs.stream_files(spark, arrivals, "iso_year int, iso_week int")
     jobs.refresh_weeks(stream, gold, str(tmp_path / "c"), lambda df: df.groupBy("iso_year", "iso_week").count(), silver)
     assert [tuple(r) for r in spark.read.parquet(gold).select("iso_week", "count").collect()] == [(22, 2)]
+
+
+def test_new_alerts_appear_after_many_old_ones(spark, tmp_path):
+    folder, kinds = str(tmp_path / "in"), "brand string, source string, date_day date, negative_pct double, positive_pct double"
+    day = lambda d, n: [(f"b{k}", "s", dt.date(2026, 5, d), n, 0.0) for k in range(12)]
+    for part in (day(1, 0.0) + day(2, 50.0), [("b0", "s", dt.date(2026, 5, 3), 10.0, 0.0)], [("b0", "s", dt.date(2026, 5, 4), 90.0, 0.0)]):
+        spark.createDataFrame(part, kinds).coalesce(1).write.mode("append").parquet(folder)
+    trend = jobs.stream_files(spark, folder, spark.read.parquet(folder).schema, per_batch=1)
+    jobs.stream_alerts(trend, str(tmp_path / "out"), str(tmp_path / "c"))
+    got = spark.read.parquet(str(tmp_path / "out" / "alerts"))
+    assert got.count() == 13 and got.filter("date = '2026-05-04'").count() == 1
