@@ -782,6 +782,15 @@ def _(spark, sf):
     return rollups.mention_counts(t.documents(spark, sf), "text", t.TEST_BRANDS)
 
 
+@query("mention_counts_published")
+def _(spark, sf):
+    """The published brands over texts that name them: part names in the role of products."""
+    named = t.table(spark, sf, "part").select(F.concat_ws(" ", F.element_at(F.array(
+        F.lit("Galaxy"), F.lit("iPhone"), F.lit("moto g"), F.lit("Redmi"), F.lit("radio")), F.pmod(
+        "p_partkey", F.lit(5)).cast("int") + 1), "p_name").alias("text"))
+    return rollups.mention_counts(named, "text", vocab.EDA_BRANDS)
+
+
 @query("mention_counts_parts")
 def _(spark, sf):
     return rollups.mention_counts(t.table(spark, sf, "part"), "p_name",
@@ -1316,8 +1325,8 @@ def _(spark, sf):
         F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("newsLink"),
         F.split("text", "\n").alias("comments"), stamp("conv_id").alias("snapshot_date"),
         t._day("conv_id").alias("event_date"))
-    upsert_weekly(posts, f"{root}/silver/tweets", ["id"], ["snapshot_date"], date_col="event_date")
-    upsert_weekly(articles, f"{root}/silver/news", ["newsLink"], ["snapshot_date"], date_col="event_date")
+    upsert_weekly(posts, f"{root}/silver/tweets", vocab.NATURAL_KEYS["tweets"], ["snapshot_date"], date_col="event_date")
+    upsert_weekly(articles, f"{root}/silver/news", vocab.NATURAL_KEYS["news"], ["snapshot_date"], date_col="event_date")
     tables = weekly.run_week(
         spark, f"{root}/silver", f"{root}/gold", 2024, 3,
         {"brand": t.TEST_BRANDS, "product": t.TEST_PRODUCTS, "topic": t.TEST_TOPICS},

@@ -494,6 +494,8 @@ def mentions(col: str, source: str, taxonomy) -> str:
 
 
 add("mention_counts", mentions("text", "documents", t.TEST_BRANDS), d="share_pct")
+add("mention_counts_published", mentions("text", """(SELECT ['Galaxy', 'iPhone', 'moto g', 'Redmi', 'radio'][p_partkey % 5 + 1]
+  || ' ' || p_name AS text FROM part)""", vocab.EDA_BRANDS), d="share_pct")
 add("mention_counts_parts", mentions("p_name", "part", ANY_RING), d="share_pct")
 add("reach_by_brand", f"""SELECT {first('p_name', t.PART_KINDS)} AS brand, avg(l_extendedprice) AS avg_reach
   FROM part JOIN lineitem ON p_partkey = l_partkey WHERE {first('p_name', t.PART_KINDS)} IS NOT NULL GROUP BY 1""",

@@ -48,9 +48,27 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/opinara/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, kind: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/opinara/{kind}-{uuid.uuid4().hex}"
+    """A fresh path below this application's part of the shared folder."""
+    return f"{_own_scratch(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written to its part of the shared folder.
+
+    To be called when a job has stored its results: frames that were not stored read from
+    there. Any file system Arrow knows (file, hdfs, s3).
+    """
+    from pyarrow import fs
+
+    uri = _own_scratch(spark).replace("s3a://", "s3://", 1)
+    system, path = fs.FileSystem.from_uri(uri) if ":" in uri.split("/", 1)[0] else (fs.LocalFileSystem(), uri)
+    if system.get_file_info(path).type == fs.FileType.Directory:
+        system.delete_dir(path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -189,3 +189,15 @@ def test_latest_by_name_finds_files_and_folders(spark, tmp_path):
     assert readers.latest_by_name(spark, str(tmp_path), "twitter").endswith("twitter_a_20260102.json")
     with pytest.raises(FileNotFoundError):
         readers.latest_by_name(spark, str(tmp_path), "absent")
+
+
+@pytest.mark.parametrize("scheme", ["file://", ""])
+def test_scratch_is_cleared(spark, tmp_path, monkeypatch, scheme):
+    import os
+    from opinara import session
+    monkeypatch.setattr(session, "shared_dir", lambda _: f"{scheme}{tmp_path}/shared")
+    session.cut_lineage(spark.range(3))
+    assert os.listdir(tmp_path / "shared" / "opinara")
+    session.clear_scratch(spark)
+    session.clear_scratch(spark)  # nothing left to clear
+    assert not os.listdir(tmp_path / "shared" / "opinara")
