@@ -84,6 +84,42 @@ QUERIES = {f.__name__: for_workers(f) for f in (op1_mixing, op2_token_files, op3
                                                 op5_jaccard_join, op6_token_counts, op7_html_text,                                   op8_toxicity, op9_language, op10_chat_formatting)}
 
 ORACLES = {
+    "op1_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, coalesce('s' || source, 'n') AS key,
+                len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens FROM documents),
+        t AS (SELECT key, sum(n_tokens)::BIGINT AS tokens FROM d GROUP BY 1),
+        p AS (SELECT tokens / (SELECT sum(tokens)::DOUBLE FROM t) AS p FROM t WHERE tokens > 0),
+        r AS (SELECT max(p) / min(p) AS r FROM p),
+        -- the least multiple of 2^-30 at which no source is read more than twice
+        a AS (SELECT CASE WHEN r <= 2 THEN 0.0::DOUBLE ELSE (SELECT min(k) / 2.0::DOUBLE ^ 30 FROM (
+                  SELECT unnest([-1, 0, 1]) + ceil(2.0::DOUBLE ^ 30 * (1 - ln(2) / ln(r))) AS k)
+                  WHERE pow(r, 1 - k / 2.0::DOUBLE ^ 30) <= 2) END AS a FROM r),
+        w AS (SELECT key, pow(tokens::DOUBLE, a) AS power, tokens / pow(tokens::DOUBLE, a) AS once
+              FROM t, a WHERE tokens > 0),
+        b AS (SELECT key, tokens, greatest(ceil(tokens / 262144.0::DOUBLE), 1)::BIGINT AS blocks,
+                  coalesce(round(power * (SELECT max(once) FROM w))::BIGINT, 0) AS budget
+              FROM t LEFT JOIN w USING (key)),
+        e AS (SELECT *, CASE WHEN tokens = 0 THEN 1 ELSE budget // tokens END AS whole FROM b),
+        dealt AS (SELECT doc_id, source, key, n_tokens,
+                      ('0x' || md5('17:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT % blocks AS block
+                  FROM d JOIN b USING (key)),
+        sums AS (SELECT key, block, sum(n_tokens)::BIGINT AS size FROM dealt GROUP BY 1, 2),
+        epochs AS (SELECT key, block, size, whole, CASE WHEN tokens = 0 THEN 0 ELSE budget - whole * tokens END AS rest,
+                       unnest(range(whole + 1)) AS epoch FROM sums JOIN e USING (key)),
+        ranked AS (
+            SELECT *, row_number() OVER o AS block_rank, sum(size) OVER (o ROWS UNBOUNDED PRECEDING) - size AS before
+            FROM (SELECT *, ('0x' || md5('18:' || epoch || ':' || block || ':' || key)[1:8])::BIGINT AS x FROM epochs)
+            WINDOW o AS (PARTITION BY key, epoch ORDER BY x, block)),
+        used AS (SELECT *, epoch < whole OR rest - before >= size AS complete FROM ranked
+                 WHERE epoch < whole OR rest > before),
+        plan AS (
+            SELECT doc_id, source, n_tokens, epoch, block, block_rank, complete, rest - before AS room,
+                sum(n_tokens) OVER (PARTITION BY key, block, epoch
+                    ORDER BY ('0x' || md5('19:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT, doc_id
+                    ROWS UNBOUNDED PRECEDING) AS until
+            FROM dealt JOIN used USING (key, block))
+        SELECT doc_id, source, n_tokens, epoch, block, block_rank FROM plan WHERE complete OR until <= room""",
     "op4_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, coalesce(text, '') AS t,
@@ -96,4 +132,57 @@ ORACLES = {
                    AS kept,
                digest AS text_sha256
         FROM d""",
+    "op5_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+            FROM documents),
+        s AS (
+            SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) = 0 THEN []
+                WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+                ELSE [array_to_string(ws[i:i + 3], ' ') FOR i IN range(1, len(ws) - 2)] END)) AS g
+            FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g)
+              WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+        l AS (SELECT x, y FROM p JOIN n i ON i.doc_id = x JOIN n j ON j.doc_id = y
+              WHERE 100 * c >= 85 * (i.n + j.n - c)),
+        r(doc_id, root) AS (
+            SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.root = l.x)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, min(root) AS component_id
+        FROM documents LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY 1, 2""",
+    "op10_chat_formatting": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        e AS (
+            SELECT *, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS tokens,
+                length(regexp_replace(replace(role, '\', '\\'), '(<)(\||/?s>|</?SYS>>)|(\[)(/?INST\])', '\1\3\\\2\4', 'g'))
+                + length(regexp_replace(replace(text, '\', '\\'), '(<)(\||/?s>|</?SYS>>)|(\[)(/?INST\])', '\1\3\\\2\4', 'g'))
+                + length('<|turn|>' || chr(10) || '<|end|>' || chr(10)) AS chars,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+            FROM t),
+        b AS (SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY pos) - tokens AS before FROM e),
+        y AS (SELECT conv_id, min(pos) AS sys_pos, arg_min(tokens, pos) AS sys_tokens FROM b
+              WHERE role = 'system' GROUP BY 1),
+        c AS (SELECT b.*, sys_pos, greatest(512 - 128 - coalesce(sys_tokens, 0), 1) AS room
+              FROM b LEFT JOIN y USING (conv_id)),
+        v AS (SELECT *, (before + tokens - 1) // room AS stretch FROM c),
+        u AS (SELECT *, 2 * stretch + (before >= stretch * room)::INT AS win FROM v),
+        s AS (SELECT conv_id, win, min(pos) AS first, min(before) AS begins FROM u GROUP BY 1, 2),
+        again AS (
+            SELECT conv_id, sum(chars) AS chars FROM (
+                SELECT u.conv_id, u.chars FROM u JOIN s ON s.conv_id = u.conv_id
+                    AND s.first BETWEEN u.pos + 1 AND u.pos + 2
+                WHERE s.begins - u.before <= 128 AND u.pos IS DISTINCT FROM u.sys_pos
+                UNION ALL
+                SELECT u.conv_id, u.chars FROM u JOIN s ON s.conv_id = u.conv_id
+                WHERE u.pos = u.sys_pos AND s.first > u.pos) GROUP BY 1)
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            (sum(u.chars) + coalesce(max(again.chars), 0))::BIGINT AS formatted_chars
+        FROM u LEFT JOIN again USING (conv_id) GROUP BY 1""",
 }
