@@ -12,8 +12,11 @@ the pivots have to lie among the documents. This is done in three exact steps:
 * Inside a region, sets whose sizes are too far apart cannot be near: a chain of near sizes is
   a cell, its smallest document the pivot. Cells of one pivot are one cell, to which a
   document's text goes once.
-* A cell is joined by its pivots and the triangle inequality (``join_cell``). A cell too large for
-  one task is split into pairs of blocks.
+* A cell first compares short vectors: how many shingles of a set fall into each of 128 classes.
+  Their L1 distance is at most the sets' symmetric difference, so a document whose vector is
+  too far from all others of the cell has no link there, and its text is not fetched.
+* What is left of a cell is joined by its pivots and the triangle inequality (``join_cell``). A
+  cell too large for one task is split into pairs of blocks.
 
 What leaves a cell is a spanning forest of the links found; the classes are their connected
 components.
@@ -36,10 +39,12 @@ from opinara.session import cut_lineage
 WORDS, PERCENT = 4, 85
 #: A shingle is common when it is in this share of the documents, and in so many. Bounded: at
 #: most (average shingles of a document) / COMMON_SHARE shingles are.
-COMMON_SHARE, COMMON_LEAST = 1 / 2000, 16
+COMMON_SHARE, COMMON_LEAST = 1 / 8000, 16
+#: Classes of shingles, a power of two, and the largest count that is told apart.
+CLASSES, MOST = 128, (1 << 16) - 1
 #: Documents of a cell that one task joins; a larger cell is split into pairs of blocks.
 CELL_DOCS = 4_000
-#: Up to so many candidates (8 bytes each) are broadcast to fetch their texts.
+#: Up to so many copies or candidates (at most 32 bytes each) are broadcast.
 BROADCAST_IDS = 1_000_000
 BATCH_BYTES = 1 << 21
 
@@ -109,7 +114,8 @@ def common_shingles(rows: DataFrame, words: int) -> np.ndarray:
 
 
 def features(rows: DataFrame, common: np.ndarray, words: int, percent: int) -> DataFrame:
-    """``doc_id, n, key_a, key_b, regions``: the set's size and digest, and its regions."""
+    """``doc_id, n, key_a, key_b, regions, counts``: the set's size and digest, its regions,
+    and its shingles per class."""
     shared = rows.sparkSession.sparkContext.broadcast(common)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,6 +128,10 @@ def features(rows: DataFrame, common: np.ndarray, words: int, percent: int) -> D
                 # sums over the set: order does not matter, every shingle does
                 sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix64(z + np.uint64(salt)))]) for salt in (1, 2)]
                 keys = [(s[at[1:]] - s[at[:-1]]).astype(np.int64) for s in sums]
+                shift = np.uint64(64 - (CLASSES - 1).bit_length())
+                spread = np.bincount(text * CLASSES + (z >> shift).astype(np.int64), minlength=len(n) * CLASSES)
+                counts = np.minimum(spread, MOST).astype("<u2").tobytes()
+                counts = [counts[i:i + 2 * CLASSES] for i in range(0, len(counts), 2 * CLASSES)]
                 if len(common):
                     place = np.searchsorted(common, z)
                     place[place == len(common)] = 0
@@ -131,10 +141,11 @@ def features(rows: DataFrame, common: np.ndarray, words: int, percent: int) -> D
                 chosen = z[ragged(at[:-1], window)].astype(np.int64)
                 lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(window)]).astype(np.int32), chosen)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, len(n)), pa.array(n), *map(pa.array, keys), lists],
-                    names=["doc_id", "n", "key_a", "key_b", "regions"])
+                    [batch.column("doc_id").slice(first, len(n)), pa.array(n), *map(pa.array, keys), lists,
+                     pa.array(counts, pa.binary())], names=["doc_id", "n", "key_a", "key_b", "regions", "counts"])
 
-    return rows.mapInArrow(make, "doc_id long, n long, key_a long, key_b long, regions array<long>")
+    return rows.mapInArrow(
+        make, "doc_id long, n long, key_a long, key_b long, regions array<long>, counts binary")
 
 
 def cells(entries: DataFrame, percent: int) -> DataFrame:
@@ -173,6 +184,64 @@ def cells(entries: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(make, "cell long, doc long").distinct())
 
 
+def may_link(n: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets of a cell may link with another by size and by counts per class.
+
+    ``100 * common >= percent * all`` is the same as
+    ``(100 + percent) * difference <= (100 - percent) * (size + size)`` for the symmetric
+    difference, which is at least the L1 distance of the counts.
+    """
+    order = np.argsort(n, kind="stable")
+    n, counts = n[order], counts[order].astype(np.int32)
+    last = np.searchsorted(n, n * 100 // percent, side="right")
+    out = np.zeros(len(n), bool)
+    for i in range(len(n) - 1):
+        j = slice(i + 1, last[i])
+        near = (100 + percent) * np.abs(counts[j] - counts[i]).sum(axis=1) <= (100 - percent) * (n[j] + n[i])
+        if near.any():
+            out[i] = True
+            out[j] |= near
+    back = np.empty(len(n), bool)
+    back[order] = out
+    return back
+
+
+def prune_cells(members: DataFrame, percent: int) -> DataFrame:
+    """``(cell, part, doc)`` of those of ``(cell, part, doc, n, counts)`` that may link."""
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def close(rows: pa.Table) -> pa.RecordBatch:
+            cell, part, doc, n = (np.asarray(rows[c].combine_chunks(), np.int64) for c in ("cell", "part", "doc", "n"))
+            counts = np.frombuffer(b"".join(rows["counts"].to_pylist()), "<u2").reshape(len(doc), CLASSES)
+            begins = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (part[1:] != part[:-1])])
+            keep = np.zeros(len(doc), bool)
+            for a, b in zip(begins, [*begins[1:], len(doc)]):
+                keep[a:b] = may_link(n[a:b], counts[a:b], percent)
+            return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (cell, part, doc)], names=["cell", "part", "doc"])
+
+        def ends(batch: pa.RecordBatch, i: int) -> tuple:
+            return batch.column("cell")[i].as_py(), batch.column("part")[i].as_py()
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            held.append(batch)
+            if ends(batch, 0) == ends(batch, -1) == ends(held[0], 0):
+                continue  # still one cell
+            rows = pa.Table.from_batches(held)
+            cells, parts = (np.asarray(rows[c].combine_chunks(), np.int64) for c in ("cell", "part"))
+            open_from = int(np.flatnonzero((cells == cells[-1]) & (parts == parts[-1]))[0])  # may go on
+            yield close(rows.slice(0, open_from))
+            held = rows.slice(open_from).combine_chunks().to_batches()
+        if held:
+            yield close(pa.Table.from_batches(held))
+
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (members.repartition(parts, "cell", "part").sortWithinPartitions("cell", "part", "doc")
+            .mapInArrow(make, "cell long, part long, doc long"))
+
+
 def join_cell(sets: list[np.ndarray], labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Spanning links (label, label) of all links between the sets of one cell.
 
@@ -294,20 +363,24 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     key = ["key_a", "key_b", "n"]
     # one document stands for all with the same set
     reps = cut_lineage(sets.groupBy(*key).agg(F.min("doc_id").alias("rep")).filter("rep IS NOT NULL"))
-    standing = sets.join(reps.withColumnRenamed("rep", "doc_id"), ["doc_id", *key], "left_semi")
-    entries = standing.dropDuplicates(["doc_id", *key]).select(
-        F.explode("regions").alias("region"), F.col("doc_id").alias("doc"), "n")
+    # the others leave; few copies are broadcast, so that the regions stay where they are
+    copies = cut_lineage(sets.select("doc_id", *key).join(reps, key).filter("doc_id <> rep").select("doc_id", *key).distinct())
+    standing = sets.filter("doc_id IS NOT NULL").join(
+        F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies, ["doc_id", *key], "left_anti")
+    entries = standing.select(F.explode("regions").alias("region"), F.col("doc_id").alias("doc"), "n")
     member = cut_lineage(cells(entries, percent))
     # a large cell is split into blocks; each pair of blocks is joined, with the pivot in both
     size = member.groupBy("cell").agg(F.count(F.lit(1)).alias("m")).withColumn(
         "g", F.ceil(F.col("m") * 2 / CELL_DOCS))
-    large = size.filter(F.col("m") > CELL_DOCS).select("cell", "g")
+    large = cut_lineage(size.filter(F.col("m") > CELL_DOCS).select("cell", "g"))
     block = F.pmod(F.xxhash64("doc"), F.col("g"))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("g") - 1))
     split = member.join(large, "cell").withColumn("b", block).withColumn("o", other).select(
         "cell", (F.least("b", "o") * F.col("g") + F.greatest("b", "o")).alias("part"), "doc")
     placed = member.join(large, "cell", "left_anti").select("cell", F.lit(0).cast("bigint").alias("part"), "doc").unionByName(split)
-    wanted = member.select(F.col("doc").alias("doc_id")).distinct()
+    vectors = standing.select(F.col("doc_id").alias("doc"), "n", "counts")
+    placed = cut_lineage(prune_cells(placed.join(vectors, "doc"), percent))
+    wanted = placed.select(F.col("doc").alias("doc_id")).distinct()
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
     texts = rows.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), "text").filter("text <> ''")

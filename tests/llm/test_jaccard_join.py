@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinara.llm.components import components
-from opinara.llm.jaccard_join import jaccard_components, join_cell
+from opinara.llm.jaccard_join import jaccard_components, join_cell, may_link
 
 SCHEMA = "doc_id long, text string, n long, cell string, region string"
 
@@ -128,3 +128,26 @@ def test_null_and_repeated_ids_and_no_rows(spark):
     got = sorted((tuple(r) for r in jaccard_components(frame(spark, rows)).collect()), key=repr)
     assert got == sorted([(None, 3, 2), (3, 3, 2), (2, 3, 2), (None, 1, None), (5, 1, 5), (5, 1, 5), (6, 1, 5)], key=repr)
     assert jaccard_components(frame(spark, [])).collect() == []
+
+
+def test_vectors_prune_no_link():
+    rnd = random.Random(9)
+    for percent in (85, 80):
+        for _ in range(200):
+            base = rnd.sample(range(10**6), rnd.choice([1, 5, 40, 300]))
+            members = []
+            for _ in range(6):
+                own = set(base)
+                for x in rnd.sample(base, rnd.randrange(len(base) // 4 + 1)):
+                    own.discard(x)
+                    if rnd.random() < 0.5:
+                        own.add(rnd.randrange(10**6))
+                members.append(own or {1})
+            n = np.array([len(m) for m in members])
+            counts = np.array([np.bincount([x % 128 for x in m], minlength=128) for m in members]).astype(np.uint16)
+            keep = may_link(n, counts, percent)
+            for i, a in enumerate(members):
+                if any(100 * len(a & b) >= percent * len(a | b) for j, b in enumerate(members) if j != i):
+                    assert keep[i]
+    far = np.eye(128, dtype=np.uint16)[:4] * 30
+    assert not may_link(np.full(4, 30), far, 85).any()
