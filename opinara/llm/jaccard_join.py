@@ -12,7 +12,7 @@ the pivots have to lie among the documents. This is done in three exact steps:
 * Inside a region, sets whose sizes are too far apart cannot be near: a chain of near sizes is
   a cell, its smallest document the pivot. Cells of one pivot are one cell, to which a
   document's text goes once.
-* A cell first compares short vectors: how many shingles of a set fall into each of 128 classes.
+* A cell first compares short vectors: how many shingles of a set fall into each of some classes.
   Their L1 distance is at most the sets' symmetric difference, so a document whose vector is
   too far from all others of the cell has no link there, and its text is not fetched.
 * What is left of a cell is joined by its pivots and the triangle inequality (``join_cell``). A
@@ -40,13 +40,16 @@ WORDS, PERCENT = 4, 85
 #: A shingle is common when it is in this share of the documents, and in so many. Bounded: at
 #: most (average shingles of a document) / COMMON_SHARE shingles are.
 COMMON_SHARE, COMMON_LEAST = 1 / 8000, 16
-#: Classes of shingles, a power of two, and the largest count that is told apart.
-CLASSES, MOST = 128, (1 << 16) - 1
+#: Classes of shingles, a power of two, and the largest count that is told apart. In large sets
+#: chance fills few classes evenly: sets from ``LARGE`` on are also told apart by finer classes.
+CLASSES, FINE, LARGE, MOST = 128, 2048, 3000, (1 << 16) - 1
 #: Documents of a cell that one task joins; a larger cell is split into pairs of blocks.
 CELL_DOCS = 4_000
 #: Up to so many copies or candidates (at most 32 bytes each) are broadcast.
 BROADCAST_IDS = 1_000_000
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 20
+#: Shingles a task counts before it folds them, and distinct ones it keeps before it drops those met once.
+FOLD, KEEP = 500_000, 1_000_000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,10 +102,10 @@ def common_shingles(rows: DataFrame, words: int) -> np.ndarray:
             docs += len(batch)
             for _, data, offsets in buffers(batch.column("text"), BATCH_BYTES):
                 held.append(shingle_sets(data, offsets, words)[0])
-                if sum(map(len, held)) > 4_000_000:
+                if sum(map(len, held)) > FOLD:
                     fold()
-                    often = n > 1 if len(keys) > 4_000_000 else slice(None)
-                    keys, n = keys[often], n[often]
+                    if len(keys) > KEEP:  # the order may miss a shingle that is common elsewhere
+                        keys, n = keys[n > 1], n[n > 1]
         fold()
         often = n >= max(2, docs * COMMON_SHARE / 2)
         yield pa.RecordBatch.from_arrays([pa.array(keys[often].astype(np.int64)), pa.array(n[often])], names=["s", "n"])
@@ -113,6 +116,13 @@ def common_shingles(rows: DataFrame, words: int) -> np.ndarray:
     return np.sort(np.asarray(table.combine_chunks(), np.int64).astype(np.uint64))
 
 
+def class_counts(shingles: np.ndarray) -> np.ndarray:
+    """Shingles per class by their first bits: ``FINE`` classes of a large set, else ``CLASSES``."""
+    classes = FINE if len(shingles) >= LARGE else CLASSES
+    shift = np.uint64(64 - (classes - 1).bit_length())
+    return np.minimum(np.bincount((shingles >> shift).astype(np.int64), minlength=classes), MOST).astype("<u2")
+
+
 def features(rows: DataFrame, common: np.ndarray, words: int, percent: int) -> DataFrame:
     """``doc_id, n, key_a, key_b, regions, counts``: the set's size and digest, its regions,
     and its shingles per class."""
@@ -128,10 +138,7 @@ def features(rows: DataFrame, common: np.ndarray, words: int, percent: int) -> D
                 # sums over the set: order does not matter, every shingle does
                 sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix64(z + np.uint64(salt)))]) for salt in (1, 2)]
                 keys = [(s[at[1:]] - s[at[:-1]]).astype(np.int64) for s in sums]
-                shift = np.uint64(64 - (CLASSES - 1).bit_length())
-                spread = np.bincount(text * CLASSES + (z >> shift).astype(np.int64), minlength=len(n) * CLASSES)
-                counts = np.minimum(spread, MOST).astype("<u2").tobytes()
-                counts = [counts[i:i + 2 * CLASSES] for i in range(0, len(counts), 2 * CLASSES)]
+                counts = [class_counts(z[a:b]).tobytes() for a, b in zip(at[:-1], at[1:])]
                 if len(common):
                     place = np.searchsorted(common, z)
                     place[place == len(common)] = 0
@@ -184,7 +191,7 @@ def cells(entries: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(make, "cell long, doc long").distinct())
 
 
-def may_link(n: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+def may_link(n: np.ndarray, counts: list[np.ndarray], percent: int) -> np.ndarray:
     """Which sets of a cell may link with another by size and by counts per class.
 
     ``100 * common >= percent * all`` is the same as
@@ -192,12 +199,17 @@ def may_link(n: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
     difference, which is at least the L1 distance of the counts.
     """
     order = np.argsort(n, kind="stable")
-    n, counts = n[order], counts[order].astype(np.int32)
+    n, counts = n[order], [counts[i].astype(np.int32) for i in order]
+    coarse = np.array([np.minimum(c.reshape(CLASSES, -1).sum(axis=1), MOST) for c in counts])
     last = np.searchsorted(n, n * 100 // percent, side="right")
     out = np.zeros(len(n), bool)
     for i in range(len(n) - 1):
         j = slice(i + 1, last[i])
-        near = (100 + percent) * np.abs(counts[j] - counts[i]).sum(axis=1) <= (100 - percent) * (n[j] + n[i])
+        near = (100 + percent) * np.abs(coarse[j] - coarse[i]).sum(axis=1) <= (100 - percent) * (n[j] + n[i])
+        if len(counts[i]) == FINE:  # and so are the larger ones behind it
+            for k in np.flatnonzero(near):
+                apart = int(np.abs(counts[i + 1 + k] - counts[i]).sum())
+                near[k] = (100 + percent) * apart <= (100 - percent) * (n[i] + n[i + 1 + k])
         if near.any():
             out[i] = True
             out[j] |= near
@@ -213,7 +225,7 @@ def prune_cells(members: DataFrame, percent: int) -> DataFrame:
 
         def close(rows: pa.Table) -> pa.RecordBatch:
             cell, part, doc, n = (np.asarray(rows[c].combine_chunks(), np.int64) for c in ("cell", "part", "doc", "n"))
-            counts = np.frombuffer(b"".join(rows["counts"].to_pylist()), "<u2").reshape(len(doc), CLASSES)
+            counts = [np.frombuffer(c, "<u2") for c in rows["counts"].to_pylist()]
             begins = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (part[1:] != part[:-1])])
             keep = np.zeros(len(doc), bool)
             for a, b in zip(begins, [*begins[1:], len(doc)]):

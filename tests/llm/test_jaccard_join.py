@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinara.llm.components import components
-from opinara.llm.jaccard_join import jaccard_components, join_cell, may_link
+from opinara.llm.jaccard_join import class_counts, jaccard_components, join_cell, may_link
 
 SCHEMA = "doc_id long, text string, n long, cell string, region string"
 
@@ -130,24 +130,26 @@ def test_null_and_repeated_ids_and_no_rows(spark):
     assert jaccard_components(frame(spark, [])).collect() == []
 
 
-def test_vectors_prune_no_link():
+@pytest.mark.parametrize("large", [3000, 20])
+def test_vectors_prune_no_link(monkeypatch, large):
+    monkeypatch.setattr("opinara.llm.jaccard_join.LARGE", large)
     rnd = random.Random(9)
+    number = lambda: rnd.randrange(1 << 64)
     for percent in (85, 80):
         for _ in range(200):
-            base = rnd.sample(range(10**6), rnd.choice([1, 5, 40, 300]))
+            base = [number() for _ in range(rnd.choice([1, 5, 18, 40, 300]))]
             members = []
             for _ in range(6):
                 own = set(base)
                 for x in rnd.sample(base, rnd.randrange(len(base) // 4 + 1)):
                     own.discard(x)
                     if rnd.random() < 0.5:
-                        own.add(rnd.randrange(10**6))
+                        own.add(number())
                 members.append(own or {1})
             n = np.array([len(m) for m in members])
-            counts = np.array([np.bincount([x % 128 for x in m], minlength=128) for m in members]).astype(np.uint16)
-            keep = may_link(n, counts, percent)
+            keep = may_link(n, [class_counts(np.array(sorted(m), np.uint64)) for m in members], percent)
             for i, a in enumerate(members):
                 if any(100 * len(a & b) >= percent * len(a | b) for j, b in enumerate(members) if j != i):
                     assert keep[i]
-    far = np.eye(128, dtype=np.uint16)[:4] * 30
-    assert not may_link(np.full(4, 30), far, 85).any()
+    far = [class_counts(np.array([number() for _ in range(200)], np.uint64)) for _ in range(4)]
+    assert not may_link(np.full(4, 200), far, 85).any()
