@@ -36,6 +36,17 @@ cookie cookies disqus footer gdpr menu modal nav navbar navigation newsletter no
 promotion recommended related share sharing sidebar social sponsor sponsored subscribe toolbar widget""".split())
 ASIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "menu"}
 SITE, ARTICLE, OPEN = 0, 1, 2
+#: Elements whose end tag may be left out, and what the start of an element ends: the open elements,
+#: the blocks between that do not matter (None: all), and where the search stops.
+OPTIONAL = {"p", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "option"}
+_LOOSE, _ROWS = {"address", "div", "p"}, {"tbody", "thead", "tfoot"}
+ENDED_BY = {
+    "li": [({"li"}, _LOOSE, set())], **dict.fromkeys(("dd", "dt"), [({"dd", "dt"}, _LOOSE, set())]),
+    **dict.fromkeys(("td", "th"), [({"td", "th"}, None, {"table", "tr"} | _ROWS)]),
+    "tr": [({"td", "th", "tr"}, None, {"table"} | _ROWS)],
+    **dict.fromkeys(sorted(_ROWS), [({"td", "th", "tr"} | _ROWS, None, {"table"})]),
+    "option": [({"option"}, _LOOSE, {"select"})],
+}
 
 
 def _aside(name: str, raw: str, in_article: bool) -> bool:
@@ -55,21 +66,10 @@ def _aside(name: str, raw: str, in_article: bool) -> bool:
     return False
 
 
-def page_lines(html: str) -> tuple[list[str], list[int]]:
-    """Lines of a page in order, and whether each is the site's, the article's or open."""
-    lines: list[str] = []
-    kinds: list[int] = []
+def _events(html: str) -> list[tuple[str, str, str, bool]]:
+    """Text before each tag, the tag's name and attributes, and whether it is an end tag."""
+    events: list[tuple[str, str, str, bool]] = []
     held: list[str] = []
-    article: list[str] = []         # open article and main elements
-    skipped: list[tuple[str, int]] = []  # open asides: name, open elements of that name inside
-
-    def close() -> None:
-        text = " ".join(unescape("".join(held)).split())
-        held.clear()
-        if text:
-            lines.append(text)
-            kinds.append(SITE if skipped else ARTICLE if article else OPEN)
-
     at, size = 0, len(html)
     while at < size:
         found = TOKEN.search(html, at)
@@ -84,34 +84,113 @@ def page_lines(html: str) -> tuple[list[str], list[int]]:
             if not raw.endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
                 at = end.end() if end else size
-            if name in BLOCK or name == "title":
-                close()
-            continue
-        if name in BLOCK:
+            if name != "title":
+                continue
+        events.append(("".join(held), name, raw, ending))
+        held.clear()
+    events.append(("".join(held), "", "", False))
+    return events
+
+
+def _walk(events: list[tuple[str, str, str, bool]], unclosed: set[int] | None) -> tuple[list[str], list[int], set[int] | None]:
+    """Lines and kinds, and the asides around an article that nobody closed, if there are asides around one.
+
+    An article in one of ``unclosed`` ends that aside; None ends no aside.
+    """
+    lines: list[str] = []
+    kinds: list[int] = []
+    held: list[str] = []
+    stack: list[list] = []   # open blocks and asides: name, kind (SITE for an aside), number of the tag
+    asides = articles = 0
+    opened: dict[str, int] = {}
+    around: set[int] = set()
+    closed: set[int] = set()
+
+    def close() -> None:
+        text = " ".join(unescape("".join(held)).split())
+        held.clear()
+        if text:
+            lines.append(text)
+            kinds.append(SITE if asides else ARTICLE if articles else OPEN)
+
+    def cut(to: int, by_name: bool) -> None:
+        nonlocal asides, articles
+        for place in range(len(stack) - 1, to - 1, -1):
+            name, kind, number = stack.pop()
+            opened[name] -= 1
+            asides -= kind == SITE
+            articles -= kind == ARTICLE
+            if by_name and place == to or name in OPTIONAL:
+                closed.add(number)
+
+    def implied(names: set[str], through: set[str] | None, stop: set[str]) -> None:
+        """Ends the open elements of ``names`` that the start of another ends."""
+        if not any(opened.get(n) for n in names):
+            return
+        to = None
+        for place in range(len(stack) - 1, -1, -1):
+            name, kind, _ = stack[place]
+            if name in names:
+                to = place
+            elif kind == ARTICLE or name in stop or through is not None and name in BLOCK and name not in through:
+                break
+        if to is not None:
+            cut(to, False)
+
+    for number, (text, name, raw, ending) in enumerate(events):
+        held.append(text)
+        if name in BLOCK or name == "title":
             close()
-        if name in VOID or raw.endswith("/") and name not in ASIDE:
+        if not name or name == "title":
             continue
         if ending:
-            if skipped and skipped[-1][0] == name:
-                close()
-                depth = skipped[-1][1] - 1
-                skipped[-1] = (name, depth)
-                if not depth:
-                    skipped.pop()
-            elif name in ("article", "main") and name in article:
-                close()
-                del article[len(article) - 1 - article[::-1].index(name):]
-        elif skipped and skipped[-1][0] == name:
-            skipped[-1] = (name, skipped[-1][1] + 1)
-        elif _aside(name, raw, bool(article)):
+            if opened.get(name):
+                for place in range(len(stack) - 1, -1, -1):
+                    if stack[place][0] == name:
+                        close()
+                        cut(place, True)
+                        break
+                    if stack[place][1] == ARTICLE and name not in ("article", "main"):
+                        break  # an end tag too many does not end the article
+            continue
+        if name in BLOCK and name != "br":
+            implied({"p"}, set(), set())
+            for group, through, stop in ENDED_BY.get(name, ()):
+                implied(group, through, stop)
+        if name in VOID or raw.endswith("/") and name not in ASIDE:
+            continue
+        kind = OPEN
+        if _aside(name, raw, bool(articles)):
             close()
-            skipped.append((name, 1))
+            kind = SITE
         elif name in ("article", "main"):
-            close()
-            if not article and skipped:
-                skipped.clear()  # an element before the article that nobody closed
-            article.append(name)
+            if asides and not articles:
+                here = [e for e in stack if e[1] == SITE]
+                around.update(e[2] for e in here)
+                if unclosed is not None:
+                    for e in here:  # main is the page's own wherever it stands, and a form may hold the whole page
+                        if name == "main" or e[0] == "form" or e[2] in unclosed:
+                            e[1] = OPEN
+                            asides -= 1
+            kind = OPEN if asides else ARTICLE
+        elif name not in BLOCK and not opened.get(name):
+            continue
+        stack.append([name, kind, number])
+        opened[name] = opened.get(name, 0) + 1
+        asides += kind == SITE
+        articles += kind == ARTICLE
     close()
+    return lines, kinds, around - closed if around else None
+
+
+def page_lines(html: str) -> tuple[list[str], list[int]]:
+    """Lines of a page in order, and whether each is the site's, the article's or open."""
+    events = _events(html)
+    lines, kinds, unclosed = _walk(events, None)
+    if unclosed is not None:
+        lines, kinds, _ = _walk(events, unclosed)
+        if not any(kinds):  # the aside around the article holds all there is
+            lines, kinds, _ = _walk(events, set(range(len(events))))
     return lines, kinds
 
 

@@ -100,3 +100,26 @@ def test_lines_know_their_place():
     rnd = random.Random(1)
     for _ in range(200):  # broken markup never raises
         page_lines("".join(rnd.choice([ARTICLE[i:i + 9] for i in range(0, 700, 9)]) for _ in range(40)))
+
+
+@pytest.mark.parametrize("html, text", [
+    ('<article><p class="ad">Buy<p>Body</article>', "Body"), ("<article><p class=ad>Buy<div>Body</div></article>", "Body"),
+    ("<article><ul><li class=social>Like<li>Point</ul>Body</article>", "Point\nBody"),
+    ("<table><tr><td class=ad>Buy<td>Cell<tr><td>Next</table>Body", "Cell\nNext\nBody"),
+    ("<dl><dt class=promo>Buy<dd>Said</dl>Body", "Said\nBody"), ("<div><nav>Menu</div><p>Body", "Body"),
+    ("<article><div><span class=ad>Buy</div>Body</article>", "Body"), ("<div><p class=ad>Buy</div>Body", "Body"),
+    ("<ul><li class=ad>Buy<ul><li>More</ul>Buy<li>Point</ul>", "Point"), ("<span class=ad>a<span>b</span>c</span>d", "d"),
+])
+def test_an_aside_without_its_end_tag_ends_with_its_parent_or_at_a_sibling(html, text):
+    assert main_text(html, []) == text
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<div>Body</div><aside><article>Teaser</article></aside>", "Body"),
+    ("<div>Body</div><section class=comments><article>First!</article><article>Second</article></section>", "Body"),
+    ("<aside><article>Teaser</article></aside><article>Body</article>", "Body"),
+    ("<div><nav>Menu<article>Body</article></div>", "Body"), ("<form id=all><p>Head<article>Body</article></form>", "Body"),
+    ("<div class=overlay><article>Body</article></div>", "Body"), ("<div class=widget><main>Body</main></div>", "Body"),
+])
+def test_an_article_in_a_closed_aside_is_the_sites(html, text):
+    assert main_text(html, []) == text
