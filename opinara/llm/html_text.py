@@ -1,8 +1,9 @@
 """Main text of web pages by differencing with the nearest page of the host (operator 7).
 
 Pages of a host are put in the order of their URL paths and each is paired with the
-neighbour whose path has the longer beginning in common. The two pages' lines are aligned by
-longest common subsequence; lines they share are the site's, not the page's, and go. What the
+neighbour whose path has the longer beginning in common; neighbours that are copies are passed
+over. The two pages' lines are aligned by longest common subsequence; lines they share, and a
+third page of the host has too, are the site's, not the page's, and go. What the
 markup itself names is believed first: lines of navigation, adverts and the like go whether
 shared or not, and lines of an article stay even if shared, since a copied article shares
 them all.
@@ -36,6 +37,10 @@ cookie cookies disqus footer gdpr menu modal nav navbar navigation newsletter no
 promotion recommended related share sharing sidebar social sponsor sponsored subscribe toolbar widget""".split())
 ASIDE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog", "menu"}
 SITE, ARTICLE, OPEN = 0, 1, 2
+#: Neighbours that share this part of the longer one's text are copies and do not tell text from template.
+COPY = 0.8
+#: Different pages of a host that must have a line before it counts as the site's (all, if the host has fewer).
+COMMON = 3
 #: Elements whose end tag may be left out, and what the start of an element ends: the open elements,
 #: the blocks between that do not matter (None: all), and where the search stops.
 OPTIONAL = {"p", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "option"}
@@ -250,20 +255,35 @@ def _split_url(url: str | None) -> tuple[str | None, str | None]:
 
 
 def page_keys(rows: DataFrame) -> DataFrame:
-    """``key, host, path, lines`` of each distinct page."""
+    """``key, host, path, lines, sizes, content`` of each distinct page; a line of the site's has size 0."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             urls = [_split_url(u) for u in batch.column("url").to_pylist()]
-            lines = [line_hashes(page_lines(h)[0]) for h in batch.column("html").to_pylist()]
+            lines, sizes, contents = [], [], []
+            for html in batch.column("html").to_pylist():
+                texts, kinds = page_lines(html)
+                lines.append(line_hashes(texts))
+                sizes.append([len(t) if kind != SITE else 0 for t, kind in zip(texts, kinds)])
+                contents.append(line_hashes(["\n".join(t for t, kind in zip(texts, kinds) if kind != SITE)])[0])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array([u[0] for u in urls], pa.string()),
-                 pa.array([u[1] for u in urls], pa.string()), pa.array(lines, pa.list_(pa.int64()))],
-                names=["key", "host", "path", "lines"])
-    return rows.select("key", "url", "html").mapInArrow(make, "key long, host string, path string, lines array<long>")
+                 pa.array([u[1] for u in urls], pa.string()), pa.array(lines, pa.list_(pa.int64())),
+                 pa.array(sizes, pa.list_(pa.int32())), pa.array(contents, pa.int64())],
+                names=["key", "host", "path", "lines", "sizes", "content"])
+    return rows.select("key", "url", "html").mapInArrow(
+        make, "key long, host string, path string, lines array<long>, sizes array<int>, content long")
 
 
-def nearest(keys: DataFrame) -> DataFrame:
-    """``key, peer``: the neighbour in the order of host and path with the longer common path.
+def are_copies(sizes: list[int], other: list[int], shared: list[int]) -> bool:
+    return sum(sizes[i] for i in shared) >= COPY * max(sum(sizes), sum(other))
+
+
+def _running(n: str) -> Window:
+    return Window.orderBy(n).rowsBetween(Window.unboundedPreceding, -1)  # over one row per part
+
+
+def _numbered(keys: DataFrame) -> DataFrame:
+    """``key, host, path, at``: pages numbered in the order of host and path.
 
     The order is made by range, numbered inside partitions and shifted by the partitions'
     sizes, so a host of any size is spread; neighbours meet by an equi-join of numbers.
@@ -271,16 +291,46 @@ def nearest(keys: DataFrame) -> DataFrame:
     placed = cut_lineage(keys.filter("host IS NOT NULL").select("key", "host", "path").repartitionByRange("host", "path", "key")
                          .sortWithinPartitions("host", "path", "key").withColumn("at", F.monotonically_increasing_id()))
     placed = placed.withColumns({"part": F.shiftright("at", 33), "at": F.col("at").bitwiseAND(F.lit((1 << 33) - 1))})
-    along = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
-        "part", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("shift"))  # one row per partition
-    numbered = cut_lineage(placed.join(shifts, "part").select("key", "host", "path", (F.col("at") + F.col("shift")).alias("at")))
+        "part", F.coalesce(F.sum("n").over(_running("part")), F.lit(0)).alias("shift"))
+    return cut_lineage(placed.join(shifts, "part").select("key", "host", "path", (F.col("at") + F.col("shift")).alias("at")))
 
-    def beside(step: int, name: str) -> DataFrame:
-        return numbered.select((F.col("at") - step).alias("at"), F.col("key").alias(name),
-                               F.col("host").alias(f"{name}_host"), F.col("path").alias(f"{name}_path"))
 
-    both = numbered.join(beside(-1, "before"), "at", "left").join(beside(1, "behind"), "at", "left")
+def _pairs(pairs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``pairs`` of ``key, peer`` with the lines of both."""
+    return pairs.join(keys.select("key", "lines", "sizes"), "key").join(
+        keys.select(F.col("key").alias("peer"), F.col("lines").alias("other"), F.col("sizes").alias("other_sizes")), "peer")
+
+
+def copy_runs(keys: DataFrame) -> DataFrame:
+    """``key, host, path, at, run``: neighbours that are copies of each other are one run."""
+    numbered = _numbered(keys)
+    before = numbered.select((F.col("at") + 1).alias("at"), "host", F.col("key").alias("peer"))
+    pairs = _pairs(numbered.join(before, ["at", "host"]).select("at", "key", "peer"), keys)
+
+    def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = [r["at"] for r in batch.to_pylist()
+                  if are_copies(r["sizes"], r["other_sizes"], shared_lines(r["lines"], r["other"]))]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64())], names=["at"])
+
+    found = pairs.select("at", "lines", "sizes", "other", "other_sizes").mapInArrow(copies, "at long").withColumn("copy", F.lit(1))
+    marked = numbered.join(found, "at", "left").select(
+        "key", "host", "path", "at", F.shiftright("at", 16).alias("part"), F.when(F.col("copy").isNull(), 1).otherwise(0).alias("begins"))
+    marked = cut_lineage(marked.withColumn("run", F.sum("begins").over(
+        Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, 0))))
+    shifts = marked.groupBy("part").agg(F.sum("begins").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(_running("part")), F.lit(0)).alias("shift"))
+    return cut_lineage(marked.join(shifts, "part").select("key", "host", "path", "at", (F.col("run") + F.col("shift")).alias("run")))
+
+
+def _nearest(runs: DataFrame) -> DataFrame:
+    edges = runs.groupBy("run").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    for step, (name, edge) in ((1, ("before", F.col("first"))), (-1, ("behind", F.col("last")))):
+        beside = runs.select((F.col("at") + step).alias("edge"), F.col("key").alias(name),
+                             F.col("host").alias(f"{name}_host"), F.col("path").alias(f"{name}_path"))
+        edges = edges.withColumn("edge", edge).join(beside, "edge", "left").drop("edge")
+    both = runs.join(edges.drop("first", "last"), "run")
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,17 +346,46 @@ def nearest(keys: DataFrame) -> DataFrame:
     return both.mapInArrow(choose, "key long, peer long")
 
 
+def nearest(keys: DataFrame) -> DataFrame:
+    """``key, peer``: of the next pages before and behind in the order of host and path that
+    are no copies, the one with the longer common path."""
+    return _nearest(copy_runs(keys))
+
+
+def common_lines(keys: DataFrame, runs: DataFrame) -> DataFrame:
+    """``host, line`` of the lines on ``COMMON`` different pages of a host; copies are one page."""
+    pages = runs.select("key", "run").join(keys.select("key", "host", "content", "lines"), "key")
+    first = pages.groupBy("host", "content").agg(F.min("run").alias("page"))
+    pages = pages.join(first, ["host", "content"])
+    sizes = pages.groupBy("host").agg(F.least(F.count_distinct("page"), F.lit(COMMON)).alias("least"))
+    return pages.select("host", "page", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").agg(
+        F.count_distinct("page").alias("n")).join(sizes, "host").filter("n >= least").select("host", "line")
+
+
 def shared_with_nearest(keys: DataFrame) -> DataFrame:
-    """``key, shared``: places of the lines that a page shares with its nearest page."""
-    pairs = nearest(keys).join(keys.select("key", "lines"), "key").join(
-        keys.select(F.col("key").alias("peer"), F.col("lines").alias("other")), "peer")
+    """``key, shared``: places of the lines that a page shares with its nearest page and that
+    are common on the host. Pages that have no other to compare with have no row."""
+    runs = copy_runs(keys)
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shared = [shared_lines(a, b) for a, b in zip(batch.column("lines").to_pylist(), batch.column("other").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(shared, pa.list_(pa.int32()))], names=["key", "shared"])
+            keys, shared = [], []
+            for r in batch.to_pylist():
+                places = shared_lines(r["lines"], r["other"])
+                if not are_copies(r["sizes"], r["other_sizes"], places):
+                    keys.append(r["key"])
+                    shared.append([(i, r["lines"][i]) for i in places if r["sizes"][i]])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(shared, pa.list_(pa.struct([("place", pa.int32()), ("line", pa.int64())])))],
+                names=["key", "shared"])
 
-    return pairs.select("key", "lines", "other").mapInArrow(align, "key long, shared array<int>")
+    aligned = _pairs(_nearest(runs), keys).select("key", "lines", "sizes", "other", "other_sizes").mapInArrow(
+        align, "key long, shared array<struct<place:int,line:long>>")
+    places = aligned.join(runs.select("key", "host"), "key").select("key", "host", F.explode_outer("shared").alias("s")).select(
+        "key", "host", "s.place", "s.line")
+    common = common_lines(keys, runs).withColumn("common", F.lit(True))
+    return places.join(common, ["host", "line"], "left").groupBy("key").agg(
+        F.collect_list(F.when(F.col("common"), F.col("place"))).alias("shared"))
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -314,14 +393,14 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
     References are decoded, white space inside a block becomes one space, blocks are joined
     by a line feed in page order; the whole page is read. Null html counts as empty and gives
-    an empty text. A page without a URL or alone on its host is compared with no other.
+    an empty text. A page without a URL or alone on its host, but for copies, is compared with no other.
     Repeated rows count as one page in the comparison and give the same text. Other columns
     are ignored whatever their names. No rows, no result.
     """
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), html.alias("html")).withColumn(
         "key", F.xxhash64(F.coalesce(F.col("page_id").cast("string"), F.lit("")), "url", "html"))
-    keys = cut_lineage(page_keys(rows).groupBy("key").agg(*[F.first(c).alias(c) for c in ("host", "path", "lines")]))
+    keys = cut_lineage(page_keys(rows).groupBy("key").agg(*[F.first(c).alias(c) for c in ("host", "path", "lines", "sizes", "content")]))
     shared = shared_with_nearest(keys)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -123,3 +123,33 @@ def test_an_aside_without_its_end_tag_ends_with_its_parent_or_at_a_sibling(html,
 ])
 def test_an_article_in_a_closed_aside_is_the_sites(html, text):
     assert main_text(html, []) == text
+
+
+def texts_of(spark, rows):
+    return {r.page_id: r.text for r in extract_text(frame(spark, rows)).collect()}
+
+
+def test_copies_side_by_side_keep_their_text(spark):
+    body = [f"<p>Paragraph {i} of a text that stands on several pages" for i in range(8)]
+    copy = lambda i: "<p>Welcome" + "".join(body) + f"<p>read {i}<p>Call us now"
+    page = lambda i: f"<p>Welcome<p>The text of page {i} alone<p>And more of page {i}<p>Call us now"
+    rows = [(i, f"https://pair.example/{i}", "".join(body)) for i in range(2)]
+    rows += [(10 + i, f"https://h.example/a/{i}", page(i)) for i in range(3)]
+    rows += [(20 + i, f"https://h.example/b/{i}", copy(i if i > 1 else 0)) for i in range(5)]
+    rows += [(30 + i, f"https://h.example/c/{i}", page(3 + i)) for i in range(3)]
+    got = texts_of(spark, rows)
+    text = "\n".join(p[3:] for p in body)
+    assert got[0] == got[1] == text
+    assert [got[20 + i] for i in range(5)] == [f"{text}\nread {i if i > 1 else 0}" for i in range(5)]
+    assert [got[k] for k in (10, 11, 12, 30, 31, 32)] == [f"The text of page {i} alone\nAnd more of page {i}" for i in range(6)]
+
+
+def test_a_paragraph_shared_with_the_nearest_page_only_stays(spark):
+    quote = "<p>A paragraph that two pages quote"
+    page = lambda i, more="": f"<p>Welcome<p>The text of page {i} alone{more}<p>And more of page {i}"
+    rows = [(i, f"https://h.example/{i}", page(i, quote if i in (2, 3) else "")) for i in range(6)]
+    rows += [(6, "https://h.example/6", rows[2][2])]  # a copy is no third page
+    rows += [(10 + i, f"https://two.example/{i}", page(i)) for i in range(2)]
+    got = texts_of(spark, rows)
+    own = lambda i, more="": f"The text of page {i} alone{more}\nAnd more of page {i}"
+    assert got == {i: own(i % 10, "\nA paragraph that two pages quote" if i in (2, 3) else "") for i in (*range(6), 10, 11)} | {6: got[2]}
