@@ -3,10 +3,9 @@
 Pages of a host are put in the order of their URL paths and each is paired with the
 neighbour whose path has the longer beginning in common; neighbours that are copies are passed
 over. The two pages' lines are aligned by longest common subsequence; lines they share, and a
-third page of the host has too, are the site's, not the page's, and go. What the
-markup itself names is believed first: lines of navigation, adverts and the like go whether
-shared or not, and lines of an article stay even if shared, since a copied article shares
-them all.
+third page of the host has too, are the site's, not the page's, and go, in an article as
+outside it. Lines that the markup itself names as navigation, adverts and the like go whether
+shared or not, and an article whose lines are all shared stays, since it is a copy.
 """
 
 from __future__ import annotations
@@ -237,13 +236,21 @@ def shared_lines(own: list[int], other: list[int]) -> list[int]:
     return first + out[::-1]
 
 
-def main_text(html: str, shared: list[int]) -> str:
-    """Lines of the article if the page marks one, else the open lines that are not shared."""
+def main_text(html: str, shared: list[int], compared: bool = False) -> str:
+    """Lines that are neither the site's by markup nor ``shared``, in and outside an article.
+
+    An article all of whose lines are shared is a copy and stays. Of a page not ``compared``
+    with another only the article, if it marks one, is known to be its own.
+    """
     lines, kinds = page_lines(html)
-    if ARTICLE in kinds:
-        return "\n".join(line for line, kind in zip(lines, kinds) if kind == ARTICLE)
     gone = set(shared)
-    return "\n".join(line for i, (line, kind) in enumerate(zip(lines, kinds)) if kind == OPEN and i not in gone)
+    kept = {i for i, kind in enumerate(kinds) if kind != SITE and i not in gone}
+    article = {i for i, kind in enumerate(kinds) if kind == ARTICLE}
+    if article and not compared:
+        kept = article
+    elif not kept & article:
+        kept |= article
+    return "\n".join(line for i, line in enumerate(lines) if i in kept)
 
 
 def _split_url(url: str | None) -> tuple[str | None, str | None]:
@@ -405,7 +412,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(h, s or []) for h, s in zip(batch.column("html").to_pylist(), batch.column("shared").to_pylist())]
+            texts = [main_text(h, s or [], s is not None) for h, s in zip(batch.column("html").to_pylist(), batch.column("shared").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])

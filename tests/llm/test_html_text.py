@@ -153,3 +153,15 @@ def test_a_paragraph_shared_with_the_nearest_page_only_stays(spark):
     got = texts_of(spark, rows)
     own = lambda i, more="": f"The text of page {i} alone{more}\nAnd more of page {i}"
     assert got == {i: own(i % 10, "\nA paragraph that two pages quote" if i in (2, 3) else "") for i in (*range(6), 10, 11)} | {6: got[2]}
+
+
+def test_differencing_decides_in_and_outside_articles(spark):
+    page = lambda i: (f"<p>Welcome<h1>Head {i}</h1><article><p>Text {i} of the article<p>Read our terms</article>"
+                      f"<div>Body {i} beside the article</div><p>Call us now")
+    rows = [(i, f"https://h.example/{i}", page(i)) for i in range(4)]
+    rows += [(4, "https://h.example/4", "<p>Own line of the page<article><p>Read our terms</article>")]
+    rows += [(9, "https://alone.example/9", page(9))]
+    got = texts_of(spark, rows)
+    assert [got[i] for i in range(4)] == [f"Head {i}\nText {i} of the article\nBody {i} beside the article" for i in range(4)]
+    assert got[4] == "Own line of the page\nRead our terms"
+    assert got[9] == "Text 9 of the article\nRead our terms"
