@@ -1349,6 +1349,14 @@ def _(spark, sf):
     return spark.read.parquet(f"{out}/trend").drop("batch")
 
 
+@query("stream_volume_open")
+def _(spark, sf):
+    out = scratch_path(spark, "stream")
+    trend = jobs.stream_trend(_event_stream(spark, sf), "ts", "event_type", score="value", start=True)
+    jobs.write_open_trend(trend, f"{out}/trend", f"{out}/checkpoint")
+    return jobs.read_open_trend(spark, f"{out}/trend", ["start", "event_type"]).drop("start")
+
+
 @query("stream_dedup")
 def _(spark, sf):
     out = scratch_path(spark, "stream")

@@ -908,6 +908,8 @@ add("weekly_brands", f"""WITH wt AS (SELECT 't' AS k, {clean('text', 'nlp')} AS
 add("stream_volume", """SELECT ts::DATE AS period, event_type, count(*) AS n_records, sum(value) AS score_sum,
   avg(value) AS avg_score FROM events WHERE ts::DATE + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY
   GROUP BY 1, 2""", d="score_sum avg_score")
+add("stream_volume_open", """SELECT ts::DATE AS period, event_type, count(*) AS n_records, sum(value) AS score_sum,
+  avg(value) AS avg_score FROM events GROUP BY 1, 2""", d="score_sum avg_score")
 add("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 add("stream_upsert", """SELECT user_id, isoyear(ts) AS iso_year, weekofyear(ts) AS iso_week,
   arg_max(event_id, struct_pack(ts := ts, e := event_id)) AS event_id,

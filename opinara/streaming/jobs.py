@@ -77,14 +77,16 @@ def stream_dedup(df: DataFrame, keys: list[str], ts: str, delay: str) -> DataFra
 
 
 def stream_trend(df: DataFrame, ts: str, by: str, width: str = "1 day", slide: str | None = None,
-                 delay: str = "2 days", score: str | None = None) -> DataFrame:
-    """Volume (and mean score) per window and group."""
+                 delay: str = "2 days", score: str | None = None, start: bool = False) -> DataFrame:
+    """Volume (and mean score) per window and group; with ``start`` also when the window begins,
+    which tells windows of one day apart."""
     windowed = (df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
                 .groupBy(F.window(ts, width, slide) if slide else F.window(ts, width), by))
     measures = [F.count(F.lit(1)).alias("n_records")]
     if score:
         measures += [F.sum(score).alias("score_sum"), F.avg(score).alias("avg_score")]
     return windowed.agg(*measures).select(
+        *([F.col("window.start").alias("start")] if start else []),
         F.col("window.start").cast("date").alias("period"), by, *[
             c for c in ("n_records", "score_sum", "avg_score")[: len(measures)]])
 
@@ -94,6 +96,17 @@ def write_trend(trend: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return run_available(trend, checkpoint, land_batches(path))
 
 
+def write_open_trend(trend: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Land the periods a batch changes, open ones too, as they stand after it; state holds the
+    open ones only. ``read_open_trend`` gives each period's latest value."""
+    return run_available(trend, checkpoint, land_batches(path), "update")
+
+
+def read_open_trend(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The latest landed row per ``keys``, which name a window and group of the trend."""
+    return latest_per_key(spark.read.parquet(path), keys, [F.col("batch").desc()], total=True).drop("batch")
+
+
 def stream_alerts(trend: DataFrame, path: str, checkpoint: str, threshold: float = 15.0) -> StreamingQuery:
     """All alerts over a streamed daily sentiment trend, below ``path/alerts``.
 

@@ -94,3 +94,27 @@ def test_new_alerts_appear_after_many_old_ones(spark, tmp_path):
     jobs.stream_alerts(trend, str(tmp_path / "out"), str(tmp_path / "c"))
     got = spark.read.parquet(str(tmp_path / "out" / "alerts"))
     assert got.count() == 13 and got.filter("date = '2026-05-04'").count() == 1
+
+
+def test_open_trend_holds_every_event_and_the_latest_value(spark, tmp_path):
+    folder, kinds = str(tmp_path / "in"), "kind string, ts timestamp, v double"
+    at = lambda d, h: dt.datetime(2026, 5, d, h)
+    parts = ([("a", at(1, 1), 1.0), ("a", at(2, 1), 2.0), ("b", at(2, 13), 3.0)],
+             [("a", at(2, 2), 4.0), ("b", at(9, 1), 5.0)], [("b", at(9, 20), 6.0)])
+    run = lambda: jobs.write_open_trend(jobs.stream_trend(
+        jobs.stream_files(spark, folder, kinds, per_batch=1), "ts", "kind", "12 hours", score="v", start=True),
+        str(tmp_path / "t"), str(tmp_path / "c"))
+    for part in parts:
+        spark.createDataFrame(part, kinds).coalesce(1).write.mode("append").parquet(folder)
+        run()
+    got = jobs.read_open_trend(spark, str(tmp_path / "t"), ["start", "kind"])
+    want = spark.createDataFrame([r for part in parts for r in part], kinds).groupBy(
+        F.window("ts", "12 hours").start.alias("start"), "kind").agg(F.count("v").alias("n"), F.sum("v").alias("s"))
+    key = lambda df: sorted(map(tuple, df.collect()))
+    assert key(got.select("start", "kind", "n_records", "score_sum")) == key(want) and got.count() == 5
+
+
+def test_open_volume_counts_every_event(spark, sf):
+    import __spark_entry__ as entry
+    rows = entry.queries()["stream_volume_open"](spark, sf)
+    assert rows.agg(F.sum("n_records")).first()[0] == spark.read.parquet(f"{sf}/events.parquet").count()
