@@ -21,10 +21,9 @@ from opinara.session import cut_lineage
 #: Lengths of the byte n-grams, and slots that an n-gram sets.
 LENGTHS, HASHES = (3, 4), 3
 #: An n-gram belongs to a language when it has at least this share of the rate it has in the
-#: language where it is most frequent, and occurs so often.
-MIN_RATIO, MIN_COUNT = 0.3, 3
-#: The model keeps the most frequent n-grams of each language up to this number.
-MAX_GRAMS = 250_000
+#: language where it is most frequent, and occurs once for every so many n-grams of that language
+#: (once at least), up to so often. Other languages' text does not count.
+MIN_RATIO, MIN_COUNT, ONCE_IN = 0.3, 3, 100_000
 BATCH_BYTES = 1 << 20
 UNKNOWN = "und"
 
@@ -145,7 +144,8 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 def train_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Learn from every row of ``docs`` that has a language; null text counts as empty.
 
-    What reaches the driver is the model: at most ``MAX_GRAMS`` n-grams per language.
+    What reaches the driver is the model: the distinct n-grams of each language, of which an
+    alphabet has only so many.
     """
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).filter("lang IS NOT NULL")
@@ -155,14 +155,14 @@ def train_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     languages = sorted(sizes, key=lambda x: (-sizes[x], x))
     if not languages:
         return LanguageModel([], np.zeros((1, 1), np.uint64))
-    rate = counts.join(F.broadcast(totals), "lang").select("lang", "gram", "n", (F.col("n") / F.col("total")).alias("rate"))
+    rate = counts.join(F.broadcast(totals), "lang").select("lang", "gram", "n", "total", (F.col("n") / F.col("total")).alias("rate"))
     best = rate.groupBy("gram").agg(F.max("rate").alias("most"))
     own = rate.join(best, "gram").filter(
-        (F.col("rate") >= MIN_RATIO * F.col("most")) & (F.col("n") >= F.least(F.lit(MIN_COUNT), F.lit(1) + F.floor(F.lit(sum(sizes.values()) / 100_000)))))
-    kept = [own.filter(F.col("lang") == lang).orderBy(F.desc("n"), "gram").limit(MAX_GRAMS).select("gram").toArrow()["gram"]
+        (F.col("rate") >= MIN_RATIO * F.col("most")) & (F.col("n") >= F.least(F.lit(MIN_COUNT), F.lit(1) + F.floor(F.col("total") / ONCE_IN))))
+    kept = [own.filter(F.col("lang") == lang).select("gram").toArrow()["gram"]
             for lang in languages]
     grams = [np.asarray(k.combine_chunks(), np.int64).astype(np.uint64) for k in kept]
-    slots = 1 << int(np.clip(np.ceil(np.log2(max(8 * sum(map(len, grams)), 2))), 16, 24))
+    slots = 1 << int(np.clip(np.ceil(np.log2(max(8 * sum(map(len, grams)), 2))), 16, None))
     model = LanguageModel(languages, np.zeros((slots, (len(languages) + 63) // 64), np.uint64))
     for i, own_grams in enumerate(grams):
         mask = np.zeros(model.slots.shape[1], np.uint64)
@@ -182,7 +182,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
     judged row by row; other columns are ignored whatever their names.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_GRAMS and the slots
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # eight slots for each n-gram of a language
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value

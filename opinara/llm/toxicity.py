@@ -20,14 +20,16 @@ from opinara.session import cut_lineage
 
 #: Labelled documents that are learned from, about (chosen by a hash of their id).
 MAX_TRAINING = 12_000
-#: Features of a category's model, documents a feature must occur in, folds.
-FEATURES, MIN_DOCS, FOLDS = 200, 5, 5
+#: Documents a feature must occur in, folds.
+MIN_DOCS, FOLDS = 5, 5
 #: Least log-likelihood ratio of a feature: one in 10,000 that tells nothing reaches it.
 MIN_RATIO = 7.6
 #: Bytes of the word beginnings that are features beside whole words.
 BEGINNINGS = (4, 5, 6)
 RIDGE, STEPS = 0.1, 25
 BATCH_BYTES = 1 << 20
+#: Documents of the sample that are floats at once.
+BLOCK = 1024
 _SPACE = 1 << 30
 
 
@@ -89,22 +91,35 @@ def _presence(data: np.ndarray, offsets: np.ndarray, features: np.ndarray) -> np
     return out
 
 
-def _fit(has: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression by Newton steps; (weights, bias)."""
-    x = np.column_stack([has, np.ones(len(has))])
-    penalty = np.full(x.shape[1], RIDGE)
+def _blocks(has: np.ndarray, more: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Rows of both and a one as floats, some at a time: all at once would fill the driver."""
+    for first in range(0, len(has), BLOCK):
+        at = slice(first, first + BLOCK)
+        yield at, np.column_stack([has[at], more[at], np.ones(len(has[at]))]).astype(float)
+
+
+def _linear(has: np.ndarray, more: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return np.concatenate([x @ w for _, x in _blocks(has, more)]) if len(has) else np.zeros(0)
+
+
+def _fit(has: np.ndarray, label: np.ndarray, more: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression on the columns of both by Newton steps; (weights, bias)."""
+    more = np.zeros((len(has), 0)) if more is None else more
+    penalty = np.full(has.shape[1] + more.shape[1] + 1, RIDGE)
     penalty[-1] = 1e-6
-    w = np.zeros(x.shape[1])
+    w = np.zeros(len(penalty))
     w[-1] = _logit(np.array([label.mean()]))[0]
     def loss(w: np.ndarray) -> float:
-        z = x @ w
+        z = _linear(has, more, w)
         return float(np.logaddexp(0, z).sum() - label @ z + 0.5 * (penalty * w * w).sum())
 
     now = loss(w)
     for _ in range(STEPS):
-        p = _sigmoid(x @ w)
-        gradient = x.T @ (p - label) + penalty * w
-        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        gradient, curve = penalty * w, np.diag(penalty)
+        for at, x in _blocks(has, more):
+            p = _sigmoid(x @ w)
+            gradient = gradient + x.T @ (p - label[at])
+            curve += (x * (p * (1 - p))[:, None]).T @ x
         step = np.linalg.solve(curve, gradient)
         scale = 1.0
         while scale > 1e-3 and loss(w - scale * step) > now:  # a full step may go too far
@@ -172,7 +187,7 @@ def _choose_features(sample: DataFrame, n_categories: int) -> list[np.ndarray]:
         sure = F.lit(0.0)
         for seen, expected in cells:
             sure = sure + F.when((seen > 0) & (expected > 0), seen * F.ln(seen * n / expected)).otherwise(0.0)
-        top = counts.select("feature", F.round(sure, 6).alias("sure")).filter(F.col("sure") >= MIN_RATIO).orderBy(F.desc("sure"), "feature").limit(FEATURES)
+        top = counts.select("feature", F.round(sure, 6).alias("sure")).filter(F.col("sure") >= MIN_RATIO)
         chosen.append(np.sort(np.asarray(top.select("feature").toArrow()["feature"].combine_chunks(),
                                          np.int64).astype(np.uint64)))
     return chosen
@@ -203,27 +218,29 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column
                     names=["has", "fold", *ys])
 
     table = sample.mapInArrow(vectors, ", ".join(["has array<int>", "fold int", *[f"{y} int" for y in ys]])).toArrow()
-    lists = table["has"].to_pylist()
+    size = len(table)
+    listed = table["has"].combine_chunks()
+    has = np.zeros((size, len(every)), np.uint8)
+    has[np.repeat(np.arange(size), np.asarray(listed.value_lengths(), np.int64)), np.asarray(listed.flatten())] = 1
     # in one order whatever the partitions were: the fit sums in it
-    order = sorted(range(len(lists)), key=lambda i: (lists[i], *[table[c][i].as_py() for c in ("fold", *ys)]))
-    has = np.zeros((len(lists), len(every)), np.float32)
-    for row, i in enumerate(order):
-        has[row, lists[i]] = 1
-    fold = np.asarray(table["fold"].combine_chunks(), np.int64)[order] if len(lists) else np.zeros(0, np.int64)
-    before = np.zeros((len(lists), 0))
+    bits = np.packbits(has, axis=1)
+    order = sorted(range(size), key=lambda i: (bits[i].tobytes(), *[table[c][i].as_py() for c in ("fold", *ys)]))
+    has = has[order]
+    fold = np.asarray(table["fold"].combine_chunks(), np.int64)[order] if size else np.zeros(0, np.int64)
+    before = np.zeros((size, 0))
     chain = []
     for k, name in enumerate(categories):
         link = Link(name, chosen[k], np.zeros(len(chosen[k])), np.zeros(k))
-        label = np.asarray(table[ys[k]].combine_chunks(), float)[order] if len(lists) else np.zeros(0)
+        label = np.asarray(table[ys[k]].combine_chunks(), float)[order] if size else np.zeros(0)
         held = np.full(len(label), label.mean() if len(label) else 0.0)
         if 0 < label.sum() < len(label):
-            x = np.column_stack([has[:, np.searchsorted(every, link.features)], _logit(before)]).astype(float)
+            x, more = has[:, np.searchsorted(every, link.features)], _logit(before)
             for f in range(FOLDS):
                 rest = fold != f
                 if rest.any() and not rest.all() and 0 < label[rest].sum() < rest.sum():
-                    w, bias = _fit(x[rest], label[rest])
-                    held[~rest] = _sigmoid(x[~rest] @ w + bias)
-            w, link.bias = _fit(x, label)
+                    w, bias = _fit(x[rest], label[rest], more[rest])
+                    held[~rest] = _sigmoid(_linear(x[~rest], more[~rest], np.append(w, bias)))
+            w, link.bias = _fit(x, label, more)
             link.weights, link.earlier = w[:len(link.features)], w[len(link.features):]
             link.threshold = _best_threshold(held, label)
         elif len(label):

@@ -101,3 +101,26 @@ def test_model_is_used_on_other_rows(spark):
     model = train_languages(frame(spark, rows()).filter(~held_out()))
     got = predict_languages(frame(spark, [(1, "dieser mit haben", None)]), model).collect()
     assert got[0].lang_pred == "bb" and got[0].score > 0.9
+
+
+def test_a_rare_language_keeps_its_grams_when_others_grow(spark):
+    import random
+    rnd = random.Random(4)
+    rare = "zyxwu qopty vubbe hjarl xoqsu"
+    word = lambda: "".join(rnd.choice("abcdefghilmnorst") for _ in range(6))
+    docs = lambda n: [(0, rare, "rr")] + [(i, " ".join(word() for _ in range(500)), "ee") for i in range(1, n)]
+    for n in (4, 80):
+        model = train_languages(frame(spark, docs(n)))
+        data, offsets = next(iter(buffers(pa.array([rare]), 1 << 20)))[1:]
+        codes, texts, _ = _grams(data, offsets)
+        assert model.shares(codes, texts, 1)[0, model.languages.index("rr")] > 0.99
+
+
+def test_every_gram_of_a_language_is_kept(spark):
+    import random
+    rnd = random.Random(5)
+    text = " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200)) for _ in range(2500))
+    model = train_languages(frame(spark, [(k, text, "aa") for k in range(3)]))
+    data, offsets = next(iter(buffers(pa.array([text]), 1 << 20)))[1:]
+    codes, texts, _ = _grams(data, offsets)
+    assert len(np.unique(codes)) > 250_000 and model.shares(codes, texts, 1)[0, 0] > 0.999

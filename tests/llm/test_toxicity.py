@@ -94,3 +94,10 @@ def test_nulls_repeats_long_texts_and_no_rows(spark):
     assert len(got) == len(more) and flags.count((0, True)) == 3 and (None, True) in flags and (702, True) in flags
     assert (700, False) in flags and (701, False) in flags
     assert tox.toxicity(frame(spark, []), label_frame(spark, labels)).collect() == []
+
+
+def test_every_sure_feature_is_kept(spark):
+    words = [f"{a}{b}x" for a in "bcdfghjklmnpqrst" for b in "aeiouvwyzbcdfghj"]
+    rows = [(i, " ".join(words) if i % 2 else "quiet words only", 0, i % 2, 0.0, str(i)) for i in range(60)]
+    chosen = tox._choose_features(spark.createDataFrame(rows, DOC), 1)
+    assert len(words) == 256 and len(chosen[0]) >= 256
