@@ -22,33 +22,48 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Sums are kept modulo a prime, since modulo a power of two some long words collide for every
+#: base, and twice, with other bases and letter values: 62 bits in all.
+_PRIME = (1 << 31) - 1
+_BASES = (0x5A3C_91E7, 0x2D1F_6B4B)
+_VALUES = [mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * k)) % np.uint64(_PRIME)
+           for k in range(2)]
+_POWERS: list[list[np.ndarray]] = [[np.ones(1, np.uint64) for _ in range(2)] for _ in _BASES]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, ``n`` at least; kept."""
-    if len(_POWERS[0]) < n:
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(n, base & _MASK, np.uint64)
-            steps[0] = 1
-            _POWERS[k] = np.cumprod(steps)
-    return _POWERS[0], _POWERS[1]
+def _powers(n: int) -> list[list[np.ndarray]]:
+    """Per base its powers and those of its inverse, ``n`` of each at least; kept."""
+    for base, kept in zip(_BASES, _POWERS):
+        for k, step in enumerate((base, pow(base, -1, _PRIME))):
+            while len(kept[k]) < n:
+                more = kept[k] * np.uint64(pow(step, len(kept[k]), _PRIME)) % np.uint64(_PRIME)
+                kept[k] = np.concatenate([kept[k], more])
+    return _POWERS
 
 
 class Sums:
     """Running sums of a buffer, from which any span's hash comes in constant time."""
 
     def __init__(self, data: np.ndarray):
-        power, self.inverse = _powers(len(data) + 1)
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_VALUE[data] * power[:len(data)], out=self.sums[1:])
+        n = len(data)
+        self.sums, self.inverse = [], []
+        for value, (power, inverse) in zip(_VALUES, _powers(n + 1)):
+            terms = value[data]
+            terms *= power[:n]
+            low = terms & np.uint64(_PRIME)  # the same number modulo the prime, short enough to add up
+            terms >>= np.uint64(31)
+            terms += low
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum(terms, out=sums[1:])
+            self.sums.append(sums)
+            self.inverse.append(inverse)
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Equal spans have equal hashes wherever they stand."""
-        return mix64((self.sums[end] - self.sums[start]) * self.inverse[start]
-                     + (end - start).astype(np.uint64))
+        prime = np.uint64(_PRIME)
+        first, second = [(s[end] - s[start]) % prime * i[start] % prime for s, i in zip(self.sums, self.inverse)]
+        size = (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        return mix64((first << np.uint64(31) | second) ^ size)
 
 
 #: What separates words for a classifier: ASCII other than letters and digits.
