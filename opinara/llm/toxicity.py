@@ -26,10 +26,10 @@ MIN_DOCS, FOLDS = 5, 5
 MIN_RATIO = 7.6
 #: Bytes of the word beginnings that are features beside whole words.
 BEGINNINGS = (4, 5, 6)
-RIDGE, STEPS = 0.1, 25
+RIDGE = 0.1
+#: A fit ends when no entry of the gradient is larger; Newton steps, and inner steps of each, at most.
+FLAT, STEPS, INNER_STEPS = 1e-3, 50, 200
 BATCH_BYTES = 1 << 20
-#: Documents of the sample that are floats at once.
-BLOCK = 1024
 _SPACE = 1 << 30
 
 
@@ -44,8 +44,37 @@ class Link:
     bias: float = 0.0
     threshold: float = 2.0  # above every probability: nothing is rejected
 
-    def score(self, has: np.ndarray, before: np.ndarray) -> np.ndarray:
-        return _sigmoid(has @ self.weights + _logit(before) @ self.earlier + self.bias)
+    def score(self, has: Sparse, before: np.ndarray) -> np.ndarray:
+        return _sigmoid(has.times(self.weights) + _logit(before) @ self.earlier + self.bias)
+
+
+@dataclass
+class Sparse:
+    """Which feature each text has: ``at[i]`` in text ``text[i]``, each pair once, texts ascending."""
+
+    n: int
+    width: int
+    text: np.ndarray
+    at: np.ndarray
+
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        """The sum of the weights of each text's features."""
+        return np.bincount(self.text, weights[self.at], self.n)
+
+    def back(self, values: np.ndarray) -> np.ndarray:
+        """The sum of the values of each feature's texts."""
+        return np.bincount(self.at, values[self.text], self.width)
+
+    def texts(self, which: np.ndarray) -> Sparse:
+        kept = which[self.text]
+        return Sparse(int(which.sum()), self.width, (np.cumsum(which) - 1)[self.text[kept]], self.at[kept])
+
+    def columns(self, which: np.ndarray) -> Sparse:
+        """The features at the ascending places ``which``."""
+        place = np.full(self.width, -1)
+        place[which] = np.arange(len(which))
+        at = place[self.at]
+        return Sparse(self.n, len(which), self.text[at >= 0], at[at >= 0])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -79,54 +108,76 @@ def _distinct(features: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.n
     return features[first], texts[first]
 
 
-def _presence(data: np.ndarray, offsets: np.ndarray, features: np.ndarray) -> np.ndarray:
-    """Texts times features, 1 where the text has it."""
-    out = np.zeros((len(offsets) - 1, len(features)))
-    if len(features):
-        found, texts = features_of(data, offsets)
-        at = np.searchsorted(features, found)
-        at[at == len(features)] = 0
-        known = features[at] == found
-        out[texts[known], at[known]] = 1
-    return out
+def _presence(data: np.ndarray, offsets: np.ndarray, features: np.ndarray) -> Sparse:
+    """Which of the features each text has."""
+    n = len(offsets) - 1
+    if not len(features):
+        return Sparse(n, 0, np.zeros(0, np.int64), np.zeros(0, np.int64))
+    found, texts = features_of(data, offsets)
+    at = np.searchsorted(features, found)
+    at[at == len(features)] = 0
+    known = features[at] == found
+    pairs = np.unique(texts[known].astype(np.int64) * len(features) + at[known])
+    return Sparse(n, len(features), pairs // len(features), pairs % len(features))
 
 
-def _blocks(has: np.ndarray, more: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
-    """Rows of both and a one as floats, some at a time: all at once would fill the driver."""
-    for first in range(0, len(has), BLOCK):
-        at = slice(first, first + BLOCK)
-        yield at, np.column_stack([has[at], more[at], np.ones(len(has[at]))]).astype(float)
+def _fit(has: Sparse | np.ndarray, label: np.ndarray, more: np.ndarray | None = None,
+         start: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression on the columns of both; (weights, bias).
 
+    Newton steps whose equations are solved by conjugate gradients: what is held is the entries
+    and a few vectors, never features times features. ``start`` is a guess (weights and bias).
+    """
+    if isinstance(has, np.ndarray):
+        has = Sparse(*has.shape, *np.nonzero(has))
+    more = np.column_stack([np.zeros((has.n, 0)) if more is None else more, np.ones(has.n)])
+    width = has.width
+    penalty = np.full(width + more.shape[1], RIDGE)
+    penalty[-1] = 1e-6
 
-def _linear(has: np.ndarray, more: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return np.concatenate([x @ w for _, x in _blocks(has, more)]) if len(has) else np.zeros(0)
+    def linear(w: np.ndarray) -> np.ndarray:
+        return has.times(w[:width]) + more @ w[width:]
 
+    def back(r: np.ndarray) -> np.ndarray:
+        return np.concatenate([has.back(r), more.T @ r])
 
-def _fit(has: np.ndarray, label: np.ndarray, more: np.ndarray | None = None) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression on the columns of both by Newton steps; (weights, bias)."""
-    more = np.zeros((len(has), 0)) if more is None else more
-    penalty = np.full(has.shape[1] + more.shape[1] + 1, RIDGE)
-    penalty[-1] = 1e-6
-    w = np.zeros(len(penalty))
-    w[-1] = _logit(np.array([label.mean()]))[0]
-    def loss(w: np.ndarray) -> float:
-        z = _linear(has, more, w)
+    def loss(w: np.ndarray, z: np.ndarray) -> float:
         return float(np.logaddexp(0, z).sum() - label @ z + 0.5 * (penalty * w * w).sum())
 
-    now = loss(w)
+    w = np.zeros(len(penalty)) if start is None else start.copy()
+    if start is None:
+        w[-1] = _logit(np.array([label.mean()]))[0]
+    z = linear(w)
+    now = loss(w, z)
     for _ in range(STEPS):
-        gradient, curve = penalty * w, np.diag(penalty)
-        for at, x in _blocks(has, more):
-            p = _sigmoid(x @ w)
-            gradient = gradient + x.T @ (p - label[at])
-            curve += (x * (p * (1 - p))[:, None]).T @ x
-        step = np.linalg.solve(curve, gradient)
+        p = _sigmoid(z)
+        gradient = back(p - label) + penalty * w
+        steepest = np.abs(gradient).max()
+        if steepest < FLAT:
+            break
+        curve = p * (1 - p)
+        diagonal = np.concatenate([has.back(curve), np.square(more).T @ curve]) + penalty
+        # step solves (X' curve X + penalty) step = gradient, as well as the gradient is small
+        step, rest = np.zeros(len(w)), gradient.copy()
+        scaled = rest / diagonal
+        way, size = scaled.copy(), rest @ scaled
+        for _ in range(INNER_STEPS):
+            bent = back(curve * linear(way)) + penalty * way
+            length = size / (way @ bent)
+            step += length * way
+            rest -= length * bent
+            if np.abs(rest).max() < min(0.1, steepest) * steepest:
+                break
+            scaled = rest / diagonal
+            before, size = size, rest @ scaled
+            way = scaled + size / before * way
+        moved = linear(step)
         scale = 1.0
-        while scale > 1e-3 and loss(w - scale * step) > now:  # a full step may go too far
+        while scale > 1e-3 and loss(w - scale * step, z - scale * moved) > now:  # a full step may go too far
             scale /= 2
-        w = w - scale * step
-        before, now = now, loss(w)
-        if before - now < 1e-3:
+        w, z = w - scale * step, z - scale * moved
+        before, now = now, loss(w, z)
+        if before - now < 1e-9 * abs(before):
             break
     return w[:-1], float(w[-1])
 
@@ -198,7 +249,7 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column
     """Models of ``categories`` (name to a 0/1 column of ``labels``), in their order.
 
     Learned from about ``MAX_TRAINING`` labelled documents; what reaches the driver is, per
-    document of that sample, one number per chosen feature. Labels with a null in a category
+    document of that sample, the list of the chosen features it has. Labels with a null in a category
     are left out, repeated ones count as 1 if one of them is. A category whose sample has one
     label only gets that rate as its constant probability and rejects nothing.
     """
@@ -212,20 +263,20 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column
             for first, data, offsets in buffers(batch.column("text"), BATCH_BYTES):
                 n = len(offsets) - 1
                 has = _presence(data, offsets, every)
-                lists = [np.flatnonzero(row).astype(np.int32) for row in has]
+                ends = np.searchsorted(has.text, np.arange(n + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists, pa.list_(pa.int32())), *[batch.column(c).slice(first, n) for c in ("fold", *ys)]],
+                    [pa.ListArray.from_arrays(ends, has.at.astype(np.int32)), *[batch.column(c).slice(first, n) for c in ("fold", *ys)]],
                     names=["has", "fold", *ys])
 
     table = sample.mapInArrow(vectors, ", ".join(["has array<int>", "fold int", *[f"{y} int" for y in ys]])).toArrow()
     size = len(table)
-    listed = table["has"].combine_chunks()
-    has = np.zeros((size, len(every)), np.uint8)
-    has[np.repeat(np.arange(size), np.asarray(listed.value_lengths(), np.int64)), np.asarray(listed.flatten())] = 1
     # in one order whatever the partitions were: the fit sums in it
-    bits = np.packbits(has, axis=1)
-    order = sorted(range(size), key=lambda i: (bits[i].tobytes(), *[table[c][i].as_py() for c in ("fold", *ys)]))
-    has = has[order]
+    lists = [np.asarray(x.values, np.int32) for x in table["has"]]
+    others = [table[c].to_pylist() for c in ("fold", *ys)]
+    order = sorted(range(size), key=lambda i: (lists[i].tobytes(), *[o[i] for o in others]))
+    lists = [lists[i] for i in order]
+    has = Sparse(size, len(every), np.repeat(np.arange(size), [len(x) for x in lists]),
+                 np.concatenate([np.zeros(0, np.int32), *lists]).astype(np.int64))
     fold = np.asarray(table["fold"].combine_chunks(), np.int64)[order] if size else np.zeros(0, np.int64)
     before = np.zeros((size, 0))
     chain = []
@@ -234,14 +285,16 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column
         label = np.asarray(table[ys[k]].combine_chunks(), float)[order] if size else np.zeros(0)
         held = np.full(len(label), label.mean() if len(label) else 0.0)
         if 0 < label.sum() < len(label):
-            x, more = has[:, np.searchsorted(every, link.features)], _logit(before)
+            x, more = has.columns(np.searchsorted(every, link.features)), _logit(before)
+            w, link.bias = _fit(x, label, more)
+            link.weights, link.earlier = w[:len(link.features)], w[len(link.features):]
             for f in range(FOLDS):
                 rest = fold != f
                 if rest.any() and not rest.all() and 0 < label[rest].sum() < rest.sum():
-                    w, bias = _fit(x[rest], label[rest], more[rest])
-                    held[~rest] = _sigmoid(_linear(x[~rest], more[~rest], np.append(w, bias)))
-            w, link.bias = _fit(x, label, more)
-            link.weights, link.earlier = w[:len(link.features)], w[len(link.features):]
+                    # the whole fit is where the search starts, not what it finds
+                    w, bias = _fit(x.texts(rest), label[rest], more[rest], np.append(w, link.bias))
+                    own = Link(name, link.features, w[:len(link.features)], w[len(link.features):], bias)
+                    held[~rest] = own.score(x.texts(~rest), before[~rest])
             link.threshold = _best_threshold(held, label)
         elif len(label):
             link.bias = float(_logit(label[:1])[0])
@@ -256,7 +309,7 @@ def predict_chain(docs: DataFrame, chain: list[Link], id_col: str = "doc_id", te
     """``(doc_id, p_<category>..., rejected)`` per row, from the whole text.
 
     A row is rejected when the last category's probability is above the threshold that was
-    best in training. Null text counts as empty and has no feature. Repeated rows and null
+    best in training; one that meets it is not. No rows, no result. Null text counts as empty and has no feature. Repeated rows and null
     ids are judged row by row; other columns are ignored whatever their names.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -271,7 +324,7 @@ def predict_chain(docs: DataFrame, chain: list[Link], id_col: str = "doc_id", te
                 has = _presence(data, offsets, every)
                 before = np.zeros((n, 0))
                 for link, own in zip(chain, columns):
-                    before = np.column_stack([before, link.score(has[:, own], before)])
+                    before = np.column_stack([before, link.score(has.columns(own), before)])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(first, n), *[pa.array(before[:, k].copy()) for k in range(len(chain))],
                      pa.array(before[:, -1] > chain[-1].threshold)], names=["doc_id", *names, "rejected"])
