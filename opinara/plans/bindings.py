@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from opinara import vocab
 from opinara.functions import dates, nested, sentiment, taxonomy, text
 from opinara.operators import (
-    filters, identity, profile, quality, rollups, shape, story, trends,
+    filters, identity, keyword_tables, profile, quality, rollups, shape, story, trends,
 )
 from opinara.plans import tables as t, weekly
 from opinara.session import cut_lineage, scratch_path
@@ -461,6 +461,43 @@ def _(spark, sf):
     }).select("doc_id", "brand", "topic", "product")
 
 
+def _taxonomy_table(spark, lists):
+    """A taxonomy as the rows of a table, numbered in declared order."""
+    rows = [(key, number, word) for number, (key, words) in enumerate(lists.items()) for word in words]
+    return spark.createDataFrame(rows, "key string, number int, keyword string")
+
+
+@query("taxonomy_table_first")
+def _(spark, sf):
+    docs = t.documents(spark, sf).select("doc_id", "text")
+    for name, lists in (("brand", t.TEST_BRANDS), ("topic", t.TEST_TOPICS), ("product", t.TEST_PRODUCTS)):
+        docs = keyword_tables.match_first_table(docs, "text", _taxonomy_table(spark, lists), name)
+    return docs.drop("text")
+
+
+@query("taxonomy_table_all")
+def _(spark, sf):
+    docs = t.documents(spark, sf).select("doc_id", "text")
+    found = keyword_tables.match_all_table(docs, "text", _taxonomy_table(spark, t.TEST_BRANDS), "brands")
+    return found.select("doc_id", F.array_join("brands", ",").alias("brands"))
+
+
+def _part_keywords(spark, sf):
+    """The words of the part names and their beginnings, each word a key."""
+    words = t.table(spark, sf, "part").select(F.explode(F.split("p_name", " ")).alias("key")).distinct()
+    return words.select("key", F.ascii("key").alias("number"), F.explode(F.array(
+        F.col("key"), F.substring("key", 1, 4), F.substring("key", 2, 3))).alias("keyword"))
+
+
+@query("taxonomy_table_parts")
+def _(spark, sf):
+    docs = t.documents(spark, sf).select("doc_id", "text")
+    words = _part_keywords(spark, sf)
+    first = keyword_tables.match_first_table(docs, "text", words, "first", default="none")
+    every = keyword_tables.match_all_table(first, "text", words, "every")
+    return every.select("doc_id", "first", F.array_join("every", ",").alias("every"))
+
+
 @query("experience_type")
 def _(spark, sf):
     return t.conversations(spark, sf).select(

@@ -324,6 +324,14 @@ add("taxonomy_first_word", f"""SELECT doc_id, CASE
   WHEN regexp_matches(lower(text), {lit(_edge + 'the' + _nonword)}) THEN 'three' ELSE 'other' END AS tag FROM documents""")
 add("taxonomy_reference_lists", f"""SELECT doc_id, {first('text', vocab.BRANDS)} AS brand,
   {first('text', vocab.TOPICS)} AS topic, {first('text', vocab.PRODUCTS)} AS product FROM documents""")
+add("taxonomy_table_first", f"SELECT doc_id, {TAGS('text')} FROM documents")
+add("taxonomy_table_all", f"SELECT doc_id, {every('text', t.TEST_BRANDS)} AS brands FROM documents")
+add("taxonomy_table_parts", """WITH w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS key FROM part),
+  k AS (SELECT key, ascii(key) AS number, unnest([key, key[1:4], key[2:4]]) AS keyword FROM w),
+  h AS (SELECT DISTINCT doc_id, number, key FROM documents JOIN k ON contains(lower(text), keyword)),
+  g AS (SELECT doc_id, list(key ORDER BY number, key) AS keys FROM h GROUP BY doc_id)
+  SELECT doc_id, coalesce(keys[1], 'none') AS first, coalesce(array_to_string(keys, ','), '') AS every
+  FROM documents LEFT JOIN g USING (doc_id)""")
 add("experience_type", f"""SELECT conv_id, turn, CASE WHEN {hit('text', t.TEST_PHRASES)}
   THEN 'personal_experience' ELSE 'opinion' END AS experience_type FROM conversations""")
 
