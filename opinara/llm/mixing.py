@@ -153,10 +153,10 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataF
     Rows without an id, and ids that occur more than once, are read once.
     """
     plan = mix(docs, id_col=id_col, **options)
-    uses = plan.groupBy(F.col("doc_id").alias("_doc")).agg(
-        F.count(F.lit(1)).alias("_reads"), F.max("epoch").alias("_epochs"))
-    joined = docs.join(uses, docs[id_col] == uses["_doc"], "left")
+    uses = plan.groupBy(F.col("doc_id").alias("doc")).agg(
+        F.count(F.lit(1)).alias("reads"), F.max("epoch").alias("epochs"))
+    # the row is one column, so that no name of its own can clash
+    held = docs.select(docs[id_col].alias("doc"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     # an id that occurs n times has n plans; one row then stands for one of them
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.greatest(
-        F.least(F.coalesce("_reads", F.lit(1)), F.coalesce(F.col("_epochs") + 1, F.lit(1))), F.lit(1))))
-    ).select(*[docs[c] for c in docs.columns])
+    times = F.greatest(F.least(F.coalesce("reads", F.lit(1)), F.coalesce(F.col("epochs") + 1, F.lit(1))), F.lit(1))
+    return held.join(uses, "doc", "left").select("row", F.explode(F.sequence(F.lit(1), times))).select("row.*")

@@ -28,7 +28,7 @@ MIN_RATIO = 7.6
 BEGINNINGS = (4, 5, 6)
 RIDGE = 0.1
 #: A fit ends when no entry of the gradient is larger; Newton steps, and inner steps of each, at most.
-FLAT, STEPS, INNER_STEPS = 1e-3, 50, 200
+FLAT, STEPS, INNER_STEPS = 1e-2, 50, 200
 BATCH_BYTES = 1 << 20
 _SPACE = 1 << 30
 

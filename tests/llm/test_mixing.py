@@ -100,3 +100,12 @@ def test_mixed_documents_follow_the_plan(spark):
     want = Counter(r.doc_id for r in mix(docs, max_repeats=3.0).collect())
     got = mixed_documents(docs, max_repeats=3.0)
     assert Counter(r.doc_id for r in got.collect()) == want and got.columns == docs.columns
+
+
+def test_documents_with_the_names_of_the_plan(spark):
+    schema = "doc_id long, source string, text string, _reads long, _epochs int, _copy string, doc int, reads int, epochs int, row int"
+    rows = [(i, "a" if i < 20 else "b", "w " * 50, i, 1, "c", 2, 3, 4, 5) for i in range(24)]
+    docs = spark.createDataFrame(rows, schema)
+    got = mixed_documents(docs)
+    assert got.columns == docs.columns and {tuple(r) for r in got.collect()} == set(rows)
+    assert mixed_documents(docs.limit(0)).collect() == []
