@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from opinara import vocab
 from opinara.functions.dates import period
 from opinara.functions.nested import parse_comments
+from opinara.functions.text import keyword_tokens, remove_stop_words
 from opinara.operators.quantiles import numbered_values, quantile_columns
 from opinara.session import cut_lineage
 
@@ -242,66 +243,129 @@ def metric_rows(df: DataFrame, section: str, source: Column, name: str, label: C
     return df.select(*_metric(section, source, name, label, value, **rest))
 
 
-def _length_metric(df: DataFrame, tag: Column, name: str, label: str, length: Column) -> DataFrame:
-    stats = text_stats(df, length)
-    return metric_rows(
-        stats, "text_stats", tag, name, F.lit(label), F.coalesce("avg_length", F.lit(0.0)),
-        sample=F.col("sample_size"),
-        notes=F.concat(F.lit("median="), F.col("median_length").cast("string"),
-                       F.lit(", min="), F.col("min_length").cast("string"),
-                       F.lit(", max="), F.col("max_length").cast("string")))
+def _quoted(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _partial(section: str, label: str = "NULL", day: str = "NULL", value: str = "NULL", where: str = "true") -> str:
+    """A partial measure as SQL: hundreds of column calls would take longer than the aggregation."""
+    return (f"CASE WHEN {where} THEN named_struct('section', '{section}', 'label', CAST({label} AS STRING), "
+            f"'period', CAST({day} AS STRING), 'value', CAST({value} AS DOUBLE)) END")
+
+
+def _line(section: str, source: str, name: str, label: str, value: str, pct_of: str | None = None, sample: str = "n",
+          notes: str = "NULL") -> str:
+    """A line of the long metrics table as SQL; ``pct_of`` is the part whose percentage of ``n`` is given."""
+    share = "NULL" if pct_of is None else f"coalesce(try_divide(CAST({pct_of} AS DOUBLE) * 100.0D, n), 0.0D)"
+    return (f"named_struct('section', '{section}', 'source_type', {_quoted(source)}, 'metric_name', '{name}', 'metric_label', {_quoted(label)}, "
+            f"'period', CAST(NULL AS STRING), 'metric_value', CAST({value} AS DOUBLE), 'metric_pct', CAST({share} AS DOUBLE), "
+            f"'sample_size', CAST({sample} AS BIGINT), 'notes', CAST({notes} AS STRING))")
+
+
+def _name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _measured(df: DataFrame, text: str | None, comments: str | None, metrics: Iterable[str]
+              ) -> tuple[DataFrame, list[str], str | None]:
+    """``df`` with the length or number that is summarised, the metrics that are there, and its name."""
+    present = [m for m in metrics if m in df.columns]
+    if comments is not None:
+        return df.withColumn("_length", F.size(parse_comments(comments)).cast("bigint")), [*present, "comment_count"], "comment_count"
+    if text is not None:
+        return df.withColumn("_length", F.length(F.coalesce(F.col(text), F.lit(""))).cast("bigint")), present, "text_length"
+    return df, present, None
+
+
+def governance_partials(df: DataFrame, required: list[str], date_col: str, text: str | None = None,
+                        lang: str | None = None, metrics: Iterable[str] = (), comments: str | None = None) -> DataFrame:
+    """Tagged partial measures: ``section, label, period, n, mean, least, greatest, quartiles``.
+
+    A row says everything it has to say at once, as rows of one shape, and one aggregation
+    adds them up: counts, compliance, nulls, days, languages, and a mergeable sketch of the
+    values whose quartiles are asked for.
+    """
+    df, metrics, length = _measured(df, text, comments, metrics)
+    missing = lambda f: f"{_name(f)} IS NULL OR trim(CAST({_name(f)} AS STRING)) = ''"
+    said = [_partial("base"), _partial("ok", where=" AND ".join([f"{_name(f)} IS NOT NULL" for f in required]) or "true"),
+            *[_partial("null", _quoted(f), where=missing(f)) for f in required],
+            _partial("day", day=f"date_format({_name(date_col)}, 'yyyy-MM-dd')")]
+    if length is not None:
+        said.append(_partial("length", value="_length"))
+    if lang is not None:
+        said.append(_partial("lang", f"coalesce({_name(lang)}, 'unknown')"))
+    for m in metrics:
+        value = "CAST(_length AS DOUBLE)" if m == "comment_count" and comments is not None else f"CAST({_name(m)} AS DOUBLE)"
+        said.append(_partial("metric", _quoted(m), value=value, where=f"{value} IS NOT NULL AND NOT isnan({value})"))
+    rows = df.selectExpr(f"inline(array_compact(array({', '.join(said)})))")
+    return rows.groupBy("section", "label", "period").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.min("value").alias("least"), F.max("value").alias("greatest"),
+        F.percentile_approx("value", [0.25, 0.5, 0.75]).alias("quartiles"))
+
+
+def governance_judged(df: DataFrame, key: str, bounds: DataFrame, text: str | None = None,
+                      metrics: Iterable[str] = (), comments: str | None = None) -> DataFrame:
+    """``metric, lower, upper, outliers, sample_size, keys``: values outside the bounds, and in the row
+    without a metric the distinct keys. The second and last scan of a source."""
+    df, metrics, _ = _measured(df, text, comments, metrics)
+    pairs = [x for m in metrics for x in (
+        F.lit(m), F.col("_length" if m == "comment_count" and comments is not None else m).cast("double"), F.lit(None).cast("string"))]
+    rows = df.select(F.stack(F.lit(len(metrics) + 1), F.lit(None).cast("string"), F.lit(None).cast("double"), F.col(key).cast("string"),
+                             *pairs).alias("metric", "value", "key"))
+    rows = rows.filter(F.col("metric").isNull() | F.col("value").isNotNull() & ~F.isnan("value"))
+    # one row per metric, however large the data
+    judged = rows.join(F.broadcast(bounds), "metric", "left")
+    outside = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
+    return judged.groupBy("metric", "lower", "upper").agg(
+        F.count_if(outside).alias("outliers"), F.count(F.lit(1)).alias("sample_size"), F.count_distinct("key").alias("keys"))
 
 
 def governance_source(df: DataFrame, source: str, required: list[str], key: str,
                       date_col: str, text: str | None = None, lang: str | None = None,
                       metrics: Iterable[str] = (), comments: str | None = None) -> DataFrame:
-    """All governance metrics of one source in the long shape.
+    """All governance metrics of one source in the long shape, from two scans.
 
-    Counts, duplicates, compliance and null rates share one aggregation; volume,
-    languages, lengths and outliers take one each.
+    The first adds up everything but the outliers and the distinct keys, whose bounds
+    come from it; both leave a table of a row per day, language and metric.
     """
     tag = F.lit(source)
-    base = df.agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("distinct_n"),
-        F.count_if(required_fields_ok(required)).alias("ok"),
-        *[F.count_if(is_missing(f)).alias(f"null|{f}") for f in required])
-    n = F.col("n")
-    dup = F.greatest(n - F.col("distinct_n"), F.lit(0))
+    sums = cut_lineage(governance_partials(df, required, date_col, text, lang, metrics, comments))
+    q1, q3 = F.col("quartiles")[0], F.col("quartiles")[2]
+    bounds = sums.filter("section = 'metric'").select(
+        F.col("label").alias("metric"), (q1 - 1.5 * (q3 - q1)).alias("lower"), (q3 + 1.5 * (q3 - q1)).alias("upper"))
+    judged = cut_lineage(governance_judged(df, key, bounds, text, metrics, comments))
+
+    own = lambda what, where: f"max(CASE WHEN section = '{where}' THEN {what} END)"
+    n_of = lambda where: f"coalesce(sum(CASE WHEN {where} THEN n END), 0)"
+    base = sums.selectExpr(
+        f"{n_of("section = 'base'")} AS n", f"{n_of("section = 'ok'")} AS ok",
+        *[f"{n_of(f"section = 'null' AND label = {_quoted(f)}")} AS {_name('null|' + f)}" for f in required],
+        *[f"{own(c, 'length')} AS {c}" for c in ("mean", "least", "greatest")], f"{own('quartiles[1]', 'length')} AS median")
+    keys = F.coalesce(judged.filter("metric IS NULL").select("keys").scalar(), F.lit(0).cast("bigint"))
+    base = base.withColumn("distinct_n", keys)
+    dup = "greatest(n - distinct_n, 0)"
     lines = [
-        _metric("summary", tag, "total_records", F.lit("total_records"), n, sample=n),
-        _metric("summary", tag, "duplicate_rows", F.lit(key), dup, pct(dup, n), n),
-        _metric("summary", tag, "schema_compliance_rate", F.lit(",".join(required)),
-                F.col("ok"), pct(F.col("ok"), n), n),
-        *[_metric("null_rates", tag, "null_rate", F.lit(f), F.col(f"null|{f}"),
-                  pct(F.col(f"null|{f}"), n), n) for f in required],
+        _line("summary", source, "total_records", "total_records", "n"),
+        _line("summary", source, "duplicate_rows", key, dup, dup),
+        _line("summary", source, "schema_compliance_rate", ",".join(required), "ok", "ok"),
+        *[_line("null_rates", source, "null_rate", f, _name("null|" + f), _name("null|" + f)) for f in required],
     ]
-    parts = [base.select(F.inline(F.array(*[F.struct(*line) for line in lines])))]
-
-    daily = df.groupBy(period(date_col).alias("d")).agg(F.count(F.lit(1)).alias("v"))
-    parts.append(metric_rows(daily, "volume_trend", tag, "records_per_day", tag, F.col("v"),
-                             period_value=F.col("d")))
-    if text is not None:
-        parts.append(_length_metric(df, tag, "text_length", f"{source}_text",
-                                    F.length(F.coalesce(F.col(text), F.lit(""))).cast("bigint")))
-    if comments is not None:
-        parts.append(_length_metric(df, tag, "comment_count", f"{source}_comments",
-                                    F.size(parse_comments(comments)).cast("bigint")))
+    if text is not None or comments is not None:
+        name, label = ("text_length", f"{source}_text") if comments is None else ("comment_count", f"{source}_comments")
+        whole = lambda c: f"CAST(CAST({c} AS BIGINT) AS STRING)"
+        lines.append(_line("text_stats", source, name, label, "coalesce(mean, 0.0D)",
+                           notes=f"concat('median=', {whole('median')}, ', min=', {whole('least')}, ', max=', {whole('greatest')})"))
+    parts = [base.selectExpr(f"inline(array({', '.join(lines)}))"),
+             metric_rows(sums.filter("section = 'day'"), "volume_trend", tag, "records_per_day", tag, F.col("n"),
+                         period_value=F.col("period"))]
     if lang is not None:
-        langs = language_distribution(df, lang)
-        parts.append(metric_rows(langs, "language_distribution", tag, "language_count",
-                                 F.col("lang"), F.col("language_count"),
-                                 pct_value=F.col("language_pct")))
-    if comments is not None:
-        df = df.withColumn("comment_count", F.size(parse_comments(comments)))
-        metrics = [*metrics, "comment_count"]
-    present = [m for m in metrics if m in df.columns]
-    if present:
-        rates = outlier_rate(df, present, "approx")
-        notes = F.concat(F.lit("IQR bounds ["), F.col("lower").cast("string"), F.lit(", "),
-                         F.col("upper").cast("string"), F.lit("]"))
-        parts.append(metric_rows(rates, "outlier_rate", tag, "outlier_rate", F.col("metric"),
-                                 F.col("outliers"), pct_value=F.col("outlier_rate"),
-                                 sample=F.col("sample_size"), notes=notes))
+        rows = F.coalesce(sums.filter("section = 'base'").select("n").scalar(), F.lit(0).cast("bigint"))
+        parts.append(metric_rows(sums.filter("section = 'lang'"), "language_distribution", tag, "language_count",
+                                 F.col("label"), F.col("n"), pct_value=pct(F.col("n"), rows)))
+    notes = F.concat(F.lit("IQR bounds ["), F.col("lower").cast("string"), F.lit(", "), F.col("upper").cast("string"), F.lit("]"))
+    parts.append(metric_rows(judged.filter("metric IS NOT NULL"), "outlier_rate", tag, "outlier_rate", F.col("metric"),
+                             F.col("outliers"), pct_value=pct(F.col("outliers"), F.col("sample_size")),
+                             sample=F.col("sample_size"), notes=notes))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -314,20 +378,36 @@ def governance_summary(tweets: DataFrame, news: DataFrame, date_col: str = "even
         news, "news", vocab.REQUIRED_FIELDS["news"], "newsLink", date_col, comments="comments"))
 
 
+def storytelling_sums(rows: DataFrame, text: str = "text", stop_words=vocab.STOP_WORDS, min_chars: int = 3) -> DataFrame:
+    """``source_type, size, term, event_date, sentiment, n, s``: rows and their scores per word (size 1)
+    and pair of words (2), and, as size 0 without a term, per day and label."""
+    from opinara.operators.rollups import sized_terms
+
+    none = F.lit(None).cast("string")
+    marker = F.struct(F.lit(0).alias("size"), none.alias("term"), F.col("event_date").alias("event_date"), F.col("sentiment").alias("sentiment"))
+    terms = F.transform(sized_terms(F.coalesce(F.col("_tokens"), F.array().cast("array<string>")), (1, 2), min_chars), lambda t: F.struct(
+        t["size"].alias("size"), t["term"].alias("term"), F.lit(None).cast(rows.schema["event_date"].dataType).alias("event_date"),
+        none.alias("sentiment")))
+    tokens = F.when(F.col(text).isNotNull(), remove_stop_words(keyword_tokens(text), stop_words, lowered=True))
+    spread = rows.select("source_type", "event_date", "sentiment", "sentiment_score", tokens.alias("_tokens")).select(
+        "source_type", "sentiment_score", F.inline(F.concat(F.array(marker), terms)))
+    return spread.groupBy("source_type", "size", "term", "event_date", "sentiment").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("sentiment_score").alias("s"))
+
+
 def storytelling_summary(rows: DataFrame, k: int = 25, topics: int = 10, **terms) -> DataFrame:
     """Long storytelling table from scored texts
     ``(source_type, event_date, text, sentiment, sentiment_score)``.
 
-    The four sentiment sections are grouping sets over one small cube, the keyword,
-    keyword-sentiment, bigram and topic sections rankings of one term count. The scored
-    rows are written first: texts are scanned and scored once.
+    A row says its label and day beside its terms, and one aggregation adds both up: texts are
+    scanned and scored once and never written. The four sentiment sections are grouping
+    sets over the small part without a term, the keyword, keyword-sentiment, bigram and topic
+    sections rankings of the other.
     """
-    from opinara.operators.rollups import term_counts
     from pyspark.sql import Window
 
-    rows = cut_lineage(rows.select("source_type", "event_date", "sentiment", "sentiment_score", "text"))
-    cube = cut_lineage(rows.groupBy("source_type", "event_date", "sentiment").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("sentiment_score").alias("s")))
+    sums = cut_lineage(storytelling_sums(rows, **terms))
+    cube = sums.filter("size = 0")
     sets = cube.groupingSets(
         [[F.col("sentiment")], [F.col("source_type"), F.col("event_date")], [F.col("source_type")]],
         "source_type", "event_date", "sentiment",
@@ -355,7 +435,7 @@ def storytelling_summary(rows: DataFrame, k: int = 25, topics: int = 10, **terms
     ), lambda x: x.isNotNull())
     sentiment_part = sets.select(F.inline(sections))
 
-    counts = term_counts(rows, score="sentiment_score", sizes=(1, 2), **terms)
+    counts = sums.filter("size > 0").select("source_type", "size", "term", F.col("n").alias("mentions"), F.col("s").alias("score_sum"))
     order = Window.partitionBy("size").orderBy(
         F.col("mentions").desc(), F.col("term"), F.col("source_type"))
     ranked = (counts.withColumn("rn", F.row_number().over(order))

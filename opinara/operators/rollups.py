@@ -169,6 +169,16 @@ def source_comparison(df: DataFrame, by: str = "source_type", labels: bool = Fal
         F.avg("sentiment_score").alias("avg_sentiment"), F.count(F.lit(1)).alias("n_records"))
 
 
+def sized_terms(tokens: Column, sizes: tuple[int, ...], min_chars: int) -> Column:
+    """The words and n-grams of a list of tokens as ``(size, term)``."""
+    def sized(size: int) -> Column:
+        terms = F.filter(tokens, lambda t: F.length(t) >= min_chars) if size == 1 else ngrams(tokens, size)
+        return F.transform(terms, lambda t: F.struct(F.lit(size).alias("size"), t.alias("term")))
+
+    groups = [sized(size) for size in sizes]
+    return groups[0] if len(groups) == 1 else F.concat(*groups)
+
+
 def term_counts(df: DataFrame, text: str = "text", by: str = "source_type",
                 score: str | None = None, sizes: tuple[int, ...] = (1,),
                 stop_words=vocab.STOP_WORDS, min_chars: int = 3) -> DataFrame:
@@ -181,15 +191,7 @@ def term_counts(df: DataFrame, text: str = "text", by: str = "source_type",
     carried = [score] if score else []
     rows = df.filter(F.col(text).isNotNull()).select(
         F.col(by).alias("source_type"), *carried, tokens.alias("_tokens"))
-
-    def sized(size: int) -> Column:
-        terms = F.filter(F.col("_tokens"), lambda t: F.length(t) >= min_chars) if size == 1 \
-            else ngrams(F.col("_tokens"), size)
-        return F.transform(terms, lambda t: F.struct(F.lit(size).alias("size"), t.alias("term")))
-
-    groups = [sized(size) for size in sizes]
-    merged = groups[0] if len(groups) == 1 else F.concat(*groups)
-    spread = rows.select("source_type", *carried, F.inline(merged))
+    spread = rows.select("source_type", *carried, F.inline(sized_terms(F.col("_tokens"), sizes, min_chars)))
     sums = [F.sum(score).alias("score_sum")] if score else []
     return spread.groupBy("source_type", "size", "term").agg(
         F.count(F.lit(1)).alias("mentions"), *sums)

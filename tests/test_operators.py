@@ -376,3 +376,36 @@ def test_exact_quantiles_with_infinity_a_dense_cluster_and_far_outliers(spark):
     for g in data:
         for p, w in zip(probs, want[g]):
             assert got[(g, p)] == w or abs(got[(g, p)] - w) <= 1e-9 * abs(w), (g, p, got[(g, p)], w)
+
+
+def test_governance_scans_a_source_twice(spark, sf):
+    from opinara.plans.bindings import _silver_shaped
+    posts, _ = _silver_shaped(spark, sf)
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+    first = quality.governance_partials(posts, ["id", "text"], "event_date", text="text", lang="lang", metrics=["likeCount"])
+    bounds = spark.createDataFrame([("likeCount", 1.0, 5.0)], "metric string, lower double, upper double")
+    second = quality.governance_judged(posts, "id", bounds, metrics=["likeCount"])
+    assert scans(first) == scans(posts) and scans(second) <= scans(posts)
+    # what is left reads only the two small tables
+    whole = quality.governance_summary(*_silver_shaped(spark, sf))._jdf.queryExecution().optimizedPlan().toString()
+    assert "doc_id" not in whole and "conv_id" not in whole and whole.count("Aggregate") <= 8
+
+
+def test_governance_of_no_rows(spark):
+    df = spark.createDataFrame([], "id string, text string, lang string, event_date date, likeCount long")
+    rows = quality.governance_source(df, "it's", ["id"], "id", "event_date", text="text", lang="lang", metrics=["likeCount", "absent"]).collect()
+    got = {(r.section, r.metric_label): (r.metric_value, r.metric_pct, r.sample_size, r.notes) for r in rows}
+    assert got == {("summary", "total_records"): (0, None, 0, None), ("summary", "id"): (0, 0, 0, None),
+                   ("null_rates", "id"): (0, 0, 0, None), ("text_stats", "it's_text"): (0, None, 0, None)} and {r.source_type for r in rows} == {"it's"}
+
+
+def test_governance_of_one_hot_day_with_gaps(spark):
+    rows = [(str(i % 7), None if i % 5 == 0 else " " if i % 5 == 1 else "x" * i, None if i % 3 else "en", None, float("nan") if i == 9 else float(i))
+            for i in range(40)] + [(None, "y", "fr", None, None)]
+    df = spark.createDataFrame(rows, "id string, text string, lang string, event_date date, likeCount double")
+    got = {(r.section, r.metric_name, r.metric_label): r for r in quality.governance_source(
+        df, "s", ["id", "text"], "id", "event_date", text="text", lang="lang", metrics=["likeCount"]).collect()}
+    assert got["summary", "duplicate_rows", "id"].metric_value == 41 - 7 and got["null_rates", "null_rate", "text"].metric_value == 16
+    assert got["summary", "schema_compliance_rate", "id,text"].metric_value == 32
+    assert got["volume_trend", "records_per_day", "s"].metric_value == 41 and got["outlier_rate", "outlier_rate", "likeCount"].sample_size == 39
+    assert got["language_distribution", "language_count", "unknown"].metric_value == 26
