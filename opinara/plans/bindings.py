@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from opinara import vocab
 from opinara.functions import dates, nested, sentiment, taxonomy, text
 from opinara.operators import (
-    filters, identity, keyword_tables, profile, quality, rollups, shape, story, trends,
+    filters, identity, keyword_tables, partials, profile, quality, rollups, shape, story, trends,
 )
 from opinara.plans import tables as t, weekly
 from opinara.session import cut_lineage, scratch_path
@@ -1451,3 +1451,43 @@ def _(spark, sf):
     jobs.refresh_weeks(rows, f"{out}/gold", f"{out}/checkpoint", lambda df: df.groupBy(
         "iso_year", "iso_week").agg(F.count(F.lit(1)).alias("n")), silver)
     return readers.read_silver(spark, f"{out}/gold")
+
+
+DAY_KEYS = ["date_day", "source", "brand"]
+
+
+@query("stream_weekly_rollup")
+def _(spark, sf):
+    """Daily sentiment from the partials of as many batches as files arrive, in no order of time."""
+    out = scratch_path(spark, "stream")
+    rows = t.event_days(spark, sf)
+    rows.withColumn("part", F.pmod(F.crc32(F.col("sentiment_score").cast("string").cast("binary")), F.lit(3))).write.partitionBy(
+        "part").parquet(f"{out}/arrivals")
+    arriving = jobs.stream_files(spark, f"{out}/arrivals/*", rows.schema, per_batch=1)
+    jobs.keep_rollup(arriving, f"{out}/gold", f"{out}/checkpoint", DAY_KEYS, partials.SENTIMENT, "date_day")
+    return partials.sentiment_shares(partials.added(spark, f"{out}/gold", DAY_KEYS, partials.SENTIMENT, by_week=False))
+
+
+@query("weekly_rollup_added")
+def _(spark, sf):
+    """Three batches with late rows of every week, one of them twice, added per week."""
+    out, rows = scratch_path(spark, "table"), t.table(spark, sf, "events")
+    measures = {"n": partials.counted(), "total": partials.summed("value"), "low": partials.least("value"),
+                "high": partials.greatest("value")}
+    for batch in (0, 1, 2, 1):
+        own = rows.filter(F.pmod("event_id", F.lit(3)) == batch)
+        partials.store_partials(own, out, batch, ["event_type"], measures, "ts")
+    return partials.added(spark, out, ["event_type"], measures)
+
+
+@query("distinct_sketch_weeks")
+def _(spark, sf):
+    """Distinct users per type from sketches stored per week and united, beside the exact number."""
+    out, rows = scratch_path(spark, "table"), t.table(spark, sf, "events")
+    measures = {"n": partials.counted(), "users": partials.distinct_sketch("user_id")}
+    for batch in (0, 1):
+        partials.store_partials(rows.filter(F.pmod("event_id", F.lit(2)) == batch), out, batch, ["event_type"], measures, "ts")
+    united = partials.with_distinct(partials.added(spark, out, ["event_type"], measures, by_week=False), "users", "about")
+    exact = rows.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    off = F.abs(F.col("about") - F.col("users")) / F.greatest("users", F.lit(1))
+    return exact.join(united, "event_type").select("event_type", "n", "users", (off <= 4 * partials.SKETCH_ERROR).alias("within_error"))

@@ -928,3 +928,9 @@ add("stream_silver", f"""SELECT doc_id::VARCHAR AS id, {clean('text', 'nlp')} AS
 add("stream_alerts", f"""WITH {TEXT_DAYS}, {alerts(False)} SELECT * FROM sa""", d="prev_pct curr_pct delta")
 add("stream_refresh_weeks", f"""WITH {WEEKLY} SELECT iso_year, iso_week, count(*) AS n FROM wo WHERE iso_year = 1995
   GROUP BY 1, 2""", i="iso_year iso_week")
+
+add("stream_weekly_rollup", f"WITH {EVENT_DAYS} SELECT * FROM ds", d=PCT_COLS)
+add("weekly_rollup_added", """SELECT isoyear(ts) AS iso_year, weekofyear(ts) AS iso_week, event_type, count(*) AS n,
+  sum(value) AS total, min(value) AS low, max(value) AS high FROM events GROUP BY 1, 2, 3""", d="total low high", i="iso_year iso_week")
+add("distinct_sketch_weeks", """SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, true AS within_error
+  FROM events GROUP BY event_type""")

@@ -6,13 +6,14 @@ taken once, also when a run is interrupted and started again.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from opinara import schemas
 from opinara.operators.identity import latest_per_key
+from opinara.operators.partials import Partial, store_partials
 from opinara.operators.trends import sentiment_alerts
 from opinara.session import cut_lineage
 from opinara.sources.readers import silver_news, silver_tweets
@@ -140,3 +141,15 @@ def refresh_weeks(rows: DataFrame, path: str, checkpoint: str,
         write_weekly(build(of_weeks(spark.read.parquet(silver), batch)), path)
 
     return run_available(rows, checkpoint, refresh)
+
+
+def keep_rollup(rows: DataFrame, path: str, checkpoint: str, keys: list[str], measures: Mapping[str, Partial],
+                date_col: str) -> StreamingQuery:
+    """Add each batch's partial measures to a weekly roll-up; neither Silver nor older batches are read.
+
+    ``partials.added`` gives the roll-up as it stands.
+    """
+    def add(batch: DataFrame, batch_id: int) -> None:
+        store_partials(batch, path, batch_id, keys, measures, date_col)
+
+    return run_available(rows, checkpoint, add)
