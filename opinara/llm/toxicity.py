@@ -30,6 +30,8 @@ RIDGE = 0.1
 #: A fit ends when no entry of the gradient is larger; Newton steps, and inner steps of each, at most.
 FLAT, STEPS, INNER_STEPS = 1e-2, 50, 200
 BATCH_BYTES = 1 << 20
+#: Documents of the sample whose entries are numbers of eight bytes at once.
+BLOCK = 1024
 _SPACE = 1 << 30
 
 
@@ -50,31 +52,44 @@ class Link:
 
 @dataclass
 class Sparse:
-    """Which feature each text has: ``at[i]`` in text ``text[i]``, each pair once, texts ascending."""
+    """Which feature each text has: text i has ``at[begins[i]:begins[i + 1]]``, each once."""
 
-    n: int
     width: int
-    text: np.ndarray
+    begins: np.ndarray
     at: np.ndarray
 
+    @property
+    def n(self) -> int:
+        return len(self.begins) - 1
+
+    def blocks(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """(texts, text of each entry, its feature) some texts at a time: what is wide is short-lived."""
+        for first in range(0, self.n, BLOCK):
+            own = self.begins[first:first + BLOCK + 1]
+            yield (slice(first, first + len(own) - 1), np.repeat(np.arange(len(own) - 1), np.diff(own)),
+                   self.at[own[0]:own[-1]].astype(np.int64))
+
     def times(self, weights: np.ndarray) -> np.ndarray:
         """The sum of the weights of each text's features."""
-        return np.bincount(self.text, weights[self.at], self.n)
+        out = np.zeros(self.n)
+        for texts, text, at in self.blocks():
+            out[texts] = np.bincount(text, weights[at], texts.stop - texts.start)
+        return out
 
     def back(self, values: np.ndarray) -> np.ndarray:
         """The sum of the values of each feature's texts."""
-        return np.bincount(self.at, values[self.text], self.width)
-
-    def texts(self, which: np.ndarray) -> Sparse:
-        kept = which[self.text]
-        return Sparse(int(which.sum()), self.width, (np.cumsum(which) - 1)[self.text[kept]], self.at[kept])
+        out = np.zeros(self.width)
+        for texts, text, at in self.blocks():
+            out += np.bincount(at, values[texts][text], self.width)
+        return out
 
     def columns(self, which: np.ndarray) -> Sparse:
         """The features at the ascending places ``which``."""
-        place = np.full(self.width, -1)
+        place = np.full(self.width, -1, np.int32)
         place[which] = np.arange(len(which))
-        at = place[self.at]
-        return Sparse(self.n, len(which), self.text[at >= 0], at[at >= 0])
+        kept = place[self.at]
+        begins = np.concatenate([[0], np.cumsum(kept >= 0)])[self.begins]
+        return Sparse(len(which), begins, kept[kept >= 0])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -112,24 +127,26 @@ def _presence(data: np.ndarray, offsets: np.ndarray, features: np.ndarray) -> Sp
     """Which of the features each text has."""
     n = len(offsets) - 1
     if not len(features):
-        return Sparse(n, 0, np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return Sparse(0, np.zeros(n + 1, np.int64), np.zeros(0, np.int32))
     found, texts = features_of(data, offsets)
     at = np.searchsorted(features, found)
     at[at == len(features)] = 0
     known = features[at] == found
     pairs = np.unique(texts[known].astype(np.int64) * len(features) + at[known])
-    return Sparse(n, len(features), pairs // len(features), pairs % len(features))
+    begins = np.searchsorted(pairs, np.arange(n + 1) * len(features))
+    return Sparse(len(features), begins, (pairs % len(features)).astype(np.int32))
 
 
 def _fit(has: Sparse | np.ndarray, label: np.ndarray, more: np.ndarray | None = None,
-         start: np.ndarray | None = None) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression on the columns of both; (weights, bias).
+         start: np.ndarray | None = None, part: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression on the columns of both, of the texts of ``part`` if given; (weights, bias).
 
     Newton steps whose equations are solved by conjugate gradients: what is held is the entries
     and a few vectors, never features times features. ``start`` is a guess (weights and bias).
     """
     if isinstance(has, np.ndarray):
-        has = Sparse(*has.shape, *np.nonzero(has))
+        has = Sparse(has.shape[1], np.concatenate([[0], np.cumsum((has != 0).sum(axis=1))]), np.nonzero(has)[1].astype(np.int32))
+    part = np.ones(has.n) if part is None else part.astype(float)  # leaving texts out copies nothing
     more = np.column_stack([np.zeros((has.n, 0)) if more is None else more, np.ones(has.n)])
     width = has.width
     penalty = np.full(width + more.shape[1], RIDGE)
@@ -142,20 +159,20 @@ def _fit(has: Sparse | np.ndarray, label: np.ndarray, more: np.ndarray | None =
         return np.concatenate([has.back(r), more.T @ r])
 
     def loss(w: np.ndarray, z: np.ndarray) -> float:
-        return float(np.logaddexp(0, z).sum() - label @ z + 0.5 * (penalty * w * w).sum())
+        return float(part @ np.logaddexp(0, z) - (part * label) @ z + 0.5 * (penalty * w * w).sum())
 
     w = np.zeros(len(penalty)) if start is None else start.copy()
     if start is None:
-        w[-1] = _logit(np.array([label.mean()]))[0]
+        w[-1] = _logit(np.array([part @ label / part.sum()]))[0]
     z = linear(w)
     now = loss(w, z)
     for _ in range(STEPS):
         p = _sigmoid(z)
-        gradient = back(p - label) + penalty * w
+        gradient = back(part * (p - label)) + penalty * w
         steepest = np.abs(gradient).max()
         if steepest < FLAT:
             break
-        curve = p * (1 - p)
+        curve = part * p * (1 - p)
         diagonal = np.concatenate([has.back(curve), np.square(more).T @ curve]) + penalty
         # step solves (X' curve X + penalty) step = gradient, as well as the gradient is small
         step, rest = np.zeros(len(w)), gradient.copy()
@@ -263,9 +280,8 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column
             for first, data, offsets in buffers(batch.column("text"), BATCH_BYTES):
                 n = len(offsets) - 1
                 has = _presence(data, offsets, every)
-                ends = np.searchsorted(has.text, np.arange(n + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.ListArray.from_arrays(ends, has.at.astype(np.int32)), *[batch.column(c).slice(first, n) for c in ("fold", *ys)]],
+                    [pa.ListArray.from_arrays(has.begins.astype(np.int32), has.at), *[batch.column(c).slice(first, n) for c in ("fold", *ys)]],
                     names=["has", "fold", *ys])
 
     table = sample.mapInArrow(vectors, ", ".join(["has array<int>", "fold int", *[f"{y} int" for y in ys]])).toArrow()
@@ -275,8 +291,10 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column
     others = [table[c].to_pylist() for c in ("fold", *ys)]
     order = sorted(range(size), key=lambda i: (lists[i].tobytes(), *[o[i] for o in others]))
     lists = [lists[i] for i in order]
-    has = Sparse(size, len(every), np.repeat(np.arange(size), [len(x) for x in lists]),
-                 np.concatenate([np.zeros(0, np.int32), *lists]).astype(np.int64))
+    has = Sparse(len(every), np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64),
+                 np.concatenate([np.zeros(0, np.int32), *lists]))
+    del lists
+    table = table.drop(["has"])
     fold = np.asarray(table["fold"].combine_chunks(), np.int64)[order] if size else np.zeros(0, np.int64)
     before = np.zeros((size, 0))
     chain = []
@@ -292,9 +310,9 @@ def train_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, Column
                 rest = fold != f
                 if rest.any() and not rest.all() and 0 < label[rest].sum() < rest.sum():
                     # the whole fit is where the search starts, not what it finds
-                    w, bias = _fit(x.texts(rest), label[rest], more[rest], np.append(w, link.bias))
+                    w, bias = _fit(x, label, more, np.append(w, link.bias), rest)
                     own = Link(name, link.features, w[:len(link.features)], w[len(link.features):], bias)
-                    held[~rest] = own.score(x.texts(~rest), before[~rest])
+                    held[~rest] = own.score(x, before)[~rest]
             link.threshold = _best_threshold(held, label)
         elif len(label):
             link.bias = float(_logit(label[:1])[0])
