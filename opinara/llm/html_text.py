@@ -3,8 +3,9 @@
 Pages of a host are put in the order of their URL paths and each is paired with the
 neighbour whose path has the longer beginning in common; neighbours that are copies are passed
 over. The two pages' lines are aligned by longest common subsequence; lines they share, and a
-third page of the host has too, are the site's, not the page's, and go, in an article as
-outside it. Lines that the markup itself names as navigation, adverts and the like go whether
+third page of the host has too, are the site's, not the page's, and go. A line of an article
+goes only if half of the host's pages have it: ordinary sentences stand on several pages of a large
+host. Lines that the markup itself names as navigation, adverts and the like go whether
 shared or not, and an article whose lines are all shared stays, since it is a copy.
 """
 
@@ -40,6 +41,10 @@ SITE, ARTICLE, OPEN = 0, 1, 2
 COPY = 0.8
 #: Different pages of a host that must have a line before it counts as the site's (all, if the host has fewer).
 COMMON = 3
+#: Part of the host's different pages, ``COMMON`` at least, that must have a line before it goes from an article.
+ARTICLE_SHARE = 0.5
+KEYS = "key long, host string, path string, lines array<long>, sizes array<int>, articles array<boolean>, site array<long>, content long"
+PLACES = "array<struct<place:int,line:long,article:boolean>>"
 #: Elements whose end tag may be left out, and what the start of an element ends: the open elements,
 #: the blocks between that do not matter (None: all), and where the search stops.
 OPTIONAL = {"p", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "option"}
@@ -204,48 +209,57 @@ def line_hashes(lines: list[str]) -> list[int]:
     return [xxhash.xxh64_intdigest(line) - (1 << 63) for line in lines]
 
 
-def shared_lines(own: list[int], other: list[int]) -> list[int]:
-    """Places in ``own`` of a longest common subsequence, by bit vectors over ``own``."""
+def align(own: list[int], other: list[int]) -> list[tuple[int, int]]:
+    """Places in both of a longest common subsequence, by bit vectors over ``own``."""
     # lines that only one page has are no part of it; equal beginnings always are
     both = set(own) & set(other)
     places = [i for i, line in enumerate(own) if line in both]
-    other = [line for line in other if line in both]
+    others = [j for j, line in enumerate(other) if line in both]
     begin = 0
-    while begin < min(len(places), len(other)) and own[places[begin]] == other[begin]:
+    while begin < min(len(places), len(others)) and own[places[begin]] == other[others[begin]]:
         begin += 1
-    first, places, other = places[:begin], places[begin:], other[begin:]
+    first = list(zip(places[:begin], others[:begin]))
+    places, others = places[begin:], others[begin:]
     n = len(places)
     masks: dict[int, int] = {}
     for i, place in enumerate(places):
         masks[own[place]] = masks.get(own[place], 0) | 1 << i
     full, row, rows = (1 << n) - 1, (1 << n) - 1, [(1 << n) - 1]
-    for line in other:
-        hit = row & masks.get(line, 0)
+    for place in others:
+        hit = row & masks.get(other[place], 0)
         row = ((row + hit) | (row - hit)) & full
         rows.append(row)
     # a zero bit i of row j: one more line is common when line i is added
-    out, i, j = [], n - 1, len(other)
+    out, i, j = [], n - 1, len(others)
     while i >= 0 and j > 0:
         if rows[j] >> i & 1:
             i -= 1
         elif not rows[j - 1] >> i & 1:
             j -= 1
         else:
-            out.append(places[i])
+            out.append((places[i], others[j - 1]))
             i, j = i - 1, j - 1
     return first + out[::-1]
 
 
-def main_text(html: str, shared: list[int], compared: bool = False) -> str:
-    """Lines that are neither the site's by markup nor ``shared``, in and outside an article.
+def shared_lines(own: list[int], other: list[int]) -> list[int]:
+    return [i for i, _ in align(own, other)]
+
+
+def own_lines(html: str) -> tuple[list[str], list[bool]]:
+    """Lines that the markup does not give to the site, and whether each is in an article."""
+    kept = [(line, kind == ARTICLE) for line, kind in zip(*page_lines(html)) if kind != SITE]
+    return [line for line, _ in kept], [article for _, article in kept]
+
+
+def text_of(lines: list[str], articles: list[bool], shared: list[int], compared: bool) -> str:
+    """``lines`` without those ``shared``, in and outside an article.
 
     An article all of whose lines are shared is a copy and stays. Of a page not ``compared``
     with another only the article, if it marks one, is known to be its own.
     """
-    lines, kinds = page_lines(html)
-    gone = set(shared)
-    kept = {i for i, kind in enumerate(kinds) if kind != SITE and i not in gone}
-    article = {i for i, kind in enumerate(kinds) if kind == ARTICLE}
+    kept = set(range(len(lines))) - set(shared)
+    article = {i for i, inside in enumerate(articles) if inside}
     if article and not compared:
         kept = article
     elif not kept & article:
@@ -253,6 +267,11 @@ def main_text(html: str, shared: list[int], compared: bool = False) -> str:
     return "\n".join(line for i, line in enumerate(lines) if i in kept)
 
 
+def main_text(html: str, shared: list[int], compared: bool = False) -> str:
+    """Text of a page of whose own lines those at the places ``shared`` are the site's."""
+    return text_of(*own_lines(html), shared, compared)
+
+
 def _split_url(url: str | None) -> tuple[str | None, str | None]:
     try:
         parts = urlsplit(url or "")
@@ -262,23 +281,27 @@ def _split_url(url: str | None) -> tuple[str | None, str | None]:
 
 
 def page_keys(rows: DataFrame) -> DataFrame:
-    """``key, host, path, lines, sizes, content`` of each distinct page; a line of the site's has size 0."""
+    """``key, host, path, lines, sizes, articles, site, content`` of each distinct page: hashes, lengths and
+    places of its own lines, hashes of the lines that the markup gives to the site."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             urls = [_split_url(u) for u in batch.column("url").to_pylist()]
-            lines, sizes, contents = [], [], []
+            lines, sizes, articles, site, contents = [], [], [], [], []
             for html in batch.column("html").to_pylist():
                 texts, kinds = page_lines(html)
-                lines.append(line_hashes(texts))
-                sizes.append([len(t) if kind != SITE else 0 for t, kind in zip(texts, kinds)])
-                contents.append(line_hashes(["\n".join(t for t, kind in zip(texts, kinds) if kind != SITE)])[0])
+                own = [(t, kind == ARTICLE) for t, kind in zip(texts, kinds) if kind != SITE]
+                lines.append(line_hashes([t for t, _ in own]))
+                sizes.append([len(t) for t, _ in own])
+                articles.append([inside for _, inside in own])
+                site.append(line_hashes([t for t, kind in zip(texts, kinds) if kind == SITE]))
+                contents.append(line_hashes(["\n".join(t for t, _ in own)])[0])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), pa.array([u[0] for u in urls], pa.string()),
                  pa.array([u[1] for u in urls], pa.string()), pa.array(lines, pa.list_(pa.int64())),
-                 pa.array(sizes, pa.list_(pa.int32())), pa.array(contents, pa.int64())],
-                names=["key", "host", "path", "lines", "sizes", "content"])
-    return rows.select("key", "url", "html").mapInArrow(
-        make, "key long, host string, path string, lines array<long>, sizes array<int>, content long")
+                 pa.array(sizes, pa.list_(pa.int32())), pa.array(articles, pa.list_(pa.bool_())),
+                 pa.array(site, pa.list_(pa.int64())), pa.array(contents, pa.int64())],
+                names=["key", "host", "path", "lines", "sizes", "articles", "site", "content"])
+    return rows.select("key", "url", "html").mapInArrow(make, KEYS)
 
 
 def are_copies(sizes: list[int], other: list[int], shared: list[int]) -> bool:
@@ -303,25 +326,40 @@ def _numbered(keys: DataFrame) -> DataFrame:
     return cut_lineage(placed.join(shifts, "part").select("key", "host", "path", (F.col("at") + F.col("shift")).alias("at")))
 
 
-def _pairs(pairs: DataFrame, keys: DataFrame) -> DataFrame:
-    """``pairs`` of ``key, peer`` with the lines of both."""
-    return pairs.join(keys.select("key", "lines", "sizes"), "key").join(
-        keys.select(F.col("key").alias("peer"), F.col("lines").alias("other"), F.col("sizes").alias("other_sizes")), "peer")
+def _aligned(pairs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``key, peer, at, copy, shared, peer_shared`` of pairs ``key, peer, at``: whether they are copies, and
+    if not, the lines that they share as they lie in each."""
+    own = keys.select("key", "lines", "sizes", "articles")
+    both = pairs.join(own, "key").join(own.toDF("peer", "other", "other_sizes", "other_articles"), "peer")
+    kind = pa.list_(pa.struct([("place", pa.int32()), ("line", pa.int64()), ("article", pa.bool_())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            copies, shared, peer_shared = [], [], []
+            for r in batch.select(["lines", "sizes", "articles", "other", "other_sizes", "other_articles"]).to_pylist():
+                places = align(r["lines"], r["other"])
+                copies.append(are_copies(r["sizes"], r["other_sizes"], [i for i, _ in places]))
+                if copies[-1]:
+                    places = []
+                shared.append([(i, r["lines"][i], r["articles"][i]) for i, _ in places])
+                peer_shared.append([(j, r["other"][j], r["other_articles"][j]) for _, j in places])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("key", "peer", "at")), pa.array(copies, pa.bool_()), pa.array(shared, kind), pa.array(peer_shared, kind)],
+                names=["key", "peer", "at", "copy", "shared", "peer_shared"])
+
+    return both.mapInArrow(run, f"key long, peer long, at long, copy boolean, shared {PLACES}, peer_shared {PLACES}")
 
 
-def copy_runs(keys: DataFrame) -> DataFrame:
-    """``key, host, path, at, run``: neighbours that are copies of each other are one run."""
+def _neighbours(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The numbered pages and each page aligned with the one before it on its host."""
     numbered = _numbered(keys)
     before = numbered.select((F.col("at") + 1).alias("at"), "host", F.col("key").alias("peer"))
-    pairs = _pairs(numbered.join(before, ["at", "host"]).select("at", "key", "peer"), keys)
+    return numbered, cut_lineage(_aligned(numbered.join(before, ["at", "host"]).select("key", "peer", "at"), keys))
 
-    def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = [r["at"] for r in batch.to_pylist()
-                  if are_copies(r["sizes"], r["other_sizes"], shared_lines(r["lines"], r["other"]))]
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64())], names=["at"])
 
-    found = pairs.select("at", "lines", "sizes", "other", "other_sizes").mapInArrow(copies, "at long").withColumn("copy", F.lit(1))
+def _runs(numbered: DataFrame, beside: DataFrame) -> DataFrame:
+    """``key, host, path, at, run``: neighbours that are copies of each other are one run."""
+    found = beside.filter("copy").select("at", F.lit(1).alias("copy"))
     marked = numbered.join(found, "at", "left").select(
         "key", "host", "path", "at", F.shiftright("at", 16).alias("part"), F.when(F.col("copy").isNull(), 1).otherwise(0).alias("begins"))
     marked = cut_lineage(marked.withColumn("run", F.sum("begins").over(
@@ -356,43 +394,58 @@ def _nearest(runs: DataFrame) -> DataFrame:
 def nearest(keys: DataFrame) -> DataFrame:
     """``key, peer``: of the next pages before and behind in the order of host and path that
     are no copies, the one with the longer common path."""
-    return _nearest(copy_runs(keys))
+    return _nearest(_runs(*_neighbours(keys)))
 
 
 def common_lines(keys: DataFrame, runs: DataFrame) -> DataFrame:
-    """``host, line`` of the lines on ``COMMON`` different pages of a host; copies are one page."""
-    pages = runs.select("key", "run").join(keys.select("key", "host", "content", "lines"), "key")
+    """``host, line, everywhere`` of the lines on ``COMMON`` different pages of a host (all, if it has fewer), and
+    whether on ``ARTICLE_SHARE`` of them; copies are one page."""
+    pages = runs.select("key", "run").join(keys.select("key", "host", "content", "lines", "site"), "key")
     first = pages.groupBy("host", "content").agg(F.min("run").alias("page"))
     pages = pages.join(first, ["host", "content"])
-    sizes = pages.groupBy("host").agg(F.least(F.count_distinct("page"), F.lit(COMMON)).alias("least"))
-    return pages.select("host", "page", F.explode(F.array_distinct("lines")).alias("line")).groupBy("host", "line").agg(
-        F.count_distinct("page").alias("n")).join(sizes, "host").filter("n >= least").select("host", "line")
+    sizes = pages.groupBy("host").agg(F.count_distinct("page").alias("pages"))
+    return pages.select("host", "page", F.explode(F.array_union("lines", "site")).alias("line")).groupBy("host", "line").agg(
+        F.count_distinct("page").alias("n")).join(sizes, "host").filter(F.col("n") >= F.least("pages", F.lit(COMMON))).select(
+        "host", "line", ((F.col("n") >= COMMON) & (F.col("n") >= ARTICLE_SHARE * F.col("pages"))).alias("everywhere"))
 
 
 def shared_with_nearest(keys: DataFrame) -> DataFrame:
     """``key, shared``: places of the lines that a page shares with its nearest page and that
-    are common on the host. Pages that have no other to compare with have no row."""
-    runs = copy_runs(keys)
-
-    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, shared = [], []
-            for r in batch.to_pylist():
-                places = shared_lines(r["lines"], r["other"])
-                if not are_copies(r["sizes"], r["other_sizes"], places):
-                    keys.append(r["key"])
-                    shared.append([(i, r["lines"][i]) for i in places if r["sizes"][i]])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(shared, pa.list_(pa.struct([("place", pa.int32()), ("line", pa.int64())])))],
-                names=["key", "shared"])
+    are common on the host. Pages that have no other to compare with have no row.
 
-    aligned = _pairs(_nearest(runs), keys).select("key", "lines", "sizes", "other", "other_sizes").mapInArrow(
-        align, "key long, shared array<struct<place:int,line:long>>")
+    Most nearest pages are neighbours, which are aligned already; only pages with copies beside
+    them are aligned with another.
+    """
+    numbered, beside = _neighbours(keys)
+    runs = _runs(numbered, beside)
+    pairs = cut_lineage(_nearest(runs))
+    near = beside.filter("NOT copy")
+    known = near.select("key", "peer", "shared").unionByName(near.select(
+        F.col("peer").alias("key"), F.col("key").alias("peer"), F.col("peer_shared").alias("shared")))
+    apart = pairs.join(known.select("key", "peer"), ["key", "peer"], "left_anti").withColumn("at", F.lit(0).cast("long"))
+    aligned = pairs.join(known, ["key", "peer"]).select("key", "shared").unionByName(
+        _aligned(apart, keys).filter("NOT copy").select("key", "shared"))
     places = aligned.join(runs.select("key", "host"), "key").select("key", "host", F.explode_outer("shared").alias("s")).select(
-        "key", "host", "s.place", "s.line")
-    common = common_lines(keys, runs).withColumn("common", F.lit(True))
-    return places.join(common, ["host", "line"], "left").groupBy("key").agg(
-        F.collect_list(F.when(F.col("common"), F.col("place"))).alias("shared"))
+        "key", "host", "s.place", "s.line", "s.article")
+    goes = F.col("everywhere").isNotNull() & (F.col("everywhere") | ~F.col("article"))
+    return places.join(common_lines(keys, runs), ["host", "line"], "left").groupBy("key").agg(
+        F.collect_list(F.when(goes, F.col("place"))).alias("shared"))
+
+
+def _packed(rows: DataFrame, kind: str) -> DataFrame:
+    """``key, page_id, url, lines``: the own lines of each row, compressed page by page, so that no html is shuffled."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pressed = zstandard.ZstdCompressor(level=6)
+        for batch in batches:
+            packed = []
+            for html in batch.column("html").to_pylist():
+                lines, articles = own_lines(html)
+                packed.append(pressed.compress("\n".join("OA"[a] + line for line, a in zip(lines, articles)).encode("utf-8", "surrogatepass")))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "page_id", "url")), pa.array(packed, pa.binary())],
+                                             names=["key", "page_id", "url", "lines"])
+    return rows.select("key", "page_id", "url", "html").mapInArrow(pack, f"key long, page_id {kind}, url string, lines binary")
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -407,16 +460,24 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), html.alias("html")).withColumn(
         "key", F.xxhash64(F.coalesce(F.col("page_id").cast("string"), F.lit("")), "url", "html"))
-    keys = cut_lineage(page_keys(rows).groupBy("key").agg(*[F.first(c).alias(c) for c in ("host", "path", "lines", "sizes", "content")]))
+    keys = cut_lineage(page_keys(rows).dropDuplicates(["key"]))
     shared = shared_with_nearest(keys)
 
+    kind = rows.schema["page_id"].dataType.simpleString()
+
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        plain = zstandard.ZstdDecompressor()
         for batch in batches:
-            texts = [main_text(h, s or [], s is not None) for h, s in zip(batch.column("html").to_pylist(), batch.column("shared").to_pylist())]
+            texts = []
+            for packed, shared in zip(batch.column("lines").to_pylist(), batch.column("shared").to_pylist()):
+                # lines hold no white space but single spaces
+                lines = [line for line in plain.decompress(packed).decode("utf-8", "surrogatepass").split("\n") if line]
+                texts.append(text_of([line[1:] for line in lines], [line[0] == "A" for line in lines], shared or [], shared is not None))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    kind = rows.schema["page_id"].dataType.simpleString()
-    return rows.join(shared, "key", "left").select("page_id", "url", "html", "shared").mapInArrow(
+    return _packed(rows, kind).join(shared, "key", "left").select("page_id", "url", "lines", "shared").mapInArrow(
         extract, f"page_id {kind}, url string, text string, n_chars long")

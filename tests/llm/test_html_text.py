@@ -1,4 +1,5 @@
 import random
+from html import escape
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -165,3 +166,19 @@ def test_differencing_decides_in_and_outside_articles(spark):
     assert [got[i] for i in range(4)] == [f"Head {i}\nText {i} of the article\nBody {i} beside the article" for i in range(4)]
     assert got[4] == "Own line of the page\nRead our terms"
     assert got[9] == "Text 9 of the article\nRead our terms"
+
+
+def test_articles_keep_ordinary_sentences_of_a_large_host(spark):
+    page = lambda i: (f"<nav>Menu</nav><p>Welcome<article><h1>Head {i}</h1><p>Text {i}<p>" + ("Well." if i % 4 < 2 and i < 20 else f"So {i}.")
+                      + "<p>Share this text</article><p>Call us now")
+    got = texts_of(spark, [(i, f"https://large.example/{i:02d}", page(i)) for i in range(40)])
+    assert got == {i: f"Head {i}\nText {i}\n" + ("Well." if i % 4 < 2 and i < 20 else f"So {i}.") for i in range(40)}
+
+
+def test_no_article_of_the_documents_loses_a_line(spark):
+    """Pages made from `documents`: their whole text comes back, and nothing else."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("length(trim(text)) > 0").orderBy("doc_id").collect()]
+    want = {i: "\n".join(" ".join(line.split()) for line in t.split("\n") if line.split()) for i, t in enumerate(texts)}
+    page = lambda t: "<p>Welcome<article>" + "".join(f"<p>{escape(line)}</p>" for line in t.split("\n")) + "</article><p>Call us now"
+    got = texts_of(spark, [(i, f"https://h{i % 3}.example/{i}", page(t)) for i, t in enumerate(texts)])
+    assert [i for i in want if got[i] != want[i]] == []
