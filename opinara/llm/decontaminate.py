@@ -18,8 +18,8 @@ MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 4, 6, 9, 10))
 WINDOW, SUBSTITUTIONS = 13, 2
 #: Items of fewer words than this are found only where they are the whole document.
 SHORTEST = 5
-#: Letters of scripts that put no spaces between words; each counts as a word.
-UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+#: Letters of scripts that put no spaces between words (Thai and Lao, Myanmar, Khmer, Kana, Han); each counts as a word.
+UNSPACED = r"[฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\x{20000}-\x{3FFFF}]"
 #: Up to so many seeds (16 bytes each) the benchmark side is broadcast; beyond, both shuffle.
 BROADCAST_SEEDS = 1_000_000
 
@@ -27,8 +27,9 @@ BROADCAST_SEEDS = 1_000_000
 def words(text: Column) -> Column:
     """Hashes of the lower-cased runs of letters and digits of a text, and of each letter of
     the scripts without spaces."""
-    split = F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))),
-                    rf"[^\p{{L}}\p{{N}}]+|(?<=[{UNSPACED}])|(?=[{UNSPACED}])")
+    lower = F.lower(F.coalesce(text.cast("string"), F.lit("")))
+    spaced = F.when(lower.rlike(UNSPACED), F.regexp_replace(lower, UNSPACED, " $0 ")).otherwise(lower)
+    split = F.split(spaced, r"[^\p{L}\p{N}]+")
     return F.transform(F.filter(split, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
