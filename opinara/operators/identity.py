@@ -84,6 +84,11 @@ def enrich_latest(latest: DataFrame, detail: DataFrame, key: str, text: str,
 
 # Names an id may have, in order.
 ID_CANDIDATES = ["tweet_id", "tweetid", "tweet_id_str", "tweetid_str", "id"]
+# What tells a post without an id from others, of these the columns a table has.
+FINGERPRINT_COLUMNS = [
+    "tweet_text_raw", "clean_text", "tweet_text", "raw_text", "tweet_createdAt", "tweet_event_date", "event_date",
+    "tweet_author_userName", "tweet_author_name", "source_file",
+]
 
 
 def fingerprint(cols: Iterable[str]) -> Column:
@@ -98,11 +103,14 @@ def ensure_id(df: DataFrame, name: str = "tweet_id",
     """A non-blank string id for every row.
 
     The first known id column is used; rows without one, and tables without such a
-    column, get a digest of their content, which unlike a row number survives reruns.
+    column, get a digest of ``fingerprint_cols``, which unlike a row number survives reruns.
+    By default these are the known columns of a post, so that a technical column does not
+    change its id, or all columns of a table that has none of them.
     """
     lower = {c.lower(): c for c in df.columns}
     native = next((lower[c] for c in candidates if c in lower), None)
-    cols = [c for c in (fingerprint_cols or df.columns) if c in df.columns]
+    wanted = FINGERPRINT_COLUMNS if fingerprint_cols is None else list(fingerprint_cols)
+    cols = [c for c in wanted if c in df.columns] or df.columns
     surrogate = F.concat(F.lit("surrogate_"), fingerprint(cols))
     if native is None:
         return df.withColumns({name: surrogate, f"{name}_origin": F.lit("surrogate_hash")})

@@ -166,6 +166,45 @@ def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return one.select(F.inline(F.array(*cells)))
 
 
+def corr_matrix_wide(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``corr_matrix`` for hundreds of columns.
+
+    Sums, squares and products of all pairs are matrix products of a batch's columns, shifted by
+    their means and with nulls as zeros, so a task keeps six numbers a pair, whatever its rows, and
+    one aggregation over the tasks' pairs adds them. Two reads of ``cols``: means, then products. Each pair is
+    taken over the rows where both are known; no such rows, or no variation, give null.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    means = numbers.agg(*[F.avg(c).alias(c) for c in numbers.columns]).first()
+    shift = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])
+    k, names = len(cols), ["n", "sa", "sb", "saa", "sbb", "sab"]
+
+    def products(batches):
+        total = np.zeros((6, k, k))
+        for batch in batches:
+            values = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1)
+            known = np.array([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]).T.astype(float)
+            values = np.where(known > 0, values - shift, 0.0)
+            sums, squares = values.T @ known, (values * values).T @ known
+            total += [known.T @ known, sums, sums.T, squares, squares.T, values.T @ values]
+        a, b = np.triu_indices(k)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.int32()), *map(pa.array, total[:, a, b])],
+                                         names=["a", "b", *names])
+
+    added = numbers.mapInArrow(products, "a int, b int, " + ", ".join(f"{c} double" for c in names)).groupBy("a", "b").agg(
+        *[F.sum(c).alias(c) for c in names])
+    spread = [F.col(f"s{x}{x}") - F.try_divide(F.col(f"s{x}") * F.col(f"s{x}"), F.col("n")) for x in "ab"]
+    joint = F.col("sab") - F.try_divide(F.col("sa") * F.col("sb"), F.col("n"))
+    corr = F.when((spread[0] > 0) & (spread[1] > 0), joint / F.sqrt(spread[0] * spread[1]))
+    name = F.array(*[F.lit(c) for c in cols])
+    cell = lambda x, y: F.struct(F.get(name, F.col(x)).alias("a"), F.get(name, F.col(y)).alias("b"), corr.alias("corr"))
+    return added.select(F.inline(F.when(F.col("a") == F.col("b"), F.array(cell("a", "b"))).otherwise(
+        F.array(cell("a", "b"), cell("b", "a")))))
+
+
 def engagement_summary(df: DataFrame, cols: list[str], log: bool = False) -> DataFrame:
     """Missing ratio, mean, median, 95th and 99th percentile per metric."""
     tails = quantile_columns(df, cols, {"median": 0.5, "p95": 0.95, "p99": 0.99}).drop("n")

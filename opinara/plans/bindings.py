@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -1203,6 +1204,12 @@ def _(spark, sf):
                                ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 
 
+@query("corr_matrix_wide", digits=6)
+def _(spark, sf):
+    wide = t.lineitem(spark, sf).select(*[F.expr(e).alias(c) for c, e in t.WIDE_COLUMNS.items()])
+    return profile.corr_matrix_wide(wide, list(t.WIDE_COLUMNS))
+
+
 @query("engagement_summary", digits=4)
 def _(spark, sf):
     rows = t.lineitem(spark, sf).select(
@@ -1349,8 +1356,7 @@ def _(spark, sf):
         "doc_id", "sentiment_score", "sentiment")
 
 
-@query("weekly_brands")
-def _(spark, sf):
+def _weekly_run(spark, sf):
     """The whole weekly run over both tables: Silver upsert, governance, roll-ups, story."""
     root = scratch_path(spark, "lake")
     stamp = lambda key: F.unix_millis(t._day(key).cast("timestamp")).cast("string")
@@ -1364,11 +1370,29 @@ def _(spark, sf):
         t._day("conv_id").alias("event_date"))
     upsert_weekly(posts, f"{root}/silver/tweets", vocab.NATURAL_KEYS["tweets"], ["snapshot_date"], date_col="event_date")
     upsert_weekly(articles, f"{root}/silver/news", vocab.NATURAL_KEYS["news"], ["snapshot_date"], date_col="event_date")
-    tables = weekly.run_week(
+    return weekly.run_week(
         spark, f"{root}/silver", f"{root}/gold", 2024, 3,
         {"brand": t.TEST_BRANDS, "product": t.TEST_PRODUCTS, "topic": t.TEST_TOPICS},
         lambda c: sentiment.lexicon_score(c, t.TEST_POSITIVE, t.TEST_NEGATIVE))
-    return tables["brand_analytics"]
+
+
+@query("weekly_brands")
+def _(spark, sf):
+    return _weekly_run(spark, sf)["brand_analytics"]
+
+
+@query("weekly_governance", digits=6)
+def _(spark, sf):
+    """Four tables of the weekly run in one shape."""
+    tables = _weekly_run(spark, sf)
+    line = lambda name, *values: tables[name].select(F.lit(name).alias("frame"), *[
+        F.expr(v).alias(c) for c, v in zip(("source", "label", "value", "sample_size"), values)])
+    sizes = ("min_length", "q1", "median", "q3", "max_length")
+    parts = [line("governance_nulls", "source", "column", "null_pct", "CAST(NULL AS BIGINT)").filter("label IN ('brand', 'product', 'topic')"),
+             line("governance_volume", "source", "CAST(period AS STRING)", "CAST(n_records AS DOUBLE)", "CAST(NULL AS BIGINT)"),
+             line("governance_outliers", "'Twitter'", "metric", "outlier_rate", "sample_size"),
+             *[line("governance_lengths", "source", f"'{c}'", f"CAST({c} AS DOUBLE)", "sample_size") for c in sizes]]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 # ---- streams: each takes all files that are there, stops, and its output is read back ----

@@ -834,6 +834,10 @@ add("column_catalog", f"WITH {CATALOG} SELECT * FROM ct", d="missing_ratio")
 add("column_catalog_families", f"WITH {CATALOG} SELECT family, recommendation, count(*) AS columns FROM ct GROUP BY 1, 2")
 add("corr_matrix", " UNION ALL ".join(f"SELECT {lit(a)} AS a, {lit(b)} AS b, corr({a}, {b}) AS corr FROM lineitem"
                                       for a in _NUM for b in _NUM), d="corr")
+_WIDE = "wi AS (SELECT " + ", ".join(f"{e} AS {c}" for c, e in t.WIDE_COLUMNS.items()) + " FROM lineitem)"
+add("corr_matrix_wide", f"WITH {_WIDE}, wr AS (SELECT " + ", ".join(
+    f"corr({a}, {b}) AS {a}{b}" for a in t.WIDE_COLUMNS for b in t.WIDE_COLUMNS if a <= b) + """ FROM wi), wu AS (UNPIVOT wr ON COLUMNS(*) INTO NAME p VALUE corr)
+  SELECT p[1:3] AS a, p[4:6] AS b, corr FROM wu UNION ALL SELECT p[4:6], p[1:3], corr FROM wu WHERE p[1:3] <> p[4:6]""", d="corr")
 ENG = "en AS (SELECT l_quantity, l_extendedprice, CASE WHEN l_returnflag <> 'R' THEN l_tax END AS l_tax FROM lineitem)"
 add("engagement_summary", f"WITH {ENG} " + " UNION ALL ".join(f"""SELECT {lit(c)} AS metric,
   1 - count({c})::DOUBLE / count(*) AS missing_ratio, avg({c}) AS mean, avg(ln(1 + {c})) AS mean_log1p,
@@ -910,6 +914,22 @@ add("weekly_brands", f"""WITH wt AS (SELECT 't' AS k, {clean('text', 'nlp')} AS
     round(neutral_pct, 1) AS neutral_pct, round(avg_score, 4) AS avg_score), 2024 AS iso_year, 3 AS iso_week FROM wb""",
     d=PCT_COLS, i="iso_year iso_week")
 
+_SIZES = {"min_length": "min(n)", "q1": "quantile_cont(n, 0.25)", "median": "quantile_cont(n, 0.5)",
+          "q3": "quantile_cont(n, 0.75)", "max_length": "max(n)"}
+add("weekly_governance", f"""WITH wt AS (SELECT 'Twitter' AS source, {clean('text', 'nlp')} AS x, length(text) AS n, n_chars, doc_id, {day('doc_id')} AS dd FROM documents),
+  wc AS (SELECT 'News' AS source, unnest(string_split(text, chr(10))) AS y, {day('conv_id')} AS dd FROM conversations),
+  wa AS (SELECT source, x, n, dd, n_chars, doc_id FROM wt WHERE isoyear(dd) = 2024 AND weekofyear(dd) = 3
+    UNION ALL SELECT source, {clean('y', 'nlp')}, length({clean('y', 'nlp')}), dd, NULL, NULL FROM wc WHERE isoyear(dd) = 2024 AND weekofyear(dd) = 3),
+  wg AS (SELECT *, {first('x', t.TEST_BRANDS)} AS brand, {first('x', t.TEST_PRODUCTS)} AS product,
+    {first('x', t.TEST_TOPICS)} AS topic FROM wa)""" + " UNION ALL ".join(
+    [f" SELECT 'governance_nulls' AS frame, source, '{c}' AS label, 100 - 100 * count({c})::DOUBLE / count(*) AS value, NULL::BIGINT AS sample_size FROM wg GROUP BY source"
+     for c in ("brand", "product", "topic")]
+    + [" SELECT 'governance_volume', source, strftime(dd, '%Y-%m-%d'), count(*)::DOUBLE, NULL FROM wg GROUP BY source, dd"]
+    + [f""" SELECT 'governance_outliers', 'Twitter', '{name}', 100 * count(*) FILTER ({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1))::DOUBLE
+  / count({c}), count({c}) FROM wg, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM wg)"""
+       for name, c in (("likeCount", "n_chars"), ("author_followers", "doc_id"))]
+    + [f" SELECT 'governance_lengths', source, '{k}', ({e})::DOUBLE, count(n) FROM wg GROUP BY source" for k, e in _SIZES.items()]), d="value")
+
 # ---- streams ------------------------------------------------------------------------------------
 
 # days the watermark, two days behind the newest event, has closed

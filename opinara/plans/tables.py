@@ -143,3 +143,8 @@ def event_days(spark, sf_dir) -> DataFrame:
         F.lit("events").alias("source"), value.alias("sentiment_score"),
         F.when(value >= 60, "positive").when(value <= 20, "negative").otherwise("neutral")
         .alias("sentiment"))
+
+
+#: Forty numeric columns with nulls in different rows.
+WIDE_COLUMNS = {f"x{j:02d}": f"CASE WHEN l_orderkey % {j + 3} <> 0 THEN (l_orderkey * {j + 1} + l_linenumber * 7 + CAST(floor(l_quantity) AS BIGINT)) % {11 + j} END"
+                for j in range(40)}

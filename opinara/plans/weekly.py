@@ -13,10 +13,10 @@ from opinara.functions.text import clean_text
 from opinara.operators import rollups, story
 from opinara.operators.filters import filter_week
 from opinara.operators.quality import (
-    dashboard_metrics, governance_summary, kpi_bands, kpi_table, storytelling_summary,
+    dashboard_metrics, governance_summary, kpi_bands, kpi_table, length_box, null_profile, outlier_rate, storytelling_summary,
 )
 from opinara.operators.shape import select_existing, total_engagement
-from opinara.operators.trends import daily_sentiment, sentiment_alerts
+from opinara.operators.trends import daily_sentiment, sentiment_alerts, volume_trend
 from opinara.sources.readers import read_silver
 from opinara.sources.writers import write_weekly
 
@@ -89,6 +89,21 @@ def gold_tables(tweets: DataFrame, news: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def governance_frames(tweets: DataFrame, news: DataFrame) -> dict[str, DataFrame]:
+    """Null shares per column, outliers, daily volume and text lengths behind the KPIs."""
+    sources = [("Twitter", tweets, "text"), ("News", news, "comment_text")]
+    nulls = [null_profile(df.drop("iso_year", "iso_week"), source=name) for name, df, _ in sources]
+    rows = [df.select(F.lit(name).alias("source"), "date_day", F.length(text).alias("text_length")) for name, df, text in sources]
+    both = rows[0].unionByName(rows[1])
+    metrics = [c for c in vocab.DASHBOARD_OUTLIER_METRICS if c in tweets.columns]
+    frames = {
+        "governance_nulls": nulls[0].unionByName(nulls[1]),
+        "governance_volume": volume_trend(both, "source", "date_day"),
+        "governance_lengths": length_box(both, "source", "text_length"),
+    }
+    return frames | ({"governance_outliers": outlier_rate(tweets, metrics, "exact")} if metrics else {})
+
+
 def reports(gold: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """What is told from the roll-ups."""
     return {
@@ -120,8 +135,9 @@ def run_week(spark: SparkSession, silver_root: str, gold_root: str, year: int, w
         return read_silver(spark, f"{gold_root}/{name}", [(year, week)])
 
     written = {name: store(name, df) for name, df in enriched.items()}
-    for name, df in gold_tables(written["governance_tweets"], written["governance_news"]).items():
-        written[name] = store(name, df)
+    for frames in (gold_tables, governance_frames):
+        for name, df in frames(written["governance_tweets"], written["governance_news"]).items():
+            written[name] = store(name, df)
     for name, df in reports(written).items():
         written[name] = store(name, df)
     return written

@@ -157,6 +157,9 @@ GOVERNANCE_NEWS_COLUMNS = [
     "sentiment", "sentiment_score",
 ]
 
+# Metrics whose outliers the governance report counts.
+DASHBOARD_OUTLIER_METRICS = ["likeCount", "replyCount", "retweetCount", "quoteCount", "author_followers"]
+
 # Critical columns for the overall null rate.
 CRITICAL_TWEETS_COLUMNS = [
     "tweet_id", "date_day", "author_userName", "text", "sentiment", "sentiment_score",

@@ -325,6 +325,30 @@ def test_correlation_uses_complete_pairs(spark):
     assert got["a", "b"] == pytest.approx(1.0) and got["c", "a"] == pytest.approx(-1.0) and len(got) == 9
 
 
+def test_wide_correlations_of_203_columns(spark):
+    import numpy as np
+    rnd = np.random.default_rng(4)
+    values = rnd.normal(1e6, 1.0, (300, 203)) + rnd.normal(0, 1, (300, 1))
+    values[rnd.random(values.shape) < 0.1] = np.nan
+    values[:, 7], values[:, 8] = 5.0, np.nan
+    cols = [f"m {i}.x" for i in range(203)]
+    rows = [[None if np.isnan(v) else float(v) for v in row] for row in values]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` double" for c in cols)).repartition(5)
+    got = {(r.a, r.b): r["corr"] for r in profile.corr_matrix_wide(df, cols).collect()}
+    assert len(got) == 203 * 203
+    for i, j in [(0, 1), (3, 3), (202, 0), (100, 55), (9, 202)]:
+        both = ~np.isnan(values[:, i]) & ~np.isnan(values[:, j])
+        assert got[cols[i], cols[j]] == pytest.approx(np.corrcoef(values[both, i], values[both, j])[0, 1], abs=1e-9)
+    assert got[cols[7], cols[0]] is None and got[cols[8], cols[8]] is None
+    assert {r["corr"] for r in profile.corr_matrix_wide(df.limit(0), cols[:3]).collect()} <= {None}
+
+
+def test_a_technical_column_does_not_change_the_id_of_a_post(spark):
+    rows = spark.createDataFrame([("a", "b", 1), ("a", "b", 2), ("a", "c", 1)], "clean_text string, source_file string, load int")
+    ids = [r.tweet_id for r in identity.ensure_id(rows).collect()]
+    assert ids[0] == ids[1] != ids[2]
+
+
 # ---- story
 
 BRANDS = ("brand string, total_mentions bigint, mentions_twitter bigint, mentions_news bigint, positive_pct double, "

@@ -57,6 +57,16 @@ def test_story(week):
     assert {r["brand"] for r in json.loads(row.brand_sentiment_snapshot)} == {"apple", "google", "samsung"}
 
 
+def test_governance_frames(week):
+    tables, _ = week
+    nulls = {(r.source, r.column): r.null_pct for r in tables["governance_nulls"].collect()}
+    assert nulls["Twitter", "tweet_id"] == 0 and nulls["Twitter", "brand"] > 0 and ("News", "comment_text") in nulls
+    volume = tables["governance_volume"].groupBy("source").agg(F.sum("n_records").alias("n")).collect()
+    assert {r.source: r.n for r in volume} == {"Twitter": 4, "News": 5}
+    assert {r.source: r.sample_size for r in tables["governance_lengths"].collect()} == {"Twitter": 4, "News": 5}
+    assert "likeCount" in {r.metric for r in tables["governance_outliers"].collect()}
+
+
 def test_kpis_and_alerts_exist(week):
     tables, _ = week
     status = {r.kpi: (r.value, r.status) for r in tables["governance_kpis"].collect()}
