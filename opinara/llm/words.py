@@ -28,42 +28,58 @@ _PRIME = (1 << 31) - 1
 _BASES = (0x5A3C_91E7, 0x2D1F_6B4B)
 _VALUES = [mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * k)) % np.uint64(_PRIME)
            for k in range(2)]
-_POWERS: list[list[np.ndarray]] = [[np.ones(1, np.uint64) for _ in range(2)] for _ in _BASES]
+#: Buffers are summed in blocks of so many bytes: tables of powers are as long as a block, not as a buffer.
+_BLOCK = 1 << 16
 
 
-def _powers(n: int) -> list[list[np.ndarray]]:
-    """Per base its powers and those of its inverse, ``n`` of each at least; kept."""
-    for base, kept in zip(_BASES, _POWERS):
-        for k, step in enumerate((base, pow(base, -1, _PRIME))):
-            while len(kept[k]) < n:
-                more = kept[k] * np.uint64(pow(step, len(kept[k]), _PRIME)) % np.uint64(_PRIME)
-                kept[k] = np.concatenate([kept[k], more])
-    return _POWERS
+def _powers(base: int, n: int) -> np.ndarray:
+    """``base`` to the powers 0 to n - 1 modulo the prime."""
+    kept = np.ones(1, np.uint64)
+    while len(kept) < n:
+        more = kept[:n - len(kept)] * np.uint64(pow(base, len(kept), _PRIME)) % np.uint64(_PRIME)
+        kept = np.concatenate([kept, more])
+    return kept
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """The same numbers modulo the prime, 31 bits shorter."""
+    return (x & np.uint64(_PRIME)) + (x >> np.uint64(31))
+
+
+_INVERSES = [pow(base, -1, _PRIME) for base in _BASES]
+_POWERS = [_powers(base, _BLOCK) for base in _BASES]
+_INVERSE_POWERS = [_powers(inverse, _BLOCK) for inverse in _INVERSES]
 
 
 class Sums:
-    """Running sums of a buffer, from which any span's hash comes in constant time."""
+    """Running sums of a buffer, from which any span's hash comes in constant time.
+
+    Eight bytes a byte of the buffer are held; nothing outlives the buffer.
+    """
 
     def __init__(self, data: np.ndarray):
         n = len(data)
-        self.sums, self.inverse = [], []
-        for value, (power, inverse) in zip(_VALUES, _powers(n + 1)):
-            terms = value[data]
-            terms *= power[:n]
-            low = terms & np.uint64(_PRIME)  # the same number modulo the prime, short enough to add up
-            terms >>= np.uint64(31)
-            terms += low
-            sums = np.zeros(n + 1, np.uint64)
-            np.cumsum(terms, out=sums[1:])
-            self.sums.append(sums)
-            self.inverse.append(inverse)
+        self.sums = [np.zeros(n + 1, np.uint32) for _ in _BASES]
+        for sums, base, value, power in zip(self.sums, _BASES, _VALUES, _POWERS):
+            before = 0
+            for first in range(0, n, _BLOCK):
+                block = value[data[first:first + _BLOCK]] * power[:n - first]
+                block = _fold(np.cumsum(_fold(block))) * np.uint64(pow(base, first, _PRIME)) + np.uint64(before)
+                block = _fold(_fold(block))
+                before = int(block[-1])
+                sums[first + 1:first + 1 + len(block)] = block
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Equal spans have equal hashes wherever they stand."""
-        prime = np.uint64(_PRIME)
-        first, second = [(s[end] - s[start]) % prime * i[start] % prime for s, i in zip(self.sums, self.inverse)]
+        prime, halves = np.uint64(_PRIME), []
+        block, inside = np.asarray(start) // _BLOCK, np.asarray(start) % _BLOCK
+        for sums, inverse, power in zip(self.sums, _INVERSES, _INVERSE_POWERS):
+            far = _powers(pow(inverse, _BLOCK, _PRIME), len(sums) // _BLOCK + 1)
+            # twice the prime keeps the difference positive
+            span = (sums[end].astype(np.uint64) + np.uint64(2 * _PRIME) - sums[start]) % prime
+            halves.append(span * power[inside] % prime * far[block] % prime)
         size = (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        return mix64((first << np.uint64(31) | second) ^ size)
+        return mix64((halves[0] << np.uint64(31) | halves[1]) ^ size)
 
 
 #: What separates words for a classifier: ASCII other than letters and digits.

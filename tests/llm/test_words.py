@@ -6,7 +6,7 @@ from tokenizers import Tokenizer
 
 from opinara.llm.jaccard_join import shingle_sets
 from opinara.llm.tokenization import Encoder
-from opinara.llm.words import Sums, spans
+from opinara.llm.words import _BLOCK, Sums, spans
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 SIZES = [512, 1024, 2048, 4096, 16384, 65536]
@@ -45,3 +45,22 @@ def test_spans_hash_alike_wherever_they_stand():
     assert len(set(Sums(rest).hash(places, places + 40))) == 1
     every = Sums(rest).hash(np.arange(99_000), np.arange(99_000) + 20)
     assert len(np.unique(every)) > 98_900
+
+
+def test_a_span_has_one_hash_on_both_sides_of_a_block_and_across_it():
+    rng = np.random.default_rng(11)
+    word = rng.integers(0, 256, 90).astype(np.uint8)
+    places = np.array([0, 500, 2 * _BLOCK - 45, 3 * _BLOCK - 90, 3 * _BLOCK, 4 * _BLOCK + 7])
+    data = rng.integers(0, 256, 4 * _BLOCK + 97).astype(np.uint8)
+    for place in places:
+        data[place:place + len(word)] = word
+    got = Sums(data).hash(places, places + len(word))
+    assert len(set(got.tolist())) == 1
+    assert got[0] == Sums(word).hash(np.array([0]), np.array([len(word)]))[0]
+    data[2 * _BLOCK] ^= 1  # a letter of the word that crosses
+    assert (Sums(data).hash(places, places + len(word)) != got).tolist() == [False, False, True, False, False, False]
+
+
+def test_no_bytes_no_spans():
+    empty = np.zeros(0, np.int64)
+    assert len(Sums(np.zeros(0, np.uint8)).hash(empty, empty)) == 0
