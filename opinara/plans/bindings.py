@@ -21,7 +21,7 @@ from opinara.operators import (
 from opinara.plans import tables as t, weekly
 from opinara.session import cut_lineage, scratch_path
 from opinara.sources import readers
-from opinara.sources.writers import upsert_weekly, write_csv, write_snapshot, write_weekly
+from opinara.sources.writers import upsert_weekly, write_csv, write_snapshot, write_weekly, write_weekly_observed
 from opinara.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1311,6 +1311,20 @@ def _(spark, sf):
         F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("total"))
 
 
+@query("write_weekly_observed")
+def _(spark, sf):
+    def lost(col, every):
+        return F.when(F.col("event_id") % every != 0, F.col(col)).alias(col)
+    events = t.table(spark, sf, "events").select(
+        "event_id", lost("ts", 13), lost("user_id", 11), lost("value", 7), "props",
+        F.when(F.col("event_id") % 5 == 0, "  ").otherwise(F.col("event_type")).alias("event_type"))
+    path = scratch_path(spark, "observed")
+    measured = write_weekly_observed(dates.with_iso_week(events, "ts"), path, ["user_id", "value", "event_type", "props"],
+                                     ["event_id", "user_id", "value"])
+    stored = readers.read_silver(spark, path).agg(F.count(F.lit(1)).alias("rows_stored"))
+    return measured.withColumn("rows_stored", stored.scalar())
+
+
 @query("read_latest_artifact")
 def _(spark, sf):
     root, name = _weekly_orders(spark, sf).rsplit("/", 1)

@@ -886,6 +886,14 @@ add("read_silver_weeks", f"""WITH {WEEKLY} SELECT * FROM wo WHERE (iso_year = 19
 add("write_weekly_replaces", f"""WITH {WEEKLY} SELECT iso_year, iso_week, count(*) AS n,
   sum(CASE WHEN iso_year = 1995 AND iso_week = 10 THEN 0.0 ELSE o_totalprice END) AS total FROM wo GROUP BY 1, 2""",
     d="total", i="iso_year iso_week")
+_lost = {"user_id": "user_id IS NULL OR event_id % 11 = 0", "value": "value IS NULL OR event_id % 7 = 0",
+         "event_type": "trim(event_type) = '' OR event_type IS NULL OR event_id % 5 = 0",
+         "props": "trim(props) = '' OR props IS NULL"}
+add("write_weekly_observed", " UNION ALL ".join(
+    f"SELECT {m} AS measure, {f} AS field, count(*) FILTER ({c}) AS hits, "
+    f"100.0::DOUBLE * count(*) FILTER ({c}) / count(*) AS rate, count(*) AS rows_written, count(*) AS rows_stored FROM events"
+    for m, f, c in [*[("'null_rate'", lit(f), c) for f, c in _lost.items()],
+                    ("'row_compliance'", "NULL", f"event_id IS NOT NULL AND NOT ({_lost['user_id']} OR {_lost['value']})")]), d="rate")
 add("read_latest_artifact", f"""WITH {WEEKLY} SELECT * FROM wo WHERE iso_year * 100 + iso_week =
   (SELECT max(iso_year * 100 + iso_week) FROM wo)""", d="o_totalprice", i="iso_year iso_week")
 add("csv_round_trip", """SELECT doc_id, text, to_json(string_split(source, 'c'))::VARCHAR AS parts FROM documents""")

@@ -2,33 +2,59 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DateType, StructType, TimestampType
 
 from opinara.functions.dates import with_iso_week
 from opinara.operators.identity import upsert
+from opinara.operators.quality import is_missing, required_fields_ok
 from opinara.session import cut_lineage
 
 
-def write_weekly(df: DataFrame, path: str, week: tuple[int, int] | None = None) -> None:
+def write_weekly(df: DataFrame, path: str, week: tuple[int, int] | None = None,
+                 watch: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
     """Replace weeks of a partitioned table and leave the others alone.
 
     With ``week`` the whole frame is that week, and an empty frame empties it. Without,
     the weeks are those found in the columns ``iso_year`` and ``iso_week``; rows are
     rebalanced by week first, so that a task does not open a file for every week and a
-    week that holds most of the rows is still written by many tasks.
+    week that holds most of the rows is still written by many tasks. ``watch`` is applied to the
+    rows as the writing tasks get them, behind every shuffle.
     """
     if week is not None:
-        (df.drop("iso_year", "iso_week").write.mode("overwrite")
+        (watch(df).drop("iso_year", "iso_week").write.mode("overwrite")
          .parquet(f"{path}/iso_year={week[0]}/iso_week={week[1]}"))
         return
-    (df.hint("rebalance", F.col("iso_year"), F.col("iso_week"))
+    (watch(df.hint("rebalance", F.col("iso_year"), F.col("iso_week")))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("iso_year", "iso_week").parquet(path))
 
 
+def write_weekly_observed(df: DataFrame, path: str, fields: list[str], required: list[str],
+                          week: tuple[int, int] | None = None) -> DataFrame:
+    """``write_weekly``, with rows, nulls and compliance measured by the job that writes.
+
+    Returns ``measure, field, hits, rate, rows_written``: one row ``null_rate`` for each of ``fields``
+    (null or blank, as in ``null_rates``) and one ``row_compliance`` for ``required``. The counts
+    are taken by the tasks that write, where Spark counts each partition once however often
+    a task is repeated. The driver gets one number a field. No rows give counts and rates of 0.
+    """
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("rows"), F.count_if(required_fields_ok(required)).alias("ok"),
+              *[F.count_if(is_missing(f"`{f}`")).alias(f"null_{i}") for i, f in enumerate(fields)]]
+    write_weekly(df, path, week, lambda rows: rows.observe(seen, *counts))
+    got = seen.get
+    n = got.get("rows", 0)
+    hits = [("null_rate", f, got.get(f"null_{i}", 0)) for i, f in enumerate(fields)]
+    hits.append(("row_compliance", None, got.get("ok", 0)))
+    return df.sparkSession.createDataFrame(
+        [(measure, field, k, 100.0 * k / n if n else 0.0, n) for measure, field, k in hits],
+        "measure string, field string, hits long, rate double, rows_written long")
+
+
 def encode_values(df: DataFrame) -> DataFrame:
     """Values JSON has no form for: bytes as hex, dates and times as ISO strings."""
     encoded = {}

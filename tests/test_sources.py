@@ -201,3 +201,28 @@ def test_scratch_is_cleared(spark, tmp_path, monkeypatch, scheme):
     session.clear_scratch(spark)
     session.clear_scratch(spark)  # nothing left to clear
     assert not os.listdir(tmp_path / "shared" / "opinara")
+
+
+def jobs_of(spark, name, run):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        result = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)), result
+
+
+def test_quality_is_measured_by_the_job_that_writes(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(1, "a", 2026, 1), (2, " ", 2026, 1), (3, None, 2026, 2), (None, "d", None, None)],
+        "id long, `a.b` string, iso_year int, iso_week int")
+    plain, _ = jobs_of(spark, "plain", lambda: writers.write_weekly(rows, f"{tmp_path}/plain"))
+    watched, got = jobs_of(spark, "watched", lambda: writers.write_weekly_observed(
+        rows, f"{tmp_path}/watched", ["a.b", "id"], ["id"]))
+    assert watched == plain
+    assert [tuple(r) for r in got.collect()] == [
+        ("null_rate", "a.b", 2, 50.0, 4), ("null_rate", "id", 1, 25.0, 4), ("row_compliance", None, 3, 75.0, 4)]
+    assert readers.read_silver(spark, f"{tmp_path}/watched").count() == 4
+    one = writers.write_weekly_observed(rows.limit(0), f"{tmp_path}/watched", ["id"], ["id"], week=(2026, 1))
+    assert [tuple(r) for r in one.collect()] == [("null_rate", "id", 0, 0.0, 0), ("row_compliance", None, 0, 0.0, 0)]
+    assert readers.read_silver(spark, f"{tmp_path}/watched").count() == 2
