@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,9 +65,13 @@ def clear_scratch(spark: SparkSession) -> None:
     To be called when a job has stored its results: frames that were not stored read from
     there. Any file system Arrow knows (file, hdfs, s3).
     """
+    _delete_folder(_own_scratch(spark))
+
+
+def _delete_folder(uri: str) -> None:
     from pyarrow import fs
 
-    uri = _own_scratch(spark).replace("s3a://", "s3://", 1)
+    uri = uri.replace("s3a://", "s3://", 1)
     system, path = fs.FileSystem.from_uri(uri) if ":" in uri.split("/", 1)[0] else (fs.LocalFileSystem(), uri)
     if system.get_file_info(path).type == fs.FileType.Directory:
         system.delete_dir(path)
@@ -81,3 +87,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "table")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder for the time of a block, which must store all it needs.
+
+    The copy goes when the block has ended and stays when it fails. It is compressed harder than
+    other tables, and the shuffle files of each job inside go with the job: a merge holds
+    one copy of its rows beside those it replaces, not one for every batch and shuffle before.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "staged")
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup)
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+        yield spark.read.parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
+    _delete_folder(path)

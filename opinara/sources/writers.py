@@ -11,8 +11,7 @@ from pyspark.sql.types import ArrayType, BinaryType, DateType, StructType, Times
 from opinara.functions.dates import with_iso_week
 from opinara.operators.identity import upsert
 from opinara.operators.quality import is_missing, required_fields_ok
-from opinara.session import cut_lineage
-
+from opinara.session import staged
 
 def write_weekly(df: DataFrame, path: str, week: tuple[int, int] | None = None,
                  watch: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
@@ -29,7 +28,7 @@ def write_weekly(df: DataFrame, path: str, week: tuple[int, int] | None = None,
          .parquet(f"{path}/iso_year={week[0]}/iso_week={week[1]}"))
         return
     (watch(df.hint("rebalance", F.col("iso_year"), F.col("iso_week")))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
      .partitionBy("iso_year", "iso_week").parquet(path))
 
 
@@ -70,10 +69,11 @@ def encode_values(df: DataFrame) -> DataFrame:
 
 def write_snapshot(df: DataFrame, root: str, source: str, topic: str,
                    at: datetime | None = None) -> str:
-    """Land documents as JSON under a time-stamped name, which is returned."""
+    """Land documents as gzipped JSON lines, a file a task, under a time-stamped name, which is returned."""
     stamp = (at or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S")
     path = f"{root}/{source}_{topic}_{stamp}.json"
-    encode_values(df).write.mode("error").option("ignoreNullFields", False).json(path)
+    (encode_values(df).write.mode("error").option("ignoreNullFields", False)
+     .option("compression", "gzip").json(path))
     return path
 
 
@@ -115,7 +115,7 @@ def upsert_weekly(new: DataFrame, path: str, keys: list[str], order: list[str],
 
     Only the weeks the batch touches are read and replaced; undated rows are a week. The merged rows are
     written to the shared folder before the weeks they were read from are replaced,
-    so a lost executor cannot make Spark read a half-replaced table.
+    so a lost executor cannot make Spark read a half-replaced table; that copy goes afterwards.
     """
     if week is not None:
         new = new.withColumns({"iso_year": F.lit(week[0]), "iso_week": F.lit(week[1])})
@@ -124,4 +124,5 @@ def upsert_weekly(new: DataFrame, path: str, keys: list[str], order: list[str],
     stored = stored_table(new.sparkSession, path)
     existing = new.limit(0) if stored is None else of_weeks(stored, new)
     merged = upsert(new, existing, [*keys, "iso_year", "iso_week"], order)
-    write_weekly(cut_lineage(merged), path)
+    with staged(merged) as rows:
+        write_weekly(rows, path)

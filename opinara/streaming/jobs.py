@@ -54,9 +54,9 @@ def stream_silver(spark: SparkSession, source: str, bronze: str, silver: str, ch
     """Bronze snapshots to the weekly Silver table, new files only, last row per key.
 
     A file named ``source_*.json`` holds one document or a list; with ``lines`` the folders
-    that ``write_snapshot`` lands are read, one document per line.
+    that ``write_snapshot`` lands are read, one document per line, gzipped or not.
     """
-    snapshots = stream_files(spark, bronze, schemas.SNAPSHOTS[source], "*.json" if lines else f"{source}_*.json",
+    snapshots = stream_files(spark, bronze, schemas.SNAPSHOTS[source], "*.json*" if lines else f"{source}_*.json",
                              "json", per_batch, multiLine=str(not lines).lower())
     rows = SILVER[source](snapshots)
 
