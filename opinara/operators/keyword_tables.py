@@ -1,8 +1,12 @@
 """Taxonomies held in tables: a join on rare substrings.
 
-A keyword is filed under one of its substrings of three letters, the one that fewest texts
-have. The distinct substrings of a text meet the filed keywords by an equi-join, and what meets
+A keyword is filed under one of its substrings of three letters, the one that is rarest in the
+texts. The substrings of a text meet the filed keywords by an equi-join, and what meets
 is verified by looking for the whole keyword. No text is compared with every keyword.
+
+Where the filed keywords are broadcast, the substrings are taken from the text's bytes at every place,
+joined by checksum and verified at that place: numbers of a place, not copies of a text or lists of
+its letters, are what a task goes through.
 """
 
 from __future__ import annotations
@@ -47,6 +51,30 @@ def _text_grams(df: DataFrame, text: Column | str, sizes: list[int]) -> DataFram
     return letters.select("digest", "lowered", F.explode(every).alias("gram"))
 
 
+def _places(df: DataFrame, text: Column | str, sizes: list[int]) -> DataFrame:
+    """``digest, bytes, at, sum``: checksums of the substrings of so many bytes at every place of each text.
+
+    The empty substring is at the first place only. Substrings cut off by the end are there, too.
+    """
+    own = df.select(_lowered(text).alias("lowered")).select(F.sha2("lowered", 256).alias("digest"), F.col("lowered").cast("binary").alias("bytes"))
+    last = F.greatest(F.octet_length("bytes") - (max(1, min(sizes)) - 1), F.lit(1))
+    spots = own.select("digest", "bytes", F.explode(F.sequence(F.lit(1), last, F.lit(1))).alias("at"))
+    sums = [F.crc32(F.substring("bytes", F.col("at"), F.lit(s))) for s in sizes if s]
+    if 0 in sizes:
+        sums.append(F.when(F.col("at") == 1, F.crc32(F.lit(b""))))
+    return spots.select("digest", "bytes", "at", sums[0].alias("sum") if len(sums) == 1 else F.explode(F.array(*sums)).alias("sum"))
+
+
+def _is_at(at: Column, word: str) -> Column:
+    """Whether the bytes of the column ``word`` stand in ``bytes`` at a place."""
+    return (at > 0) & (F.substring("bytes", at, F.octet_length(word)) == F.col(word).cast("binary"))
+
+
+def _byte_sizes(grams: DataFrame) -> list[int]:
+    """Lengths of substrings in bytes: thirteen at most."""
+    return sorted(r[0] for r in grams.select(F.octet_length("gram")).distinct().collect())
+
+
 def _checked(df: DataFrame) -> tuple[DataFrame, bool]:
     """A written frame, marked for broadcast if it is small enough, and whether it is."""
     small = df.count() <= BROADCAST_ROWS
@@ -54,16 +82,23 @@ def _checked(df: DataFrame) -> tuple[DataFrame, bool]:
 
 
 def file_keywords(df: DataFrame, text: Column | str, rows: DataFrame, sizes: list[int]) -> DataFrame:
-    """``gram, key, number, keyword``: each keyword under the substring that fewest texts have."""
+    """``gram, key, number, keyword``: each keyword under the substring that is rarest in the texts: that stands
+    at fewest places, or, of too many substrings to be broadcast, in fewest texts."""
     letters = F.split("keyword", "")
     size = F.length("keyword")
     own = F.when(size == 0, F.array(F.lit("")))
     for s in range(1, GRAM):
         own = own.when(size == s, _grams(letters, s))
     each = cut_lineage(rows.withColumn("gram", F.explode(F.array_distinct(own.otherwise(_grams(letters, GRAM))))))
-    wanted, _ = _checked(cut_lineage(each.select("gram").distinct()))
-    counts = _text_grams(df, text, sizes).select("gram").join(wanted, "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("texts"))
-    rarest = F.min(F.struct(F.coalesce("texts", F.lit(0)), "gram")).alias("rarest")
+    grams = cut_lineage(each.select("gram").distinct())
+    wanted, small = _checked(grams)
+    if small and (of_bytes := _byte_sizes(grams)):
+        wanted = F.broadcast(grams.withColumn("sum", F.crc32(F.col("gram").cast("binary"))))
+        met = _places(df, text, of_bytes).join(wanted, "sum").filter(_is_at(F.col("at"), "gram"))
+    else:
+        met = _text_grams(df, text, sizes).select("gram").join(wanted, "gram")
+    counts = met.groupBy("gram").agg(F.count(F.lit(1)).alias("times"))
+    rarest = F.min(F.struct(F.coalesce("times", F.lit(0)), "gram")).alias("rarest")
     return each.join(counts, "gram", "left").groupBy("key", "number", "keyword").agg(rarest).select(
         F.col("rarest.gram").alias("gram"), "key", "number", "keyword")
 
@@ -81,15 +116,20 @@ def keyword_hits(df: DataFrame, text: Column | str, keywords: DataFrame, match:
     sizes = sorted(r[0] for r in rows.select(F.least(F.length("keyword"), F.lit(GRAM))).distinct().collect())  # four at most
     if not sizes:
         return rows.select(F.lit("").alias("digest"), "key", "number")  # no keywords, no rows
-    filed, small = _checked(cut_lineage(file_keywords(df, text, rows, sizes)))
-    found = F.col("lowered").contains(F.col("keyword"))
-    if match == "word":
-        found = found & F.rlike("lowered", _bounded_word(F.col("keyword")))
-    grams = _text_grams(df, text, sizes)
+    filed = cut_lineage(file_keywords(df, text, rows, sizes))
+    marked, small = _checked(filed)
     if small:  # the text stays where it is
-        hits = grams.join(filed, "gram").filter(found)
+        before = F.octet_length(F.substring("keyword", F.lit(1), F.position(F.col("gram"), F.col("keyword")) - 1))
+        summed = marked.select("key", "number", "keyword", before.alias("before"), F.crc32(F.col("gram").cast("binary")).alias("sum"))
+        hits = _places(df, text, _byte_sizes(filed)).join(F.broadcast(summed), "sum").filter(
+            _is_at(F.col("at") - F.col("before"), "keyword"))
+        if match == "word":
+            hits = hits.filter(F.rlike(F.col("bytes").cast("string"), _bounded_word(F.col("keyword"))))
     else:      # only digests and substrings are shuffled; each distinct text meets its candidates once
-        candidates = grams.select("digest", "gram").join(filed, "gram").groupBy("digest", "key", "number", "keyword").agg(F.lit(1))
+        found = F.col("lowered").contains(F.col("keyword"))
+        if match == "word":
+            found = found & F.rlike("lowered", _bounded_word(F.col("keyword")))
+        candidates = _text_grams(df, text, sizes).select("digest", "gram").join(marked, "gram").groupBy("digest", "key", "number", "keyword").agg(F.lit(1))
         texts = df.select(_lowered(text).alias("lowered")).select(F.sha2("lowered", 256).alias("digest"), "lowered")
         hits = candidates.join(texts.dropDuplicates(["digest"]), "digest").filter(found)
     return hits.select("digest", "key", "number")

@@ -62,3 +62,12 @@ def test_no_text_meets_every_keyword(spark, sf, either):
     docs = t.documents(spark, sf).select("doc_id", "text")
     plan = kt.match_first_table(docs, "text", table(spark, t.TEST_BRANDS))._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+
+
+def test_texts_are_not_taken_apart_into_lists_of_letters(spark):
+    df = frame(spark, ["xyxyxyxy " * 50, "xxy", "é" * 9 + "xy", None])
+    keys = spark.createDataFrame([("two", 0, "xy", 0), ("long", 1, "yxyxy", 0), ("accent", 2, "éx", 0)], KEYS)
+    every = kt.match_all_table(df, "text", keys)
+    plan = every._jdf.queryExecution().optimizedPlan().toString()
+    assert "crc32" in plan and "array_distinct" not in plan and "split(" not in plan
+    assert {r.id: r.tags for r in every.collect()} == {0: ["two", "long"], 1: ["two"], 2: ["two", "accent"], 3: []}
