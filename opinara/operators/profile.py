@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from opinara.functions.text import word_tokens
 from opinara.operators.quality import pct
 from opinara.operators.quantiles import quantile_columns
+from opinara.session import cut_wide_lineage
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -178,7 +179,7 @@ def corr_matrix_wide(df: DataFrame, cols: list[str]) -> DataFrame:
     import pyarrow as pa
 
     numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    means = numbers.agg(*[F.avg(c).alias(c) for c in numbers.columns]).first()
+    means = cut_wide_lineage(numbers.agg(*[F.avg(c).alias(c) for c in numbers.columns])).first()
     shift = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])
     k, names = len(cols), ["n", "sa", "sb", "saa", "sbb", "sab"]
 
@@ -194,8 +195,8 @@ def corr_matrix_wide(df: DataFrame, cols: list[str]) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.int32()), *map(pa.array, total[:, a, b])],
                                          names=["a", "b", *names])
 
-    added = numbers.mapInArrow(products, "a int, b int, " + ", ".join(f"{c} double" for c in names)).groupBy("a", "b").agg(
-        *[F.sum(c).alias(c) for c in names])
+    added = cut_wide_lineage(numbers.mapInArrow(products, "a int, b int, " + ", ".join(f"{c} double" for c in names)).groupBy(
+        "a", "b").agg(*[F.sum(c).alias(c) for c in names]))
     spread = [F.col(f"s{x}{x}") - F.try_divide(F.col(f"s{x}") * F.col(f"s{x}"), F.col("n")) for x in "ab"]
     joint = F.col("sab") - F.try_divide(F.col("sa") * F.col("sb"), F.col("n"))
     corr = F.when((spread[0] > 0) & (spread[1] > 0), joint / F.sqrt(spread[0] * spread[1]))

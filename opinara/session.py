@@ -89,6 +89,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for what is run inside a block."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def cut_wide_lineage(df: DataFrame) -> DataFrame:
+    """``cut_lineage`` for frames of many or long expressions.
+
+    The JVM never compiles a method of more than 8000 bytes, which Spark generates for them; with this limit
+    Spark evaluates them in several methods instead of one.
+    """
+    with setting(df.sparkSession, "spark.sql.codegen.hugeMethodLimit", "8000"):
+        return cut_lineage(df)
+
+
 @contextmanager
 def staged(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` written to the shared folder for the time of a block, which must store all it needs.
@@ -98,12 +119,7 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
     one copy of its rows beside those it replaces, not one for every batch and shuffle before.
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, "staged")
-    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(cleanup)
-    spark.conf.set(cleanup, "true")
-    try:
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
         df.write.option("compression", "zstd").parquet(path)
         yield spark.read.parquet(path)
-    finally:
-        spark.conf.set(cleanup, before)
     _delete_folder(path)

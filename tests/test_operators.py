@@ -433,3 +433,14 @@ def test_governance_of_one_hot_day_with_gaps(spark):
     assert got["summary", "schema_compliance_rate", "id,text"].metric_value == 32
     assert got["volume_trend", "records_per_day", "s"].metric_value == 41 and got["outlier_rate", "outlier_rate", "likeCount"].sample_size == 39
     assert got["language_distribution", "language_count", "unknown"].metric_value == 26
+
+
+def test_wide_expressions_are_not_one_method(spark, monkeypatch):
+    """HotSpot never compiles methods beyond 8000 bytes; both reads of the columns run with that limit."""
+    from opinara import session
+    key, seen, write = "spark.sql.codegen.hugeMethodLimit", [], session.cut_lineage
+    before = spark.conf.get(key)
+    monkeypatch.setattr(session, "cut_lineage", lambda df: seen.append(spark.conf.get(key)) or write(df))
+    df = spark.range(50).select(*[F.expr(f"CASE WHEN id % {j + 2} <> 0 THEN id * {j + 1} % 17 END").alias(f"x{j}") for j in range(30)])
+    assert profile.corr_matrix_wide(df, df.columns).count() == 900
+    assert seen == ["8000", "8000"] and spark.conf.get(key) == before
