@@ -10,6 +10,10 @@ from opinara import vocab
 from opinara.functions.sentiment import LABELS
 from opinara.functions.taxonomy import Taxonomy, keyword_hit, match_first
 from opinara.functions.text import keyword_tokens, ngrams, remove_stop_words
+from opinara.session import cut_lineage
+
+#: Terms are first counted in so many groups by hash; terms of the greatest groups, so many, are counted first.
+TERM_BUCKETS, FIRST_BUCKETS = 1 << 16, 1000
 
 
 def _label_count(label: str) -> Column:
@@ -179,24 +183,61 @@ def sized_terms(tokens: Column, sizes: tuple[int, ...], min_chars: int) -> Colum
     return groups[0] if len(groups) == 1 else F.concat(*groups)
 
 
-def term_counts(df: DataFrame, text: str = "text", by: str = "source_type",
-                score: str | None = None, sizes: tuple[int, ...] = (1,),
-                stop_words=vocab.STOP_WORDS, min_chars: int = 3) -> DataFrame:
+def term_rows(df: DataFrame, text: str = "text", by: str = "source_type",
+              score: str | None = None, sizes: tuple[int, ...] = (1,),
+              stop_words=vocab.STOP_WORDS, min_chars: int = 3) -> DataFrame:
+    """Rows ``(source_type[, score], size, term)``, one for each time a text has the term."""
+    tokens = remove_stop_words(keyword_tokens(text), stop_words, lowered=True)
+    carried = [score] if score else []
+    rows = df.filter(F.col(text).isNotNull()).select(
+        F.col(by).alias("source_type"), *carried, tokens.alias("_tokens"))
+    return rows.select("source_type", *carried, F.inline(sized_terms(F.col("_tokens"), sizes, min_chars)))
+
+
+def term_counts(df: DataFrame, score: str | None = None, **terms) -> DataFrame:
     """Rows ``(source, size, term, mentions[, score_sum])``.
 
     Keywords and n-grams come from one pass over the texts. Only single words are
     held to ``min_chars``; n-grams are built before that filter.
     """
-    tokens = remove_stop_words(keyword_tokens(text), stop_words, lowered=True)
-    carried = [score] if score else []
-    rows = df.filter(F.col(text).isNotNull()).select(
-        F.col(by).alias("source_type"), *carried, tokens.alias("_tokens"))
-    spread = rows.select("source_type", *carried, F.inline(sized_terms(F.col("_tokens"), sizes, min_chars)))
     sums = [F.sum(score).alias("score_sum")] if score else []
-    return spread.groupBy("source_type", "size", "term").agg(
+    return term_rows(df, score=score, **terms).groupBy("source_type", "size", "term").agg(
         F.count(F.lit(1)).alias("mentions"), *sums)
 
 
+def term_bucket(source: Column | str, term: Column | str) -> Column:
+    """The group by hash in which a term of a source is counted first."""
+    return F.pmod(F.xxhash64(source, term), F.lit(TERM_BUCKETS)).cast("int")
+
+
+def most_frequent(terms: DataFrame, buckets: DataFrame, k: int) -> DataFrame:
+    """``source_type, term, mentions``: exact counts of the k most frequent terms, all those tied with them and some others.
+
+    ``terms`` has a row for each time a term occurs, ``buckets`` the rows ``n`` of each ``term_bucket``. No term has more
+    than its bucket, so buckets with less than the k-th greatest count are passed over: where few terms are
+    frequent, the many rare ones are neither shuffled nor kept. That count is bounded from below by the terms of the
+    greatest buckets; if there are others which may hold as frequent terms, those are counted as well.
+    """
+    n, mentions = F.col("n"), F.col("mentions")
+
+    def counted(least: int) -> DataFrame:
+        taken = F.broadcast(buckets.filter(n >= least).select("bucket"))  # 65,536 numbers at most
+        return cut_lineage(terms.select("source_type", "term", term_bucket("source_type", "term").alias("bucket")).join(
+            taken, "bucket").groupBy("source_type", "term").agg(F.count(F.lit(1)).alias("mentions")))
+
+    def at_place(counts: DataFrame, by: Column, place: int) -> int:
+        """The count at a place, 0 where there are fewer."""
+        found = counts.select(by.alias("x")).orderBy(F.col("x").desc()).limit(place).agg(F.count("x").alias("n"), F.min("x").alias("x")).first()
+        return found["x"] if found["n"] == place and place else 0
+
+    first = at_place(buckets, n, FIRST_BUCKETS)
+    counts = counted(first)
+    least = at_place(counts, mentions, k)
+    if least < first and not buckets.filter((n >= least) & (n < first)).isEmpty():
+        counts = counted(least)
+    return counts
+
+
 def _top(counts: DataFrame, k: int, scope: str) -> DataFrame:
     order = [F.col("mentions").desc(), F.col("term"), F.col("source_type")]
     if scope == "global":
@@ -224,7 +265,14 @@ def keyword_sentiment(df: DataFrame, k: int = 25, scope: str = "global", min_fre
 
 
 def top_bigrams(df: DataFrame, k: int = 25, scope: str = "global", **terms) -> DataFrame:
-    return _top(term_counts(df, sizes=(2,), **terms), k, scope).select(
+    """Most frequent pairs of words, over all sources or within each."""
+    if scope == "global":
+        rows = term_rows(df, sizes=(2,), **terms)
+        buckets = cut_lineage(rows.groupBy(term_bucket("source_type", "term").alias("bucket")).agg(F.count(F.lit(1)).alias("n")))
+        counts = most_frequent(rows, buckets, k)
+    else:
+        counts = term_counts(df, sizes=(2,), **terms)
+    return _top(counts, k, scope).select(
         "source_type", F.col("term").alias("bigram"), F.col("mentions").alias("bigram_count"))
 
 

@@ -444,3 +444,30 @@ def test_wide_expressions_are_not_one_method(spark, monkeypatch):
     df = spark.range(50).select(*[F.expr(f"CASE WHEN id % {j + 2} <> 0 THEN id * {j + 1} % 17 END").alias(f"x{j}") for j in range(30)])
     assert profile.corr_matrix_wide(df, df.columns).count() == 900
     assert seen == ["8000", "8000"] and spark.conf.get(key) == before
+
+
+@pytest.mark.parametrize("buckets, first", [(1 << 16, 1000), (1 << 16, 1), (3, 1), (40, 2)])
+def test_frequent_pairs_are_exact_whatever_the_buckets(spark, monkeypatch, buckets, first):
+    import random
+    from collections import Counter
+    monkeypatch.setattr(rollups, "TERM_BUCKETS", buckets)
+    monkeypatch.setattr(rollups, "FIRST_BUCKETS", first)
+    rnd = random.Random(7)
+    texts = [(rnd.choice(["a", "b", None]), " ".join(rnd.choices("xa xb xc xd xe xf xg".split(), [9, 5, 4, 2, 1, 1, 1], k=12))) for _ in range(60)]
+    want = Counter((s, f"{x} {y}") for s, t in texts for x, y in zip(t.split(), t.split()[1:]))
+    df = spark.createDataFrame([*texts, ("a", None), ("b", "")], "source_type string, text string")
+    for k in (1, 9, 500):
+        got = {(r.source_type, r.bigram): r.bigram_count for r in rollups.top_bigrams(df, k).collect()}
+        least = sorted(want.values(), reverse=True)[:k][-1]
+        assert len(got) == min(k, len(want)) and all(want[p] == n for p, n in got.items()) and min(got.values()) == least
+    assert rollups.top_bigrams(df.limit(0)).collect() == []
+
+
+def test_rare_pairs_are_not_counted_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(rollups, "FIRST_BUCKETS", 1)
+    words = [chr(97 + i) + chr(97 + j) + "z" for i in range(26) for j in range(26)]
+    df = spark.createDataFrame([("a", f"{x} {y}") for x in words for y in words[:9]] + [("a", "often seen")] * 400, "source_type string, text string")
+    rows = rollups.term_rows(df, sizes=(2,))
+    buckets = rows.groupBy(rollups.term_bucket("source_type", "term").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    counts = rollups.most_frequent(rows, buckets, 1)
+    assert counts.count() < rows.distinct().count() and counts.orderBy(F.desc("mentions")).first()["term"] == "often seen"
