@@ -60,19 +60,27 @@ def _tools(dictionary: bytes):
 def train_dictionary(rows: DataFrame, path: str) -> bytes:
     """Bytes of a dictionary for ``rows`` (``doc_id, text``); none if there is too little text.
 
-    The sample is bounded by the module's constants and encoded here.
+    The sample is bounded by the module's constants. One task encodes it and trains, so that neither the
+    tokenizer nor the trainer takes memory of the driver, which gets the dictionary alone.
     """
     n = rows.count()
     share = min(_SPACE, _SPACE * SAMPLE_DOCUMENTS // max(n, 1))
     sample = (rows.filter((F.pmod(F.xxhash64("doc_id"), F.lit(_SPACE)) < share)
                           & F.char_length("text").between(1, SAMPLE_CHARS))
-              .select("text").limit(2 * SAMPLE_DOCUMENTS).toArrow()["text"].combine_chunks())
-    model = Encoder(path)
-    arrays = [ids[a:b].tobytes() for _, ids, at in model.encode(sample) for a, b in zip(at, at[1:])]
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, arrays).as_bytes()
-    except zstandard.ZstdError:
-        return b""
+              .select("text").limit(2 * SAMPLE_DOCUMENTS).coalesce(1))
+    size = DICTIONARY_BYTES
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Encoder(path)  # not kept by the worker
+        arrays = [ids[a:b].tobytes() for batch in batches for _, ids, at in model.encode(batch.column("text")) for a, b in zip(at, at[1:])]
+        try:
+            dictionary = zstandard.train_dictionary(size, arrays).as_bytes()
+        except zstandard.ZstdError:
+            dictionary = b""
+        yield pa.RecordBatch.from_arrays([pa.array([dictionary], pa.binary())], names=["dictionary"])
+
+    trained = sample.mapInArrow(train, "dictionary binary").first()
+    return bytes(trained["dictionary"]) if trained else b""
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = END_ID,

@@ -86,3 +86,14 @@ def test_repeated_rows_null_id_and_one_row(spark):
 def test_no_rows(spark):
     out = tokenized(frame(spark, []))
     assert out.collect() == [] and out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_driver_neither_encodes_nor_trains(spark, monkeypatch):
+    from opinara.llm import token_files
+    rows = frame(spark, texts()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # replaced here, not in the workers
+    monkeypatch.setattr(token_files.Encoder, "encode", None)
+    monkeypatch.setattr(token_files.zstandard, "train_dictionary", None)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert len(token_files.train_dictionary(rows, path)) > 100
+    assert token_files.train_dictionary(rows.limit(0), path) == token_files.train_dictionary(rows.filter("doc_id = 901"), path) == b""
