@@ -42,16 +42,19 @@ def dedup(df: DataFrame, keys: list[str], order: Column, keep: str = "last",
 
 
 def upsert(new: DataFrame, existing: DataFrame, keys: list[str],
-           order: list[str] | None = None) -> DataFrame:
+           order: list[str] | None = None, batch: str | None = None) -> DataFrame:
     """Existing rows with the new ones on top: per key the last row stays.
 
     The new batch beats the existing rows; within one batch the highest ``order``
-    wins. Columns only one side has are filled with nulls.
+    wins. Columns only one side has are filled with nulls. ``batch`` names a column of
+    ``new`` that numbers several batches: the result, which is without it, is that of one
+    upsert after the other.
     """
+    numbers = [batch] if batch else []
     tagged = existing.withColumn("_batch", F.lit(0)).unionByName(
         new.withColumn("_batch", F.lit(1)), allowMissingColumns=True)
-    ranking = [F.col("_batch").desc(), *[F.col(c).desc_nulls_last() for c in order or []]]
-    return keep_one(tagged, list(keys), _total_order(tagged, ranking)).drop("_batch")
+    ranking = [F.col(c).desc_nulls_last() for c in ["_batch", *numbers, *(order or [])]]
+    return keep_one(tagged, list(keys), _total_order(tagged.drop(*numbers), ranking)).drop("_batch", *numbers)
 
 
 def union_sources(frames: dict[str, DataFrame], name: str = "source_type") -> DataFrame:

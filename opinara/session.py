@@ -65,18 +65,40 @@ def clear_scratch(spark: SparkSession) -> None:
     To be called when a job has stored its results: frames that were not stored read from
     there. Any file system Arrow knows (file, hdfs, s3).
     """
-    _delete_folder(_own_scratch(spark))
+    delete_folder(_own_scratch(spark))
 
 
-def _delete_folder(uri: str) -> None:
+def _file_system(uri: str):
+    """The file system of a path as Arrow knows it, and the path there."""
     from pyarrow import fs
 
     uri = uri.replace("s3a://", "s3://", 1)
-    system, path = fs.FileSystem.from_uri(uri) if ":" in uri.split("/", 1)[0] else (fs.LocalFileSystem(), uri)
+    return fs.FileSystem.from_uri(uri) if ":" in uri.split("/", 1)[0] else (fs.LocalFileSystem(), uri)
+
+
+def delete_folder(uri: str) -> None:
+    from pyarrow import fs
+
+    system, path = _file_system(uri)
     if system.get_file_info(path).type == fs.FileType.Directory:
         system.delete_dir(path)
 
 
+def names_in(uri: str) -> list[str]:
+    """Names in a folder; one that is not there has none."""
+    from pyarrow import fs
+
+    system, path = _file_system(uri)
+    return [found.base_name for found in system.get_file_info(fs.FileSelector(path, allow_not_found=True))]
+
+
+def mark(folder: str, name: str) -> None:
+    """An empty file that says something by its name, so it is there whole or not at all."""
+    system, path = _file_system(folder)
+    system.create_dir(path)
+    system.open_output_stream(f"{path}/{name}").close()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -122,4 +144,4 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
     with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
         df.write.option("compression", "zstd").parquet(path)
         yield spark.read.parquet(path)
-    _delete_folder(path)
+    delete_folder(path)

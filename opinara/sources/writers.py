@@ -73,7 +73,7 @@ def write_snapshot(df: DataFrame, root: str, source: str, topic: str,
     stamp = (at or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S")
     path = f"{root}/{source}_{topic}_{stamp}.json"
     (encode_values(df).write.mode("error").option("ignoreNullFields", False)
-     .option("compression", "gzip").json(path))
+     .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").json(path))
     return path
 
 
@@ -110,9 +110,11 @@ def of_weeks(table: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def upsert_weekly(new: DataFrame, path: str, keys: list[str], order: list[str],
-                  date_col: str | None = None, week: tuple[int, int] | None = None) -> None:
+                  date_col: str | None = None, week: tuple[int, int] | None = None, batch: str | None = None) -> None:
     """Merge a batch into its weeks of a partitioned table; per key the last row stays.
 
+    Several batches can be merged at once where the column ``batch`` numbers them (see ``upsert``).
+
     Only the weeks the batch touches are read and replaced; undated rows are a week. The merged rows are
     written to the shared folder before the weeks they were read from are replaced,
     so a lost executor cannot make Spark read a half-replaced table; that copy goes afterwards.
@@ -123,6 +125,6 @@ def upsert_weekly(new: DataFrame, path: str, keys: list[str], order: list[str],
         new = with_iso_week(new, date_col)
     stored = stored_table(new.sparkSession, path)
     existing = new.limit(0) if stored is None else of_weeks(stored, new)
-    merged = upsert(new, existing, [*keys, "iso_year", "iso_week"], order)
+    merged = upsert(new, existing, [*keys, "iso_year", "iso_week"], order, batch)
     with staged(merged) as rows:
         write_weekly(rows, path)

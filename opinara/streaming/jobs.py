@@ -15,7 +15,7 @@ from opinara import schemas
 from opinara.operators.identity import latest_per_key
 from opinara.operators.partials import Partial, store_partials
 from opinara.operators.trends import sentiment_alerts
-from opinara.session import cut_lineage
+from opinara.session import cut_lineage, delete_folder, mark, names_in
 from opinara.sources.readers import silver_news, silver_tweets
 from opinara.sources.writers import stored_table, of_weeks, upsert_weekly, write_weekly
 
@@ -31,13 +31,33 @@ def run_available(df: DataFrame, checkpoint: str, each: Callable[[DataFrame, int
     return query
 
 
-def land_batches(path: str) -> Callable[[DataFrame, int], None]:
+def land_batches(path: str, **options: str) -> Callable[[DataFrame, int], None]:
     """Sink for ``run_available``: one partition per batch, so a repeated batch replaces itself."""
     def land(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.write.mode("overwrite").options(**options).parquet(f"{path}/batch={batch_id}")
     return land
 
 
+def merge_landed(spark: SparkSession, checkpoint: str, merge: Callable[[DataFrame], None]) -> None:
+    """Hand batches landed in ``checkpoint/landed`` to ``merge``, all at once, numbered by ``batch``, and delete them.
+
+    These are the ones the checkpoint has committed, which are whole, and which are not marked as merged: a
+    batch that is interrupted here or in ``merge`` takes part again, so repeating it must change nothing; one
+    that is only left from an interrupted deletion does not.
+    """
+    newest = lambda folder: max((int(n) for n in names_in(f"{checkpoint}/{folder}") if n.isdigit()), default=-1)
+    merged, committed = newest("merged"), newest("commits")
+    if committed > merged:
+        landed = stored_table(spark, f"{checkpoint}/landed")
+        if landed is not None:
+            merge(landed.filter(F.col("batch").between(merged + 1, committed)))
+        mark(f"{checkpoint}/merged", str(committed))
+    for name in names_in(f"{checkpoint}/landed"):
+        number = name.removeprefix("batch=")
+        if number.isdigit() and int(number) <= committed:
+            delete_folder(f"{checkpoint}/landed/{name}")
+
+
 def stream_files(spark: SparkSession, path: str, schema, pattern: str = "*.parquet",
                  file_format: str = "parquet", per_batch: int | None = None, **options) -> DataFrame:
     reader = spark.readStream.format(file_format).schema(schema).option("pathGlobFilter", pattern)
@@ -55,16 +75,26 @@ def stream_silver(spark: SparkSession, source: str, bronze: str, silver: str, ch
 
     A file named ``source_*.json`` holds one document or a list; with ``lines`` the folders
     that ``write_snapshot`` lands are read, one document per line, gzipped or not.
+
+    A batch is parsed and lands below the checkpoint. When there is nothing left, or a batch fails, what
+    has landed is cleaned and merged at once, a later batch over an earlier one: the weeks are rewritten once a
+    run and not once a batch, by all cores and not by those that can read a batch's files.
     """
     snapshots = stream_files(spark, bronze, schemas.SNAPSHOTS[source], "*.json*" if lines else f"{source}_*.json",
                              "json", per_batch, multiLine=str(not lines).lower())
-    rows = SILVER[source](snapshots)
-
-    def merge(batch: DataFrame, _: int) -> None:
-        dated = batch.withColumn("event_date", date(batch))
-        upsert_weekly(dated, silver, keys, ["snapshot_date"], date_col="event_date")
-
-    return run_available(rows, checkpoint, merge)
+    # written by the few tasks that read a batch's files, so cheaply: texts hardly repeat, a dictionary would be built in vain
+    land = land_batches(f"{checkpoint}/landed", **{
+        "compression": "zstd", "parquet.compression.codec.zstd.level": "1", "parquet.enable.dictionary": "false"})
+
+    def merge(landed: DataFrame) -> None:
+        rows = SILVER[source](landed, keep=["batch"])
+        dated = rows.withColumn("event_date", date(rows))
+        upsert_weekly(dated, silver, keys, ["snapshot_date"], date_col="event_date", batch="batch")
+
+    try:
+        return run_available(snapshots, checkpoint, land)
+    finally:
+        merge_landed(spark, checkpoint, merge)
 
 
 def stream_dedup(df: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:

@@ -143,6 +143,22 @@ def test_the_new_batch_wins_even_when_older(spark):
     assert identity.upsert(new, base, ["id"], ["at"]).first().v == "new"
 
 
+def test_upsert_of_numbered_batches_is_one_upsert_after_the_other(spark):
+    kinds = "id string, at int, v string, day date"
+    base = spark.createDataFrame([("a", 9, "stored", None), ("z", 1, "stored", None)], kinds)
+    batches = [[("a", 5, "x", None), ("b", 5, "x", None), (None, 1, "x", None)], [("a", 1, "y", None), ("a", 2, "y2", None)],
+               [("b", None, "w", None), (None, 1, "p", None), (None, 1, "q", None)]]
+    one_by_one = base
+    for rows in batches:
+        one_by_one = identity.upsert(spark.createDataFrame(rows, kinds), one_by_one, ["id"], ["at"])
+    numbered = spark.createDataFrame([(*r, n) for n, rows in enumerate(batches) for r in rows], f"{kinds}, part int")
+    key = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    at_once = identity.upsert(numbered, base, ["id"], ["at"], batch="part")
+    assert at_once.columns == base.columns and key(at_once) == key(one_by_one)
+    first = identity.upsert(numbered, numbered.limit(0), ["id"], ["at"], batch="part")
+    assert first.columns == base.columns and key(first) == [r for r in key(one_by_one) if r[0] != "z"]
+
+
 def test_input_order_does_not_matter(spark):
     rows = [("a", 1, "x"), ("a", 1, "y"), ("a", None, "z"), ("b", None, "w")]
     kinds = "id string, at int, v string"

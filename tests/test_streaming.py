@@ -1,11 +1,13 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from opinara.functions.dates import safe_date, with_iso_week
+from opinara.session import delete_folder
 from opinara.sources import readers
 from opinara.streaming import jobs
-from tests.fixtures import POSTS, land, post, tweets_snapshot
+from tests.fixtures import POSTS, land, news_snapshot, post, tweets_snapshot
 
 
 def test_silver_stream_takes_each_file_once(spark, tmp_path):
@@ -27,6 +29,101 @@ def test_silver_stream_takes_each_file_once(spark, tmp_path):
     assert got == {r.id: r.text for r in want.collect()}
 
 
+@pytest.fixture
+def silver_run(spark, tmp_path):
+    """Snapshots that land one by one, a run of the stream a file a batch, and the texts stored by it."""
+    bronze, silver, ckpt = tmp_path / "bronze", str(tmp_path / "silver"), tmp_path / "ckpt"
+    names = iter(range(100, 200))
+    put = lambda day, *posts: land(bronze, f"twitter_tweets_20260528_{next(names)}000.json", tweets_snapshot(day, list(posts)))
+    run = lambda: jobs.stream_silver(spark, "twitter", str(bronze), silver, str(ckpt), ["id"], lambda _: safe_date("snapshot_date"), per_batch=1)
+    texts = lambda: {(r.id, r.iso_week): r.text for r in spark.read.parquet(silver).collect()}
+    return put, run, texts, ckpt
+
+
+def test_weeks_are_merged_once_a_run(monkeypatch, silver_run):
+    put, run, texts, ckpt = silver_run
+    merges, upsert_weekly = [], jobs.upsert_weekly
+    monkeypatch.setattr(jobs, "upsert_weekly", lambda *a, **b: (merges.append(1), upsert_weekly(*a, **b)))
+    for n in range(5):
+        put("2026-05-28", post("same", f"text {n}", n, "ann"), post(f"own {n}", "text", n, "bob"))
+    run()
+    assert len(list((ckpt / "commits").glob("[0-9]*"))) == 5 and len(merges) == 1
+    assert texts() == {("same", 22): "text 4", **{(f"own {n}", 22): "text" for n in range(5)}}
+    assert not list((ckpt / "landed").iterdir())
+    run()
+    assert len(merges) == 1
+
+
+def test_a_later_batch_wins_over_a_newer_date(silver_run):
+    put, run, texts, _ = silver_run
+    put("2026-05-29", post("1", "late date, early batch", 1, "ann"), post("2", "kept", 1, "ann"))
+    put("2026-05-28", post("1", "early date, late batch", 1, "ann"))
+    put("2026-06-02", post("1", "another week", 1, "ann"))
+    run()
+    want = {("1", 22): "early date, late batch", ("2", 22): "kept", ("1", 23): "another week"}
+    assert texts() == want
+    put("2026-05-28", post("2", "changed", 1, "ann"))
+    run()
+    assert texts() == want | {("2", 22): "changed"}
+
+
+def test_a_merge_that_failed_is_made_up_for(monkeypatch, silver_run):
+    put, run, texts, _ = silver_run
+    put("2026-05-28", post("1", "first", 1, "ann"))
+    with monkeypatch.context() as broken, pytest.raises(ZeroDivisionError):
+        broken.setattr(jobs, "upsert_weekly", lambda *a, **b: 1 / 0)
+        run()
+    run()  # nothing new, but one batch that has landed
+    assert texts() == {("1", 22): "first"}
+
+
+def test_batches_left_behind_are_not_merged_again(monkeypatch, silver_run):
+    put, run, texts, ckpt = silver_run
+    put("2026-05-28", post("1", "old", 1, "ann"))
+    put("2026-05-28", post("1", "new", 1, "ann"))
+    with monkeypatch.context() as broken:  # the second of two batches is deleted, the first stays
+        broken.setattr(jobs, "delete_folder", lambda uri: delete_folder(uri) if uri.endswith("=1") else None)
+        run()
+    assert [f.name for f in (ckpt / "landed").iterdir()] == ["batch=0"]
+    put("2026-05-28", post("2", "other", 1, "ann"))
+    run()
+    assert texts() == {("1", 22): "new", ("2", 22): "other"} and not list((ckpt / "landed").iterdir())
+
+
+def test_a_batch_that_fails_keeps_none_before_it_back(monkeypatch, silver_run):
+    put, run, texts, _ = silver_run
+    land_batches = jobs.land_batches
+
+    def failing(path, **options):
+        sink = land_batches(path, **options)
+
+        def each(batch, number):
+            sink(batch, number)
+            if number == 1:
+                raise ValueError("after it was written, before it was committed")
+        return each
+
+    put("2026-05-28", post("1", "first", 1, "ann"))
+    put("2026-05-28", post("1", "second", 1, "ann"))
+    with monkeypatch.context() as broken, pytest.raises(Exception, match="before it was committed"):
+        broken.setattr(jobs, "land_batches", failing)
+        run()
+    assert texts() == {("1", 22): "first"}
+    run()
+    assert texts() == {("1", 22): "second"}
+
+
+def test_news_stream_merges_batches_in_order(spark, tmp_path):
+    bronze = tmp_path / "bronze"
+    land(bronze, "webscraping_a_20260528_100000.json", news_snapshot("2026-05-28", {"n/1": ["old"], "n/2": ["x"]}))
+    land(bronze, "webscraping_a_20260529_100000.json", [news_snapshot("2026-05-28", {"n/1": ["new", "y"]}, "n2")])
+    jobs.stream_silver(spark, "webscraping", str(bronze), str(tmp_path / "s"), str(tmp_path / "c"), ["newsLink"],
+                       lambda _: safe_date("snapshot_date"), per_batch=1)
+    rows = spark.read.parquet(str(tmp_path / "s"))
+    assert {(r.newsLink, tuple(r.comments), r.snapshot_id) for r in rows.collect()} == {("n/1", ("new", "y"), "n2"), ("n/2", ("x",), "n1")}
+    assert "batch" not in rows.columns
+
+
 def _events(spark, sf):
     return spark.read.parquet(f"{sf}/events.parquet").schema
 
